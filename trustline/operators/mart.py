@@ -101,9 +101,9 @@ def clean_orders(fct: DataFrame) -> DataFrame:
     return fct.where(~flags.dirty())
 
 
-def order_row_number(orders: DataFrame) -> DataFrame:
+def order_row_number(orders: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Place of each row among the rows of its order, by date (see ``ranking``)."""
-    return row_number_within(orders, "order_id", FIRST_ROW, "row_number")
+    return row_number_within(orders, "order_id", FIRST_ROW, "row_number", hot=hot)
 
 
 def derive_order_total(lines: DataFrame, products: DataFrame) -> DataFrame:

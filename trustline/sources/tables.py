@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
-from trustline.functions.casts import lowercase_columns
 from trustline.sources.schemas import FEED
 
 
@@ -54,15 +52,18 @@ def write_dimension(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_daily(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
+def write_daily(
+    df: DataFrame, path: str, fmt: str = "parquet", cluster: bool = False, **options: str
+) -> None:
     """Write one partition per ``batch_date``; a rerun replaces the dates it holds.
 
-    Clustering by date first keeps the file count near the number of dates; the
-    rebalance lets AQE split a date that is far larger than the others.
+    ``cluster`` gathers each date first, which keeps the file count near the number of
+    dates where every task holds rows of many; AQE splits a date that is far larger
+    than the others.  Rows that come from one file per date need no such shuffle.
     """
+    rows = df.hint("rebalance", "batch_date") if cluster else df
     (
-        df.hint("rebalance", "batch_date")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
         .partitionBy("batch_date")
@@ -99,38 +100,3 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], FEED)
     return spark.read.schema(FEED).option("header", True).csv(path)
-
-
-def load_feed(spark: SparkSession, live: str | DataFrame | None, snapshot: str) -> DataFrame:
-    """The report feed from the live mart, or from the snapshot when that fails.
-
-    ``live`` is a table name, a Parquet path or a frame holding the mart.
-    """
-    from trustline.operators.rollup import daily_status_rollup
-
-    try:
-        if live is None:
-            raise LookupError("no live mart")
-        if isinstance(live, DataFrame):
-            mart = live
-        elif "/" in live:
-            mart = spark.read.parquet(live)
-        else:
-            mart = spark.table(live)
-        feed = daily_status_rollup(mart)
-        feed.schema  # resolve now, so that a missing table falls back here
-    except (AnalysisException, LookupError):
-        feed = read_snapshot(spark, snapshot)
-    return lowercase_columns(feed)
-
-
-def load_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, cnt), one row per table."""
-    counts = [
-        df.agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
-        for name, df in tables.items()
-    ]
-    out = counts[0]
-    for other in counts[1:]:
-        out = out.unionByName(other)
-    return out

@@ -138,6 +138,11 @@ def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(_order_id().alias("order_id"))
 
 
+def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Just the batch dates of ``base_orders``."""
+    return table(spark, sf_dir, "lineitem").select(_day("l_shipdate").alias("batch_date"))
+
+
 def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw orders with the batch date each belongs to."""
     return table(spark, sf_dir, "events").select(
