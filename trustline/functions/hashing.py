@@ -8,19 +8,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def tagged_hash(tag: str, keys: list[Column]) -> Column:
-    """md5 hex of ``tag|key-key-...``; rows get an independent draw per tag."""
-    return F.md5(F.concat(F.lit(tag + "|"), F.concat_ws("-", *[k.cast("string") for k in keys])))
+def hash_sql(tag: str, keys: list[str]) -> str:
+    """md5 hex of ``tag|key-key-...`` as SQL; rows get an independent draw per tag."""
+    columns = ", ".join(f"CAST({k} AS STRING)" for k in keys)
+    return f"md5(concat('{tag}|', concat_ws('-', {columns})))"
 
 
-def hash_number(hex_digest: Column) -> Column:
-    """The first eight hex digits as a BIGINT."""
-    return F.conv(F.substring(hex_digest, 1, 8), 16, 10).cast("bigint")
+def tagged_hash(tag: str, keys: list[str]) -> Column:
+    return F.expr(hash_sql(tag, keys))
 
 
-def selected(tag: str, keys: list[Column], share: float) -> Column:
-    """TRUE for about ``share`` of the rows (resolution 1/65536)."""
+def hash_number(tag: str, keys: list[str]) -> Column:
+    """The first eight hex digits of the hash as a BIGINT."""
+    return F.expr(f"CAST(conv(substr({hash_sql(tag, keys)}, 1, 8), 16, 10) AS BIGINT)")
+
+
+def selected_sql(tag: str, keys: list[str], share: float) -> str:
+    """Condition that holds for about ``share`` of the rows (resolution 1/65536)."""
     cut = math.ceil(share * 65536)
-    if cut >= 65536:
-        return F.lit(True)
-    return F.substring(tagged_hash(tag, keys), 1, 4) < F.lit(f"{cut:04x}")
+    return "true" if cut >= 65536 else f"substr({hash_sql(tag, keys)}, 1, 4) < '{cut:04x}'"
+
+
+def selected(tag: str, keys: list[str], share: float) -> Column:
+    return F.expr(selected_sql(tag, keys, share))

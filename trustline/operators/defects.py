@@ -41,17 +41,13 @@ DETECTED_BY = {
 }
 
 
-def _columns(keys: list[str]) -> list[Column]:
-    return [F.col(k) for k in keys]
-
-
 def future_day(as_of: dt.date | str | None) -> Column:
     return F.date_add(as_of_date(as_of), FUTURE_DAYS)
 
 
 def typo(keys: list[str]) -> Column:
     """One of the typo texts, by hash of the row key."""
-    pick = hash_number(tagged_hash("typo-pick", _columns(keys))) % len(STATUS_TYPOS)
+    pick = hash_number("typo-pick", keys) % len(STATUS_TYPOS)
     return F.element_at(F.array(*[F.lit(t) for t in STATUS_TYPOS]), (pick + 1).cast("int"))
 
 
@@ -85,7 +81,7 @@ def seed_defects(
     ``markers``, boolean columns ``seeded_<tag>`` record which rows were hit.
     """
     for tag in CATEGORIES if tags is None else tags:
-        hit = selected(tag, _columns(key_cols), rate / 2)
+        hit = selected(tag, key_cols, rate / 2)
         if markers:
             df = df.withColumn(f"seeded_{tag}", hit)
         df = apply_defect(df, tag, hit, key_cols, as_of)
@@ -94,9 +90,8 @@ def seed_defects(
 
 def batch_draws(df: DataFrame, tag: str, batch: str, rate: float) -> DataFrame:
     """(_batch, _draw): how many rows of each batch to hit, 0 .. floor(rows x rate)."""
-    day = F.date_format("_batch", "yyyy-MM-dd")
     most = F.floor(F.col("_rows") * rate)
-    draw = hash_number(tagged_hash(tag, [day])) % (most + 1)
+    draw = hash_number(tag, ["_batch"]) % (most + 1)
     return (
         df.groupBy(F.col(batch).alias("_batch"))
         .agg(F.count("*").alias("_rows"))
@@ -119,7 +114,7 @@ def pick_exact(
     are broadcast: one number per calendar day, at most 3.7 million by the range of
     DATE, whatever the number of rows.
     """
-    hashed = df.withColumn("_hash", tagged_hash(tag, _columns(key_cols)))
+    hashed = df.withColumn("_hash", tagged_hash(tag, key_cols))
     order = dup.Ordering(("_hash", *ties))
     ranked = row_number_within(
         hashed,
@@ -158,12 +153,10 @@ def copies_to_add(df: DataFrame, key_cols: list[str], batch: str, ties: list[str
     The fixed limit makes Spark keep only five rows per batch and task before the
     shuffle, so a hot batch costs no more than a small one.
     """
-    keys = _columns(key_cols)
-    digest = tagged_hash("copy", keys)
-    order = [digest.asc(), *[F.col(t).asc_nulls_last() for t in ties or []]]
+    order = [tagged_hash("copy", key_cols), *[F.col(t).asc_nulls_last() for t in ties or []]]
     number = F.row_number().over(Window.partitionBy(batch).orderBy(*order))
     first = df.withColumn("_rn", number).where(F.col("_rn") <= MAX_COPIES_PER_BATCH)
-    draw = hash_number(tagged_hash("copies", [F.date_format(batch, "yyyy-MM-dd")]))
+    draw = hash_number("copies", [batch])
     return first.where(F.col("_rn") <= draw % (MAX_COPIES_PER_BATCH + 1)).drop("_rn")
 
 

@@ -8,10 +8,10 @@ daily batch source.  Defects are seeded with the hash selection of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustline.functions.hashing import selected
+from trustline.functions.hashing import selected_sql
 from trustline.sources.tables import row_identity
 
 # Fixed values of the test tables.
@@ -24,134 +24,125 @@ BAD_DATE_TEXT = "not-a-date"
 STATUS_TYPOS = ["Completado", "completed", "Shipped!", "Pending...", "Cancelled (User)"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns of the test tables that are read here; naming them saves a look into the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
 
 
-def money(amount: Column) -> Column:
-    """Two-digit text of an amount."""
-    return F.round(amount, 2).cast("decimal(18,2)").cast("string")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _day(timestamp: str) -> Column:
-    return F.col(timestamp).cast("date")
+def money(amount: str) -> str:
+    """Two-digit text of an amount."""
+    return f"CAST(CAST(round({amount}, 2) AS DECIMAL(18,2)) AS STRING)"
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    signup = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 730).cast("int"))
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
         table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("c_custkey").cast("string").alias("customer_id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit(""))), F.lit("@example.com")).alias(
-                "email"
-            ),
-            signup.cast("string").alias("signup_date"),
-            F.col("r_name").alias("region"),
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "CAST(c_custkey AS STRING) AS customer_id",
+            "c_name AS name",
+            "concat(lower(replace(c_name, '#', '')), '@example.com') AS email",
+            "CAST(date_add(DATE '1995-01-01', CAST(c_custkey % 730 AS INT)) AS STRING) AS signup_date",
+            "r_name AS region",
         )
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_type").alias("category"),
-        money(F.col("p_retailprice")).alias("price"),
-        F.col("p_size").cast("string").alias("stock_level"),
-        F.col("p_name").alias("product_name"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS product_id",
+        "p_type AS category",
+        f"{money('p_retailprice')} AS price",
+        "CAST(p_size AS STRING) AS stock_level",
+        "p_name AS product_name",
     )
 
 
-def _order_id() -> Column:
-    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+_ORDER_ID = "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING))"
+_SHIP_DAY = "CAST(CAST(l_shipdate AS DATE) AS STRING)"
+_CUSTOMER = "CAST(o_custkey AS STRING)"
+_STATUS = "CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'PENDING' WHEN 'P' THEN 'SHIPPED' END"
+_TYPO = f"element_at(array({', '.join(repr(t) for t in STATUS_TYPOS)}), CAST(l_linenumber % 5 + 1 AS INT))"
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order's customer and status and its part's price."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     return (
         table(spark, sf_dir, "lineitem")
         .select(*SEED_KEYS, "l_quantity", "l_shipdate", row_identity())
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-    )
-
-
-def _clean_status() -> Column:
-    status = F.col("o_orderstatus")
-    return (
-        F.when(status == "F", "COMPLETED").when(status == "O", "PENDING").when(status == "P", "SHIPPED")
+        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(part, F.expr("l_partkey = p_partkey"))
     )
 
 
-def _raw_order_columns(customer: Column, factor: Column, date: Column, status: Column) -> list[Column]:
+def _raw_order_columns(customer: str, factor: str, date: str, status: str) -> list[str]:
     return [
-        _order_id().alias("order_id"),
-        customer.alias("customer_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_quantity").cast("int").cast("string").alias("quantity"),
-        money(F.col("l_quantity") * F.col("p_retailprice") * factor).alias("total_amount"),
-        date.alias("order_date"),
-        status.alias("status"),
+        f"{_ORDER_ID} AS order_id",
+        f"{customer} AS customer_id",
+        "CAST(l_partkey AS STRING) AS product_id",
+        "CAST(CAST(l_quantity AS INT) AS STRING) AS quantity",
+        f"{money(f'l_quantity * p_retailprice * {factor}')} AS total_amount",
+        f"{date} AS order_date",
+        f"{status} AS status",
         "row_id",
     ]
 
 
 def base_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders without seeded defects, with the seeding keys kept."""
-    columns = _raw_order_columns(
-        F.col("o_custkey").cast("string"), F.lit(1.0), _day("l_shipdate").cast("string"), _clean_status()
-    )
-    return _lines(spark, sf_dir).select(*columns, *SEED_KEYS)
+    columns = _raw_order_columns(_CUSTOMER, "1.0D", _SHIP_DAY, _STATUS)
+    return _lines(spark, sf_dir).selectExpr(*columns, *SEED_KEYS)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders with about 5% of each seeded defect."""
-
-    def hit(tag: str) -> Column:
-        return selected(tag, [F.col(k) for k in SEED_KEYS], SEED_SHARE)
-
-    custkey = F.col("o_custkey").cast("string")
-    customer = F.when(hit("null"), None).when(hit("ghost"), F.concat(F.lit("ghost-"), custkey))
-    factor = F.when(hit("neg"), -1.0).otherwise(1.0) * F.when(hit("math"), 1.5).otherwise(1.0)
-    date = F.when(hit("future"), FUTURE_TEXT).when(hit("baddate"), BAD_DATE_TEXT)
-    typo = F.element_at(
-        F.array(*[F.lit(t) for t in STATUS_TYPOS]), (F.col("l_linenumber") % 5 + 1).cast("int")
-    )
+    null, ghost, neg, math, future, baddate, typo = [
+        selected_sql(tag, SEED_KEYS, SEED_SHARE)
+        for tag in ("null", "ghost", "neg", "math", "future", "baddate", "typo")
+    ]
     columns = _raw_order_columns(
-        customer.otherwise(custkey),
-        factor,
-        date.otherwise(_day("l_shipdate").cast("string")),
-        F.when(hit("typo"), typo).otherwise(_clean_status()),
+        f"CASE WHEN {null} THEN NULL WHEN {ghost} THEN concat('ghost-', {_CUSTOMER}) ELSE {_CUSTOMER} END",
+        f"(IF({neg}, -1.0D, 1.0D) * IF({math}, 1.5D, 1.0D))",
+        f"CASE WHEN {future} THEN '{FUTURE_TEXT}' WHEN {baddate} THEN '{BAD_DATE_TEXT}' ELSE {_SHIP_DAY} END",
+        f"CASE WHEN {typo} THEN {_TYPO} ELSE {_STATUS} END",
     )
-    return _lines(spark, sf_dir).select(*columns)
+    return _lines(spark, sf_dir).selectExpr(*columns)
 
 
 def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Just the order ids, from two columns of ``lineitem``: enough to find hot ids."""
-    return table(spark, sf_dir, "lineitem").select(_order_id().alias("order_id"))
+    return table(spark, sf_dir, "lineitem").selectExpr(f"{_ORDER_ID} AS order_id")
 
 
 def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Just the batch dates of ``base_orders``."""
-    return table(spark, sf_dir, "lineitem").select(_day("l_shipdate").alias("batch_date"))
+    return table(spark, sf_dir, "lineitem").selectExpr("CAST(l_shipdate AS DATE) AS batch_date")
 
 
 def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw orders with the batch date each belongs to."""
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string").alias("order_id"),
-        F.col("user_id").cast("string").alias("customer_id"),
-        F.lit(None).cast("string").alias("product_id"),
-        F.lit("1").alias("quantity"),
-        money(F.col("value")).alias("total_amount"),
-        _day("ts").cast("string").alias("order_date"),
-        F.col("event_type").alias("status"),
-        _day("ts").alias("batch_date"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS order_id",
+        "CAST(user_id AS STRING) AS customer_id",
+        "CAST(NULL AS STRING) AS product_id",
+        "'1' AS quantity",
+        f"{money('value')} AS total_amount",
+        "CAST(CAST(ts AS DATE) AS STRING) AS order_date",
+        "event_type AS status",
+        "CAST(ts AS DATE) AS batch_date",
     )
