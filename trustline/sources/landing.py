@@ -34,6 +34,10 @@ def scan_landing(spark: SparkSession, landing: str, entity: str, quote: str = '"
     """
     names = RAW[entity].names
     schema = T.StructType([*RAW[entity].fields, T.StructField(MALFORMED, T.StringType())])
+    # Spark refuses a scan of nothing but the malformed line, so let it depend on one more
+    # column; the condition always holds.
+    always = F.coalesce(F.length(names[0]), F.lit(0)) >= 0
+    malformed = F.when(always, F.col(MALFORMED))
     rows = (
         spark.read.schema(schema)
         .options(
@@ -44,9 +48,10 @@ def scan_landing(spark: SparkSession, landing: str, entity: str, quote: str = '"
             columnNameOfCorruptRecord=MALFORMED,
             recursiveFileLookup=True,
             pathGlobFilter="*.csv",
+            columnPruning=False,  # count the fields of a line whatever columns are used
         )
         .csv(f"{landing}/{entity}")
-        .select(*names, MALFORMED, F.col("_metadata.file_path").alias("source_file"))
+        .select(*names, malformed.alias(MALFORMED), F.col("_metadata.file_path").alias("source_file"))
     )
     return normalise_null_markers(rows, names)
 
