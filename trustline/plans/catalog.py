@@ -20,8 +20,11 @@ from trustline.operators import duplicates as dup
 from trustline.operators import staging as st
 from trustline.plans import oracle as o
 from trustline.sources import testdata as td
+from trustline.sources.schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
+from trustline.sources.tables import row_identity
 
 Query = Callable[[SparkSession, str], DataFrame]
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -39,22 +42,34 @@ class Tables:
     def raw_orders(self) -> DataFrame:
         return td.raw_orders(self.spark, self.sf_dir)
 
+    @cached_property
+    def raw_customers(self) -> DataFrame:
+        return td.raw_customers(self.spark, self.sf_dir)
+
+    @cached_property
+    def raw_products(self) -> DataFrame:
+        return td.raw_products(self.spark, self.sf_dir)
+
+    @cached_property
+    def order_ids(self) -> DataFrame:
+        """The order ids alone, from the two key columns of ``lineitem``."""
+        return td.order_ids(self.spark, self.sf_dir)
+
     @cached_property
     def stg_orders(self) -> DataFrame:
         return st.stg_orders(self.raw_orders)
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return st.stg_customers(td.raw_customers(self.spark, self.sf_dir))
+        return st.stg_customers(self.raw_customers)
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return st.stg_products(td.raw_products(self.spark, self.sf_dir))
+        return st.stg_products(self.raw_products)
 
     @cached_property
     def hot(self) -> DataFrame:
-        """Hot order ids, counted on the two key columns of ``lineitem``."""
-        return dup.hot_buckets(td.order_ids(self.spark, self.sf_dir), "order_id")
+        return dup.hot_buckets(self.order_ids, "order_id")
 
     @cached_property
     def hot_days(self) -> DataFrame:
@@ -92,6 +107,20 @@ class Tables:
     def events(self) -> DataFrame:
         return td.event_orders(self.spark, self.sf_dir)
 
+    def stored(self, root: str) -> Tables:
+        """The same tables read back from Parquet under ``root``, as a load would leave them."""
+        for name in ("raw_orders", "raw_customers", "raw_products"):
+            frame = getattr(self, name)
+            kept = frame.drop("row_id") if name == "raw_orders" else frame
+            kept.write.mode("overwrite").parquet(f"{root}/{name}")
+        out = Tables(self.spark, self.sf_dir)
+        orders = self.spark.read.schema(RAW_ORDERS).parquet(f"{root}/raw_orders")
+        out.raw_orders = orders.select(*RAW_ORDERS.names, row_identity())
+        out.order_ids = orders.select("order_id")
+        out.raw_customers = self.spark.read.schema(RAW_CUSTOMERS).parquet(f"{root}/raw_customers")
+        out.raw_products = self.spark.read.schema(RAW_PRODUCTS).parquet(f"{root}/raw_products")
+        return out
+
     def one_test(self, name: str) -> DataFrame:
         spec = [t for t in quality.ORDER_TESTS if t.name == name]
         return quality.run_tests(self.models, spec, RUN_AT).select("test_name", "failures")
@@ -123,7 +152,8 @@ def query(name: str, sql: str | None = None):
     """Register ``build(tables)`` under ``name`` with its counterpart."""
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: portable(build(Tables(spark, sf_dir)))
+        BUILDERS[name] = lambda tables: portable(build(tables))
+        QUERIES[name] = lambda spark, sf_dir: BUILDERS[name](Tables(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = o.with_prelude(sql)
         return build
@@ -139,11 +169,11 @@ query(
 )(lambda t: t.raw_orders.select(*STAGED))
 
 query("raw_customers_scan", "SELECT customer_id, name, email, signup_date, region FROM raw_customers")(
-    lambda t: td.raw_customers(t.spark, t.sf_dir)
+    lambda t: t.raw_customers
 )
 
 query("raw_products_scan", "SELECT product_id, category, price, stock_level, product_name FROM raw_products")(
-    lambda t: td.raw_products(t.spark, t.sf_dir)
+    lambda t: t.raw_products
 )
 
 
@@ -175,8 +205,8 @@ def _null_markers(t: Tables) -> DataFrame:
 def _load_row_counts(t: Tables) -> DataFrame:
     return monitors.load_row_counts(
         {
-            "Customers": td.raw_customers(t.spark, t.sf_dir),
-            "Products": td.raw_products(t.spark, t.sf_dir),
+            "Customers": t.raw_customers,
+            "Products": t.raw_products,
             "Orders": t.raw_orders,
         }
     )

@@ -72,7 +72,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ORDER_ID = "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING))"
+_ORDER_ID = "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))"
 _SHIP_DAY = "CAST(CAST(l_shipdate AS DATE) AS STRING)"
 _CUSTOMER = "CAST(o_custkey AS STRING)"
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'PENDING' WHEN 'P' THEN 'SHIPPED' END"
