@@ -1,0 +1,146 @@
+"""Shapes of the physical plans that matter at scale."""
+
+import re
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from trustline.operators import duplicates as dup
+from trustline.operators import mart, rollup
+from trustline.plans.catalog import Tables
+from trustline.sources import schemas
+from trustline.sources import testdata as td
+from trustline.sources.tables import export_snapshot, row_identity
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf, tmp_path_factory):
+    return Tables(spark, sf).stored(str(tmp_path_factory.mktemp("stored")), 4)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()  # a plan of its own
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@contextmanager
+def settings(spark, **conf):
+    names = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_no_python_and_no_pairing_of_all_rows(spark, sf, name):
+    text = plan(queries()[name](spark, sf))
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
+        assert node not in text, node
+
+
+def test_mart_shuffles_rows_once(stored):
+    """Without hot keys: broadcast dimensions, one exchange of the order rows, no second join."""
+    text = final_plan(stored.fct)
+    assert text.count("+- Exchange hashpartitioning(_key") == 1
+    assert "SortMergeJoin" not in text and text.count("Window [") == 1
+
+
+def test_hot_keys_reuse_the_partitioning_of_the_window(spark, stored):
+    hot = dup.hot_buckets(stored.order_ids, "order_id", min_rows=1)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        built = mart.fct_orders(stored.stg_orders, stored.stg_customers, stored.stg_products, td.AS_OF, hot)
+        text = final_plan(built)
+    join = re.search(r"( *).*SortMergeJoin \[_key#", text)
+    assert join, text
+    main = text[join.end() :].split("Exchange hashpartitioning(_key", 1)[0]
+    assert "Window [" in main  # the window's own exchange is the first one below the join
+
+
+def test_unused_duplicate_flag_costs_nothing(stored):
+    text = plan(stored.fct.select("order_id", "has_negative_amount"))
+    assert "Window" not in text and "_bucket" not in text
+
+
+def test_rollup_of_the_stored_mart(spark, stored, tmp_path):
+    path = str(tmp_path / "mart")
+    stored.fct.write.parquet(path)
+    feed = rollup.daily_status_rollup(spark.read.parquet(path))
+    text = plan(feed)
+    assert text.count("Exchange") == 1 and "partial_count" in text
+    scan = feed._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    assert set(scan.requiredSchema().fieldNames()) == {
+        "order_date", "status", "total_amount", *rollup.DEFECT_MEASURES.values(),
+    }
+
+
+def test_raw_scan_reads_only_what_a_count_needs(stored):
+    text = plan(stored.stg_orders.where(F.col("customer_id").isNotNull()).select("customer_id"))
+    # The row index is made by the reader, not read.
+    assert re.search(r"ReadSchema: struct<customer_id:string(,_tmp_metadata_row_index:bigint)?>", text)
+    assert "PushedFilters: [IsNotNull(customer_id)]" in text
+
+
+def test_hot_bucket_counts_read_one_column(stored):
+    assert "ReadSchema: struct<order_id:string>" in plan(stored.hot)
+
+
+def test_hot_customer_partition_is_split(spark, tmp_path):
+    """A third of the orders with one customer, another third without any."""
+    path = str(tmp_path / "orders")
+    rows = spark.range(0, 60000, 1, 8).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 1, None)
+        .otherwise((F.col("id") % 997).cast("string"))
+        .alias("customer_id"),
+        F.lit("p").alias("product_id"),
+        F.lit(1).alias("quantity"),
+        F.lit(1.0).alias("total_amount"),
+        F.lit("2024-01-01").cast("date").alias("order_date"),
+        F.md5(F.col("id").cast("string")).alias("status"),
+    )
+    rows.write.parquet(path)
+    orders = spark.read.parquet(path)
+    names = [str(i) for i in range(997)] + ["hot"]
+    customers = spark.createDataFrame([(n, n, n, n, None) for n in names], schemas.STG_CUSTOMERS)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    with settings(spark, **conf):
+        joined = mart.join_customers(orders, customers)
+        joined.collect()
+        text = plan(joined).split("== Initial Plan ==")[0]
+        assert joined.where("customer_name is null").count() == 20000
+    assert "skew=true" in text
+
+
+def test_row_identity_is_read_from_the_file(spark, sf):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", row_identity())
+    assert lines.select("row_id").distinct().count() == lines.count()
+    assert lines.where("l_orderkey % 2 = 0").exceptAll(lines).isEmpty()
+
+
+def test_large_snapshot_is_not_written_by_one_task(spark, stored, tmp_path):
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+    with settings(spark, **small):
+        export_snapshot(stored.feed, str(tmp_path / "many"))
+    export_snapshot(stored.feed, str(tmp_path / "one"))
+    assert len(list((tmp_path / "many").glob("*.csv"))) > 1
+    assert len(list((tmp_path / "one").glob("*.csv"))) == 1

@@ -97,26 +97,35 @@ class Tables:
     def results(self) -> DataFrame:
         return quality.run_tests(self.models, run_at=RUN_AT)
 
+    @cached_property
+    def base_orders(self) -> DataFrame:
+        return td.base_orders(self.spark, self.sf_dir)
+
     @cached_property
     def base(self) -> DataFrame:
         """Staged orders without defects; their batch is their order date."""
-        staged = st.stg_orders(td.base_orders(self.spark, self.sf_dir))
-        return staged.withColumn("batch_date", F.col("order_date"))
+        return st.stg_orders(self.base_orders).withColumn("batch_date", F.col("order_date"))
 
     @cached_property
     def events(self) -> DataFrame:
         return td.event_orders(self.spark, self.sf_dir)
 
-    def stored(self, root: str) -> Tables:
-        """The same tables read back from Parquet under ``root``, as a load would leave them."""
-        for name in ("raw_orders", "raw_customers", "raw_products"):
-            frame = getattr(self, name)
-            kept = frame.drop("row_id") if name == "raw_orders" else frame
-            kept.write.mode("overwrite").parquet(f"{root}/{name}")
+    def stored(self, root: str, files: int) -> Tables:
+        """The same tables read back from Parquet under ``root``, as a load would leave them.
+
+        Daily loads leave many order files; ``files`` of them here.
+        """
+        for name in ("raw_orders", "base_orders"):
+            rows = getattr(self, name).drop("row_id").repartition(files)
+            rows.write.mode("overwrite").parquet(f"{root}/{name}")
+        self.raw_customers.write.mode("overwrite").parquet(f"{root}/raw_customers")
+        self.raw_products.write.mode("overwrite").parquet(f"{root}/raw_products")
         out = Tables(self.spark, self.sf_dir)
         orders = self.spark.read.schema(RAW_ORDERS).parquet(f"{root}/raw_orders")
         out.raw_orders = orders.select(*RAW_ORDERS.names, row_identity())
         out.order_ids = orders.select("order_id")
+        base = self.spark.read.parquet(f"{root}/base_orders")
+        out.base_orders = base.select("*", row_identity())
         out.raw_customers = self.spark.read.schema(RAW_CUSTOMERS).parquet(f"{root}/raw_customers")
         out.raw_products = self.spark.read.schema(RAW_PRODUCTS).parquet(f"{root}/raw_products")
         return out
