@@ -153,7 +153,7 @@ def test_relanded_day_replaces_its_rows(spark, landing, house, tmp_path):
 
 def test_replayed_micro_batch_changes_nothing(spark, landing, house):
     ld.run_load(spark, landing, house)
-    commits = os.path.join(house.ledger, "commits")
+    commits = os.path.join(house.checkpoint, "commits")
     newest = max(int(n) for n in os.listdir(commits) if n.isdigit())
     for name in (str(newest), f".{newest}.crc"):
         if os.path.exists(os.path.join(commits, name)):
@@ -162,6 +162,25 @@ def test_replayed_micro_batch_changes_nothing(spark, landing, house):
     assert ids(ld.raw_orders(spark, house)) == ["a", "b", "c"]
 
 
+def test_old_file_that_arrives_late_is_loaded(spark, landing, house):
+    ld.run_load(spark, landing, house)
+    path = put(landing, "orders/orders_2023-12-01.csv", order_lines("2023-12-01", "old"))
+    os.utime(path, (1.6e9, 1.6e9))
+    ld.run_load(spark, landing, house)
+    assert ids(ld.raw_orders(spark, house)) == ["a", "b", "c", "old"]
+
+
+def test_rewritten_file_replaces_its_rows(spark, landing, house):
+    ld.run_load(spark, landing, house)
+    path = put(landing, "orders/orders_2024-01-02.csv", order_lines("2024-01-02", "c", "c2"))
+    os.utime(path, (4e9, 4e9))
+    for _ in range(2):
+        ld.run_load(spark, landing, house)
+        assert ids(ld.raw_orders(spark, house)) == ["a", "b", "c", "c2"]
+    notes = spark.read.parquet(house.files)
+    assert notes.where("load_id like 'change-%'").count() == 1 and notes.count() == 3
+
+
 def test_full_load_starts_over(spark, landing, house):
     ld.run_load(spark, landing, house)
     os.remove(os.path.join(landing, "orders/orders_2024-01-02.csv"))

@@ -9,6 +9,9 @@ landing files with a dynamic partition overwrite.  So
 * a micro-batch that is replayed after a crash writes the same days again;
 * a second file for a day that was loaded before adds to it, and loses nothing;
 * a day that was landed again replaces its old rows instead of doubling them.
+
+A file source takes each name once.  Files rewritten under the same name are found by
+their modification time, which is kept per file beside the checkpoint.
 """
 
 from __future__ import annotations
@@ -31,13 +34,14 @@ from trustline.sources.tables import (
     write_dimension,
 )
 
-_BINARY_FILE = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
+_FILE = [
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+]
+_BINARY_FILE = T.StructType([*_FILE, T.StructField("content", T.BinaryType())])
+_LEDGER = T.StructType(
+    [*_FILE, T.StructField("batch_date", T.DateType()), T.StructField("load_id", T.StringType())]
 )
 _RAW_BATCHES = T.StructType(
     [
@@ -65,7 +69,16 @@ class Warehouse:
 
     @property
     def ledger(self) -> str:
-        return f"{self.root}/_ledger/raw_orders"
+        """Checkpoint of the file stream and, beside it, the versions of the files loaded."""
+        return f"{self.root}/_ledger"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.ledger}/checkpoint"
+
+    @property
+    def files(self) -> str:
+        return f"{self.ledger}/files"
 
     def dimension(self, entity: str) -> str:
         return f"{self.root}/raw_{entity}"
@@ -100,14 +113,31 @@ def rebuild_days(spark: SparkSession, landing: str, warehouse: Warehouse, days:
     write_daily(lz.scan_batches(spark, landing, days), warehouse.orders)
 
 
+def _days(files: DataFrame) -> list[dt.date]:
+    """The batch dates of some files: one per calendar day, from file names alone."""
+    days = [r.batch_date for r in files.select("batch_date").distinct().collect()]
+    if None in days:
+        raise UndatedFileError(f"no batch date in {files.where('batch_date is null').first().path}")
+    return days
+
+
+def _record(files: DataFrame, warehouse: Warehouse, load_id: str) -> None:
+    """Note the files' versions; writing the same load again replaces its notes."""
+    (
+        files.withColumn("load_id", F.lit(load_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_id")
+        .parquet(warehouse.files)
+    )
+
+
 def _on_new_files(landing: str, warehouse: Warehouse):
     def handle(files: DataFrame, batch_id: int) -> None:
-        # One row per calendar day touched, from file names alone.
-        days = [r.batch_date for r in files.select("batch_date").distinct().collect()]
-        if None in days:
-            undated = files.where("batch_date is null").first().path
-            raise UndatedFileError(f"no batch date in {undated}")
+        days = _days(files)
         if days:
+            # Before reading: a file rewritten meanwhile is then newer than its note.
+            _record(files, warehouse, f"batch-{batch_id}")
             rebuild_days(files.sparkSession, landing, warehouse, days)
 
     return handle
@@ -119,21 +149,39 @@ def load_new_orders(
     """Load the order files that were not loaded before, and end."""
     if not exists(spark, f"{landing}/orders"):
         return
-    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE)
-    reader = reader.options(recursiveFileLookup=True, pathGlobFilter="*.csv")
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema(_BINARY_FILE)
+        .options(recursiveFileLookup=True, pathGlobFilter="*.csv")
+        .option("maxFileAge", "36500d")  # take late files however old they are
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(f"{landing}/orders").select("path", "modificationTime", "length")
     query = (
         files.withColumn("batch_date", lz.batch_date(F.col("path")))
         .writeStream.foreachBatch(_on_new_files(landing, warehouse))
-        .option("checkpointLocation", warehouse.ledger)
+        .option("checkpointLocation", warehouse.checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
 
 
+def reload_changed_orders(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
+    """Rebuild the days of files that were rewritten under their name since they were loaded."""
+    if not exists(spark, f"{landing}/orders"):
+        return
+    ledger = read_table(spark, warehouse.files, _LEDGER)
+    changed = lz.changed_files(lz.file_inventory(spark, landing), ledger)
+    # Names and times as of now, one row per rewritten file, before any of them is read.
+    seen = spark.createDataFrame(changed.collect(), T.StructType(_LEDGER.fields[:-1]))
+    days = _days(seen)
+    if days:
+        rebuild_days(spark, landing, warehouse, days)
+        _record(seen, warehouse, f"change-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}")
+
+
 def run_load(spark: SparkSession, landing: str, warehouse: Warehouse | str, mode: str = "incremental") -> None:
     """Load the landing zone: ``full`` empties the raw tables first, ``incremental`` adds.
 
@@ -148,6 +196,7 @@ def run_load(spark: SparkSession, landing: str, warehouse: Warehouse | str, mode
         _delete(spark, warehouse.orders)
     load_dimensions(spark, landing, warehouse)
     load_new_orders(spark, landing, warehouse)
+    reload_changed_orders(spark, landing, warehouse)
 
 
 def raw_order_batches(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
