@@ -71,6 +71,8 @@ def test_seeded_backfill_shows_every_defect(spark, customers, products, source,
     assert results["relationships_fct_orders_customer_id"].status == "warn"
     assert results["unique_stg_orders_order_id"].status == "warn"
     mart = spark.read.parquet(cfg.warehouse.mart)
+    assert spark.sql("select count(*) from fct_orders").first()[0] == mart.count()
+    assert spark.sql("select count(*) from stg_orders").first()[0] == mart.count()
     found = mart.agg(*[F.count_if(f).alias(f) for f in set(DETECTED_BY.values())]).first().asDict()
     assert all(n > 0 for n in found.values()), found
 
@@ -98,6 +100,11 @@ def test_backfill_history_is_bounded(spark, customers, products, source, tmp_pat
     assert raw_orders(spark, cfg.warehouse).count() == 180
 
 
+def test_landed_rows_are_counted(spark, source, tmp_path):
+    cfg = config(tmp_path, None)
+    assert pl.land_window(spark, cfg, source, day(2), day(3), day(3)) == 120
+
+
 def test_ingest_window_and_mark(spark, source, tmp_path):
     cfg = config(tmp_path, None)
     assert pl.ingest(spark, cfg, source, day(3)) == 1  # no mark: yesterday

@@ -234,10 +234,17 @@ def quarantine_rows(fct: DataFrame) -> DataFrame:
 
 
 def quarantine_by_reason(fct: DataFrame) -> DataFrame:
-    """Rows and amount per flag; a row counts once for each of its flags."""
-    return (
-        quarantine_rows(fct)
-        .select(F.explode("reasons").alias("reason"), "total_amount")
-        .groupBy("reason")
-        .agg(F.count("*").alias("row_count"), F.sum("total_amount").alias("amount"))
+    """Rows and amount per flag that occurs; a row counts once for each of its flags."""
+    totals = fct.agg(
+        *[F.count_if(F.col(f)).alias(f"{f}_n") for f in flags.FLAGS],
+        *[F.sum(F.when(F.col(f), F.col("total_amount"))).alias(f"{f}_amount") for f in flags.FLAGS],
     )
+    rows = [
+        F.struct(
+            F.lit(f).alias("reason"),
+            F.col(f"{f}_n").alias("row_count"),
+            F.col(f"{f}_amount").alias("amount"),
+        )
+        for f in flags.FLAGS
+    ]
+    return totals.select(F.inline(F.array(*rows))).where(F.col("row_count") > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,13 @@ from trustline.operators.rollup import daily_status_rollup
 from trustline.operators.staging import stg_customers, stg_orders, stg_products
 from trustline.sources import landing as lz
 from trustline.sources.schemas import DQ_RESULTS, RAW_ORDERS
-from trustline.sources.tables import export_snapshot, materialise, read_table, require_dimensions
+from trustline.sources.tables import (
+    create_views,
+    export_snapshot,
+    materialise,
+    read_table,
+    require_dimensions,
+)
 from trustline.streaming.load import Warehouse, raw_dimension, raw_orders, run_load
 
 _MARKS = T.StructType([T.StructField("batch_date", T.DateType())])
@@ -65,8 +71,11 @@ def land_window(
     start: dt.date,
     end: dt.date,
     as_of: dt.date | str | None,
-) -> None:
-    """Land the source's batches from ``start`` to ``end``, all days in one job."""
+) -> int:
+    """Land the source's batches from ``start`` to ``end``, all days in one job.
+
+    Returns the number of rows landed, counted while they are written.
+    """
     batch = source.where(F.col("batch_date").between(start, end))
     if config.rate is not None:
         typed = batch.select(
@@ -76,7 +85,10 @@ def land_window(
         )
         batch = seed_all(typed, config.seed_keys, "batch_date", config.rate, as_of)
     text = [F.col(c).cast("string").alias(c) for c in RAW_ORDERS.names]
-    lz.land_batches(batch.select(*text, "batch_date"), config.landing)
+    landed = Observation("landed")
+    rows = batch.select(*text, "batch_date").observe(landed, F.count("*").alias("rows"))
+    lz.land_batches(rows, config.landing)
+    return landed.get["rows"]
 
 
 def ingest(
@@ -94,18 +106,20 @@ def ingest(
 def build_models(
     spark: SparkSession, warehouse: Warehouse, as_of: dt.date | str | None = None
 ) -> dict[str, DataFrame]:
-    """Stage the raw tables and rebuild the stored mart."""
+    """Stage the raw tables as views and rebuild the stored mart."""
     require_dimensions(spark, {e: warehouse.dimension(e) for e in ("customers", "products")})
     orders = stg_orders(raw_orders(spark, warehouse))
     customers = stg_customers(raw_dimension(spark, warehouse, "customers"))
     products = stg_products(raw_dimension(spark, warehouse, "products"))
     mart = materialise(fct_orders(orders, customers, products, as_of), warehouse.mart)
-    return {
+    models = {
         "stg_orders": orders,
         "stg_customers": customers,
         "stg_products": products,
         "fct_orders": mart,
     }
+    create_views(models)
+    return models
 
 
 def transform_and_report(

@@ -86,6 +86,12 @@ def materialise(df: DataFrame, target: str, as_table: bool = False) -> DataFrame
     return spark.read.parquet(target)
 
 
+def create_views(frames: dict[str, DataFrame]) -> None:
+    """Make frames available to ``spark.sql`` under their names, without storing them."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+
+
 def export_snapshot(feed: DataFrame, path: str) -> None:
     """Write the feed as CSV with a header.
 
