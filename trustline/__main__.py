@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m``-style entry to the chains and their steps.
+"""Command line: entry to the chains and their steps.
 
 python -m trustline load     --landing L --warehouse W [--mode full|incremental]
 python -m trustline build    --landing L --warehouse W --snapshot S [--as-of D]
