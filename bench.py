@@ -120,7 +120,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")),
             }
         )
     )

@@ -121,6 +121,8 @@ def test_incremental_load_takes_each_file_once(spark, landing, house):
     ld.run_load(spark, landing, house)
     assert ids(ld.raw_orders(spark, house)) == ["a", "b", "c", "d"]
     assert ld.raw_dimension(spark, house, "customers").first().region == "Korea, South"
+    counts = {r.table_name: r.cnt for r in ld.loaded_counts(spark, house).collect()}
+    assert counts == {"Customers": 1, "Products": 1, "Orders": 4}
 
 
 def test_late_file_adds_to_its_day(spark, landing, house):

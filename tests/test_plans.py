@@ -66,6 +66,11 @@ def test_hot_keys_reuse_the_partitioning_of_the_window(spark, stored):
     assert "Window [" in main  # the window's own exchange is the first one below the join
 
 
+def test_rollup_does_not_shuffle_attributes(stored):
+    shuffled = re.search(r"Exchange hashpartitioning\(_key.*\n.*?Project \[(.*)\]", final_plan(stored.feed)).group(1)
+    assert "customer_name" not in shuffled and "product_name" not in shuffled
+
+
 def test_unused_duplicate_flag_costs_nothing(stored):
     text = plan(stored.fct.select("order_id", "has_negative_amount"))
     assert "Window" not in text and "_bucket" not in text

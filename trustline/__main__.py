@@ -20,7 +20,7 @@ from trustline.plans import pipeline
 from trustline.plans.feed import load_feed
 from trustline.plans.report import show_report
 from trustline.sources.landing import reset_landing
-from trustline.streaming.load import Warehouse, run_load
+from trustline.streaming.load import Warehouse, loaded_counts, run_load
 
 # Command -> options it needs.
 COMMANDS = {
@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = spark_session()
     if args.command == "load":
         run_load(spark, args.landing, args.warehouse, args.mode)
+        loaded_counts(spark, Warehouse(args.warehouse)).show()
     elif args.command == "report":
         show_report(load_feed(spark, Warehouse(args.warehouse).mart, args.snapshot), args.as_of)
     elif args.command == "reset":

@@ -21,9 +21,11 @@ def as_of_date(as_of: dt.date | str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
-def join_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def join_customers(orders: DataFrame, customers: DataFrame, *keep: str) -> DataFrame:
     """Left join; ``matched_customer_id`` is NULL where no customer was found.
 
+    ``keep`` names further columns of the dimension.
+
     No broadcast hint on purpose: Spark broadcasts a dimension that its statistics
     (or AQE's measured sizes) put under the threshold, and otherwise sort-merges,
     where AQE splits the partition of a hot or NULL customer.
@@ -32,16 +34,18 @@ def join_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("customer_id").alias("matched_customer_id"),
         F.col("name").alias("customer_name"),
         F.col("region").alias("customer_region"),
+        *keep,
     )
     return orders.join(dim, F.col("customer_id") == F.col("matched_customer_id"), "left")
 
 
-def join_products(orders: DataFrame, products: DataFrame) -> DataFrame:
+def join_products(orders: DataFrame, products: DataFrame, *keep: str) -> DataFrame:
     dim = products.select(
         F.col("product_id").alias("matched_product_id"),
         "product_name",
         "category",
         F.col("price").alias("unit_price"),
+        *keep,
     )
     return orders.join(dim, F.col("product_id") == F.col("matched_product_id"), "left")
 
@@ -64,9 +68,13 @@ def flagged_orders(
     salted = dup.with_salt(
         orders, "order_id", hot if hot is not None else dup.hot_buckets(orders, "order_id")
     )
-    joined = join_products(join_customers(salted, customers), products)
-    attributes = ["customer_name", "customer_region", "product_name", "category", "unit_price"]
-    numbered = dup.number_in_group(joined, order, attributes)
+    # An order that matches several dimension rows ranks them by a hash made beside the
+    # dimension: the attributes themselves need not pass the window where nobody reads them.
+    customers = customers.withColumn("_customer", F.xxhash64("name", "region"))
+    products = products.withColumn("_product", F.xxhash64("product_name", "category", "price"))
+    joined = join_customers(salted, customers, "_customer")
+    joined = join_products(joined, products, "_product")
+    numbered = dup.number_in_group(joined, order, ["_customer", "_product"])
     numbered = numbered.join(dup.first_groups(salted, order), ["_key", "_key_null", "_salt"], "left")
     total, status = F.col("total_amount"), F.col("status")
     flagged = (

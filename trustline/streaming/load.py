@@ -10,6 +10,9 @@ landing files with a dynamic partition overwrite.  So
 * a second file for a day that was loaded before adds to it, and loses nothing;
 * a day that was landed again replaces its old rows instead of doubling them.
 
+The landing zone is the record of a day: keep a day's files there as long as more may
+come for it.
+
 A file source takes each name once.  Files rewritten under the same name are found by
 their modification time, which is kept per file beside the checkpoint.
 """
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trustline.operators.monitors import load_row_counts
 from trustline.sources import landing as lz
 from trustline.sources.schemas import RAW, RAW_ORDERS
 from trustline.sources.tables import (
@@ -219,6 +223,17 @@ def raw_dimension(spark: SparkSession, warehouse: Warehouse, entity: str) -> Dat
     return stored.where(F.col(lz.MALFORMED).isNull()).select(*RAW[entity].names)
 
 
+def loaded_counts(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """(table_name, cnt) of the three raw tables, to check a load."""
+    return load_row_counts(
+        {
+            "Customers": raw_dimension(spark, warehouse, "customers"),
+            "Products": raw_dimension(spark, warehouse, "products"),
+            "Orders": raw_orders(spark, warehouse),
+        }
+    )
+
+
 def quarantined_lines(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """Malformed order lines with their file and batch date."""
     return lz.malformed_rows(raw_order_batches(spark, warehouse))
