@@ -28,8 +28,11 @@ def test_safe_double(spark):
 
 
 def test_safe_date(spark):
-    texts = ["2024-01-05", "2024-1-5", "2024", "2024-01-05 10:00:00", "2024-02-30", "not-a-date", None]
-    assert column(spark, texts, casts.safe_date) == [dt.date(2024, 1, 5)] + [None] * 6
+    others = [
+        "2024-1-5", "2024", "2024-01-05 10:00:00", "2024-02-30", "not-a-date", None,
+        "2024-1-5 1", "2024-1-05T", "+2024-1-05", " 202-01-05", "2024/01/05", "",
+    ]
+    assert column(spark, ["2024-01-05", *others], casts.safe_date) == [dt.date(2024, 1, 5)] + [None] * 12
 
 
 def test_null_markers(spark):

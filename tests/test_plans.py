@@ -12,7 +12,7 @@ from trustline.operators import mart, rollup
 from trustline.plans.catalog import Tables
 from trustline.sources import schemas
 from trustline.sources import testdata as td
-from trustline.sources.tables import export_snapshot, row_identity
+from trustline.sources.tables import export_snapshot, row_identity, write_daily
 
 
 @pytest.fixture(scope="module")
@@ -149,3 +149,17 @@ def test_large_snapshot_is_not_written_by_one_task(spark, stored, tmp_path):
     export_snapshot(stored.feed, str(tmp_path / "one"))
     assert len(list((tmp_path / "many").glob("*.csv"))) > 1
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    day = F.when(F.col("id") < 19000, "2024-01-01").otherwise("2024-01-02")
+    rows = spark.range(0, 20000, 1, 8).select(F.md5(F.col("id").cast("string")).alias("v"), day.alias("batch_date"))
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    }
+    with settings(spark, **small):
+        write_daily(rows, str(tmp_path / "d"), cluster=True)
+    assert len(list((tmp_path / "d" / "batch_date=2024-01-01").glob("*.parquet"))) > 2
+    assert len(list((tmp_path / "d" / "batch_date=2024-01-02").glob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 20000

@@ -33,7 +33,9 @@ def safe_double(text: Column) -> Column:
 
 def safe_date(text: Column) -> Column:
     """``yyyy-MM-dd`` text to DATE; every other form is NULL."""
-    return F.when(F.length(text) == 10, text.try_cast("date"))
+    # The cast alone would take "2024-1-5" and "2024-01-05T10", too.
+    shaped = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(shaped, text.try_cast("date"))
 
 
 def null_marker(text: Column) -> Column:
