@@ -14,7 +14,6 @@ import contextlib
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from trustline import spark_session  # noqa: E402
 from trustline.operators.rollup import daily_status_rollup  # noqa: E402
 from trustline.plans.catalog import BUILDERS, Tables  # noqa: E402
-from trustline.sources.tables import materialise  # noqa: E402
+from trustline.sources.tables import materialise, scratch_folder  # noqa: E402
 
 # From the stored raw tables, the whole plan each time.
 FROM_RAW = [
@@ -65,14 +64,6 @@ def timed(action, repeat: int = 3) -> float:
     return round(min(elapsed), 3)
 
 
-def scratch(spark) -> str:
-    """Shared folder where the cluster names one, else a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/trustline-bench-{int(time.time())}"
-    return tempfile.mkdtemp(prefix="trustline-bench-")
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -85,7 +76,7 @@ def main() -> None:
         spark__driver__memory="12g",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    root = scratch(spark)
+    root = scratch_folder(spark, "bench")
     times: dict[str, float] = {}
 
     source = Tables(spark, sf_dir)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,6 +35,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared storage that ``spark.checkpoint.dir`` names.
+
+    Only where that is unset, as in tests, it is a local one.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/trustline-{name}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"trustline-{name}-")
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet table; an empty frame of ``schema`` when it was never written."""
     if not exists(spark, path):
