@@ -205,7 +205,7 @@ def test_row_numbers_by_hash_digit(spark):
     rows = row_number_within(df, "k", dup.Ordering(("h",)), "n", hex_digit("h"), hot).collect()
     rows.sort(key=lambda r: r.n)
     assert [r.n for r in rows] == list(range(1, 501))
-    digits = [r.h[:4] for r in rows]
+    digits = [r.h[:3] for r in rows]
     assert digits == sorted(digits)
     plain = row_number_within(df, "k", dup.Ordering(("h",)), "n", hex_digit("h"), hot.limit(0)).collect()
     hashes = [r.h for r in sorted(plain, key=lambda r: r.n)]
