@@ -10,7 +10,6 @@ the pipeline would read at that point.  Each is run three times; the fastest cou
 
 from __future__ import annotations
 
-import contextlib
 import json
 import os
 import sys
@@ -118,6 +117,4 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    # Spark writes to stdout's descriptor only through Python; keep it to the one line.
-    with contextlib.suppress(BrokenPipeError):
-        main()
+    main()

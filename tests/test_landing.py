@@ -227,6 +227,16 @@ def test_nothing_loaded_yet(spark, house):
 # --- sinks ----------------------------------------------------------------------------
 
 
+def test_scratch_folder_is_in_the_shared_storage():
+    class Session:
+        def __init__(self, shared):
+            self.conf = {"spark.checkpoint.dir": shared} if shared else {}
+
+    first, second = (tables.scratch_folder(Session("hdfs://shared/cp/"), "x") for _ in range(2))
+    assert first.startswith("hdfs://shared/cp/trustline-x-") and first != second
+    assert os.path.isdir(tables.scratch_folder(Session(None), "x"))
+
+
 def test_require_dimensions(spark, tmp_path):
     path = str(tmp_path / "customers")
     with pytest.raises(tables.MissingDimensionError, match="customers"):

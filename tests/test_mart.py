@@ -129,7 +129,8 @@ def skewed(spark, copies=False):
             rows.append((i, *order(key)))
             continue
         date = rng.choice([None, dt.date(2024, 1, rng.randrange(1, 28))])
-        rows.append((i, *order(key, rng.choice(["c1", None]), f"p{rng.randrange(4)}", 2, rng.choice([20.0, None]), date)))
+        customer, total = rng.choice(["c1", None]), rng.choice([20.0, None])
+        rows.append((i, *order(key, customer, f"p{rng.randrange(4)}", 2, total, date)))
     names = ["row_id", *schemas.STG_ORDERS.names]
     return spark.createDataFrame(rows, "row_id bigint, " + ddl(schemas.STG_ORDERS)).select(*names)
 

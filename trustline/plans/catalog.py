@@ -325,17 +325,17 @@ query(
 
 # --- rollup and report tables ---------------------------------------------------------
 
-_FEED = """
+FEED_SQL = """
     SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date, round(total_revenue, 2) AS total_revenue,
                       round(clean_revenue, 2) AS clean_revenue) FROM {0}"""
 
-query("daily_status_rollup", _FEED.format("feed"))(lambda t: rounded(t.feed))
+query("daily_status_rollup", FEED_SQL.format("feed"))(lambda t: rounded(t.feed))
 
-query("lowercase_columns", _FEED.format("feed"))(
+query("lowercase_columns", FEED_SQL.format("feed"))(
     lambda t: casts.lowercase_columns(rounded(t.feed.toDF(*[c.upper() for c in t.feed.columns])))
 )
 
-query("business_view", _FEED.format("business"))(
+query("business_view", FEED_SQL.format("business"))(
     lambda t: rounded(dashboard.business_view(t.feed, td.AS_OF))
 )
 

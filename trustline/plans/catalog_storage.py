@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trustline.operators.calendar import high_water_mark
 from trustline.operators.mart import clean_orders
 from trustline.plans import pipeline as pl
-from trustline.plans.catalog import Tables, query, rounded
+from trustline.plans.catalog import FEED_SQL, Tables, query, rounded
 from trustline.plans.feed import load_feed
 from trustline.sources import landing as lz
 from trustline.sources import testdata as td
@@ -171,19 +171,14 @@ def _mart(t: Tables) -> DataFrame:
     return clean_orders(materialise(t.fct, f"{scratch_folder(t.spark, 'mart')}/fct_orders"))
 
 
-_FEED = """
-    SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date, round(total_revenue, 2) AS total_revenue,
-                      round(clean_revenue, 2) AS clean_revenue) FROM feed"""
-
-
-@query("snapshot_roundtrip", _FEED)
+@query("snapshot_roundtrip", FEED_SQL.format("feed"))
 def _snapshot(t: Tables) -> DataFrame:
     path = f"{scratch_folder(t.spark, 'snapshot')}/feed"
     export_snapshot(t.feed, path)
     return rounded(read_snapshot(t.spark, path))
 
 
-@query("feed_fallback", _FEED)
+@query("feed_fallback", FEED_SQL.format("feed"))
 def _fallback(t: Tables) -> DataFrame:
     root = scratch_folder(t.spark, "fallback")
     export_snapshot(t.feed, f"{root}/feed")
