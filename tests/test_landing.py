@@ -194,6 +194,24 @@ def test_full_load_starts_over(spark, landing, house):
     assert ids(ld.raw_orders(spark, house)) == ["a", "b"]
 
 
+def test_full_load_of_an_incomplete_landing_zone_deletes_nothing(spark, landing, house, tmp_path):
+    ld.run_load(spark, landing, house)
+    elsewhere = str(tmp_path / "elsewhere")
+    put(elsewhere, "customers/customers.csv", CUSTOMERS)
+    with pytest.raises(tables.MissingDimensionError, match="products"):
+        ld.run_load(spark, elsewhere, house, "full")
+    assert ids(ld.raw_orders(spark, house)) == ["a", "b", "c"]
+
+
+def test_dimension_that_is_not_landed_stays(spark, landing, house, tmp_path):
+    ld.run_load(spark, landing, house)
+    elsewhere = str(tmp_path / "elsewhere")
+    put(elsewhere, "customers/customers.csv", CUSTOMERS + "c9,Bo,b@x,2024-01-01,EU\n")
+    ld.load_dimensions(spark, elsewhere, house)
+    assert ld.raw_dimension(spark, house, "customers").first().customer_id == "c9"
+    assert ld.raw_dimension(spark, house, "products").first().product_id == "p1"
+
+
 def test_load_keeps_malformed_lines(spark, landing, house):
     put(landing, "orders/orders_2024-01-04.csv", HEADER + "bad,line\nok,c1,p1,1,10.0,2024-01-04,PENDING\n")
     ld.run_load(spark, landing, house)

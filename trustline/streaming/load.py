@@ -30,6 +30,7 @@ from trustline.operators.monitors import load_row_counts
 from trustline.sources import landing as lz
 from trustline.sources.schemas import RAW, RAW_ORDERS
 from trustline.sources.tables import (
+    MissingDimensionError,
     exists,
     hadoop_path,
     read_table,
@@ -57,6 +58,9 @@ _RAW_BATCHES = T.StructType(
 )
 
 
+DIMENSIONS = ("customers", "products")
+
+
 class UndatedFileError(ValueError):
     """An order file whose path names no batch date."""
 
@@ -105,9 +109,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def landed_dimensions(spark: SparkSession, landing: str) -> list[str]:
+    return [e for e in DIMENSIONS if exists(spark, f"{landing}/{e}")]
+
+
 def load_dimensions(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
-    """Replace both dimension tables from their landing files."""
-    for entity in ("customers", "products"):
+    """Replace the dimension tables from their landing files; one that is not landed stays."""
+    for entity in landed_dimensions(spark, landing):
         scanned = lz.scan_landing(spark, landing, entity)
         write_dimension(scanned.drop("source_file"), warehouse.dimension(entity))
 
@@ -189,13 +197,17 @@ def reload_changed_orders(spark: SparkSession, landing: str, warehouse: Warehous
 def run_load(spark: SparkSession, landing: str, warehouse: Warehouse | str, mode: str = "incremental") -> None:
     """Load the landing zone: ``full`` empties the raw tables first, ``incremental`` adds.
 
-    A full load drops the ledger before the table.  Whatever step it dies in, the next
-    load of either mode sees all files as new and finishes the job.
+    A full load needs both dimensions in the landing zone, and looks before it deletes.
+    It drops the ledger before the table: whatever step it dies in, the next load of
+    either mode sees all files as new and finishes the job.
     """
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown load mode: {mode}")
     warehouse = Warehouse(warehouse) if isinstance(warehouse, str) else warehouse
     if mode == "full":
+        missing = set(DIMENSIONS) - set(landed_dimensions(spark, landing))
+        if missing:
+            raise MissingDimensionError(f"not landed: {', '.join(sorted(missing))}")
         _delete(spark, warehouse.ledger)
         _delete(spark, warehouse.orders)
     load_dimensions(spark, landing, warehouse)
