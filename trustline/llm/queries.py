@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustline.llm.decontaminate import contaminated, find_benchmark
+from trustline.llm.neardup import find_groups, keeps
 from trustline.llm.passages import find_repeats
 
 
@@ -38,7 +39,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of each document, at a similarity of 0.85."""
+    found = find_groups(table(spark, sf_dir, "documents"), threshold=0.85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), keeps(F.col("id"), F.col("component")).alias("kept"))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
