@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustline.llm.decontaminate import contaminated, find_benchmark
 from trustline.llm.neardup import find_groups, keeps
+from trustline.llm.order import materialise
 from trustline.llm.passages import find_repeats
+from trustline.llm.tokens import count_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,14 +42,30 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOKEN_LIMIT = 1024
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document, and how many of its bytes the limit holds."""
+    found = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT, store=False)
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fitting_bytes")
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of each document, at a similarity of 0.85."""
     found = find_groups(table(spark, sf_dir, "documents"), threshold=0.85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), keeps(F.col("id"), F.col("component")).alias("kept"))
 
 
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of the corpus with its global slot and its place in the written shards."""
+    return materialise(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op6_token_counts": op6_token_counts,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_training_order": op10_training_order,
 }
