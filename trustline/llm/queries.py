@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustline.llm.decontaminate import contaminated, find_benchmark
+from trustline.llm.fingerprints import compare_edits
+from trustline.llm.mixing import schedule, taken
 from trustline.llm.neardup import find_groups, keeps
 from trustline.llm.order import materialise
 from trustline.llm.passages import find_repeats
@@ -17,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document go into the mix."""
+    found = taken(*schedule(table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the passages that an earlier one has."""
     found = find_repeats(table(spark, sf_dir, "documents"))
@@ -51,6 +59,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fitting_bytes")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and of its edited text."""
+    return compare_edits(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of each document, at a similarity of 0.85."""
     found = find_groups(table(spark, sf_dir, "documents"), threshold=0.85)
@@ -63,9 +76,11 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op6_token_counts": op6_token_counts,
+    "op7_fingerprints": op7_fingerprints,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_training_order": op10_training_order,
 }
