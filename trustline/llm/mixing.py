@@ -152,7 +152,7 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
     often = taken(documents, pieces).select("id", "text_hash", copies(F.col("taken"), F.col("size")).alias("often"))
     # Rows that are alike in id and text are alike in the mix: each is repeated as often as they are on average.
     often = often.groupBy("id", "text_hash").agg((F.sum("often") / F.count("*")).cast("int").alias("often")).where("often > 0")
-    often = often.select(F.coalesce("id", "text_hash").alias("_mix_key"), F.col("text_hash").alias("_mix_text"), F.col("often").alias("_mix_often"))
-    keyed = docs.withColumns({"_mix_key_of": F.coalesce(ident, F.xxhash64(text)), "_mix_text_of": F.xxhash64(text)})
-    joined = keyed.join(often, (F.col("_mix_key_of") == F.col("_mix_key")) & (F.col("_mix_text_of") == F.col("_mix_text")))
-    return joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_often"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    often = often.select(F.coalesce("id", "text_hash").alias("key"), "text_hash", "often")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(docs.columns)], F.coalesce(ident, F.xxhash64(text)).alias("key"), F.xxhash64(text).alias("text_hash"))
+    mixed = rows.join(often, ["key", "text_hash"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "often")))
+    return mixed.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -48,6 +48,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_SAFE = "replace(coalesce({0}, ''), '<|', '<| ')"
+
+OP5 = rf"""
+WITH c AS (
+  SELECT conv_id, list({{'r': role, 't': text}} ORDER BY turn, role, text) AS turns,
+    string_agg('<|im_start|>' || {_SAFE.format("role")} || chr(10) || {_SAFE.format("text")} || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+  FROM conversations GROUP BY conv_id
+),
+continued AS (SELECT DISTINCT p FROM (SELECT list_slice(turns, 1, unnest(range(1, len(turns)))) AS p FROM c)),
+e AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS copies, any_value(text) AS text FROM c GROUP BY turns)
+SELECT conv_id, CAST(0 AS INTEGER) AS part, CAST(len(turns) AS BIGINT) AS n_turns, copies, text
+FROM e WHERE NOT EXISTS (SELECT 1 FROM continued WHERE p = e.turns)
+"""
+
 OP9 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (
@@ -64,4 +78,4 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS compon
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON node = d.doc_id
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op3_decontaminate": OP3, "op9_minhash_dedup": OP9}
+ORACLES = {"op2_substring_dedup": OP2, "op3_decontaminate": OP3, "op5_chat_format": OP5, "op9_minhash_dedup": OP9}

@@ -6,19 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trustline.llm.chat import format_chats
 from trustline.llm.decontaminate import contaminated, find_benchmark
 from trustline.llm.fingerprints import compare_edits
+from trustline.llm.html import extract
 from trustline.llm.mixing import schedule, taken
 from trustline.llm.neardup import find_groups, keeps
 from trustline.llm.order import materialise
 from trustline.llm.passages import find_repeats
+from trustline.llm.quality import TAIL, grade, train
+from trustline.llm.shared import table
 from trustline.llm.tokens import count_tokens
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document go into the mix."""
     found = taken(*schedule(table(spark, sf_dir, "documents")))
@@ -50,6 +50,18 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of each document, and whether it is selected."""
+    docs = table(spark, sf_dir, "documents")
+    found = grade(docs, train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return found.select(F.col("k0").alias("doc_id"), "expected_grade", "p_clean", "p_good", (F.col("p_good") >= TAIL).alias("kept"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation that isn't the beginning of a longer one, rendered."""
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 TOKEN_LIMIT = 1024
 
 
@@ -64,6 +76,12 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edits(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    found = extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of each document, at a similarity of 0.85."""
     found = find_groups(table(spark, sf_dir, "documents"), threshold=0.85)
@@ -79,8 +97,11 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op4_quality": op4_quality,
+    "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
     "op7_fingerprints": op7_fingerprints,
+    "op8_html_extraction": op8_html_extraction,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_training_order": op10_training_order,
 }

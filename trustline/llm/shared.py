@@ -1,11 +1,10 @@
-"""Storage shared by driver and executors, and small frame helpers."""
+"""Storage that driver and executors share."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from trustline.sources.tables import scratch_folder
 
@@ -33,13 +32,5 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def temp(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` doesn't have yet."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
-def digest(parts: Column) -> Column:
-    return F.sha2(parts, 256)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
