@@ -32,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustline.llm.shared import partitions, stored
-from trustline.llm.words import SPACED, raw_texts, rolling, scan, slices, whole
+from trustline.llm.shared import lean, partitions, stored
+from trustline.llm.words import SPACED, mix, raw_texts, rolling, scan, slices, whole
 
 WINDOW = 13
 ANCHOR = 7  # words of an anchor
-HELD = 1 << 21  # entries that a task gathers before it sorts them
+HELD = 1 << 20  # entries that a task gathers before it sorts them
+DEALT_ROWS = 1 << 19  # entries dealt at once
 SHARD_BITS = 12  # an automaton has the windows that start in so many bits of an owner's words
 STREAM = 20_000  # passages that one task streams through an automaton
 LAST = np.iinfo(np.int64).max
@@ -101,6 +102,11 @@ def _deal(hashes: np.ndarray, n: int, *arrays: np.ndarray) -> pa.RecordBatch:
     )
 
 
+def _deal_all(found: list[tuple], n: int) -> pa.RecordBatch:
+    hashes, *arrays = (np.concatenate(x) for x in zip(*found, strict=True))
+    return _deal(hashes, n, *arrays)
+
+
 _DEALT = "share int, n int, entries binary"
 
 
@@ -133,6 +139,10 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _spread(keys: np.ndarray) -> np.ndarray:
+    return mix(keys.view(np.uint64))
+
+
 def _runs(values: np.ndarray, at: np.ndarray) -> list[bytes]:
     ends = np.append(at, len(values))[1:]
     return [values[a:b].astype(np.int32).tobytes() for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
@@ -181,13 +191,16 @@ def _emit_anchors(window: int, n_shares: int):
                 hashes.append(each[place])
                 classes.append(own[part.first + row])
                 places.append((place - part.word_at[row]).astype(np.int32))
+                if sum(map(len, hashes)) > DEALT_ROWS:
+                    yield _deal(np.concatenate(hashes), n_shares, np.concatenate(classes), np.concatenate(places))
+                    hashes, classes, places = [], [], []
             if hashes:
                 yield _deal(np.concatenate(hashes), n_shares, np.concatenate(classes), np.concatenate(places))
 
     return run
 
 
-def _recurring_anchors(held: int):
+def _recurring_anchors(held: int, n_shares: int):
     def settle(kept, fresh):
         h, c, p = fresh
         first = np.zeros(len(h), bool)  # stands for a hash that is known to recur
@@ -202,10 +215,7 @@ def _recurring_anchors(held: int):
         group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(h))))
         again = (np.minimum.reduceat(c, at) < np.maximum.reduceat(c, at)) | first[at] if len(at) else np.zeros(0, bool)
         out = again[group] & ~first
-        order = np.lexsort((p[out], c[out]))
-        oc, op = c[out][order], p[out][order]
-        own = _groups(oc)
-        batch = pa.RecordBatch.from_arrays([pa.array(oc[own], pa.int64()), pa.array(_runs(op, own), pa.binary())], ["class", "at"])
+        batch = _deal(_spread(c[out]), n_shares, c[out], p[out])
         single = ~again[group]
         mark = at[again]
         keep = (np.concatenate([h[single], h[mark]]), np.concatenate([c[single], c[mark]]), np.concatenate([p[single], p[mark]]), np.concatenate([first[single], np.ones(len(mark), bool)]))
@@ -217,6 +227,17 @@ def _recurring_anchors(held: int):
     return run
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All places of each class of this share, packed in one row."""
+    parts = [unpack(blob, n, "u8", "i8", "i4") for n, blob in _dealt_rows(batches)]
+    if parts:
+        _, c, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((p, c))
+        c, p = c[order], p[order]
+        own = _groups(c)
+        yield pa.RecordBatch.from_arrays([pa.array(c[own], pa.int64()), pa.array(_runs(p, own), pa.binary())], ["class", "at"])
+
+
 # -- 3: windows and their owners --------------------------------------------------------------
 
 
@@ -226,27 +247,33 @@ def _hashes(text: bytes) -> np.ndarray:
 
 
 def _emit_windows(window: int, n_shares: int):
-    """Columns in: class, rank, packed, at (list of packed places)."""
+    """Columns in: class, rank, packed, at (packed places)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            found, size = [], 0
             for own, rank, packed, marks in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 hashes = _hashes(unpack_text(packed))
                 _, place = anchors(hashes, window)
                 marked = np.zeros(len(hashes) + 1, bool)
-                for mark in marks:
-                    marked[np.frombuffer(mark, np.int32)] = True
+                marked[np.frombuffer(marks, np.int32)] = True
                 at = np.flatnonzero(marked[place])
                 found.append((rolling(hashes, window)[at], np.full(len(at), rank), np.full(len(at), own), at.astype(np.int32)))
+                size += len(at)
+                if size > DEALT_ROWS:
+                    yield _deal_all(found, n_shares)
+                    found, size = [], 0
             if found:
-                yield _deal(*(lambda h, *rest: (h, n_shares, *rest))(*(np.concatenate(x) for x in zip(*found, strict=True))))
+                yield _deal_all(found, n_shares)
 
     return run
 
 
-def _owned(held: int):
-    """Every window of a document with a larger rank than another that has it, with such an earlier one."""
+def _owned(held: int, n_shares: int):
+    """For every window of a document with a larger rank than another that has it: where it is, and where in such an earlier one.
+
+    Out, dealt by class: class, tag (1: a window to find, 0: the owner's), owner, shard of the owner, place.
+    """
 
     def settle(kept, fresh):
         if kept is not None:
@@ -257,24 +284,20 @@ def _owned(held: int):
         at = _groups(h)
         group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(h))))
         later = r > r[at][group]
-        own, place = c[at][group][later], p[at][group][later]
-        dc, dp = c[later], p[later]
+        owner, place = c[at][group][later], p[at][group][later]
         shard = place >> SHARD_BITS
-        order = np.lexsort((dp, shard, own, dc))
-        own, place, shard, dc, dp = own[order], place[order], shard[order], dc[order], dp[order]
-        new = np.zeros(len(dc), bool)
-        new[_groups(dc, own, shard, dp)] = True
-        own, place, shard, dc, dp = own[new], place[new], shard[new], dc[new], dp[new]
-        run = _groups(dc, own, shard)
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(dc[run], pa.int64()), pa.array(own[run], pa.int64()), pa.array(shard[run], pa.int32()), pa.array(_runs(dp, run), pa.binary()), pa.array(_runs(place, run), pa.binary())],
-            ["class", "owner", "shard", "at", "owner_at"],
+        asked = _distinct(
+            np.concatenate([c[later], owner]),
+            np.concatenate([np.ones(len(owner), np.int32), np.zeros(len(owner), np.int32)]),
+            np.concatenate([owner, owner]),
+            np.concatenate([shard, shard]),
+            np.concatenate([p[later], place]),
         )
         keep = ~later
         first = np.zeros(len(h), bool)
         first[_groups(h, r, c)] = True  # an earliest document's own repeats are not needed
         keep &= first
-        return (h[keep], r[keep], c[keep], p[keep]), batch
+        return (h[keep], r[keep], c[keep], p[keep]), _deal(_spread(asked[0]), n_shares, *asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _gathered(_dealt_rows(batches), ("u8", "i8", "i8", "i4"), settle, held)
@@ -282,6 +305,26 @@ def _owned(held: int):
     return run
 
 
+def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = _groups(*columns)
+    return [c[new] for c in columns]
+
+
+_ASKED = ("i8", "i4", "i8", "i4", "i4")
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All that is asked of each class of this share, packed in one row."""
+    parts = [unpack(blob, n, "u8", *_ASKED)[1:] for n, blob in _dealt_rows(batches)]
+    if parts:
+        columns = _distinct(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        edge = np.append(_groups(columns[0]), len(columns[0])).tolist()
+        rows = [(int(columns[0][a]), b - a, pack(*(c[a:b] for c in columns))) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["class", "n", "asked"])
+
+
 # -- 4: automata ------------------------------------------------------------------------------
 
 
@@ -295,19 +338,18 @@ def _stretches(at: np.ndarray, window: int) -> Iterator[tuple[int, int]]:
 
 
 def _emit_passages(window: int):
-    """Columns in: class, packed, asked (list of owner, shard, at). Out: passages of owners (tag 0) and of others (tag 1)."""
+    """Columns in: class, packed, n, asked. Out: passages of owners (tag 0) and of others (tag 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for own, packed, asked in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for own, packed, n, asked in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 words = unpack_text(packed).split(b" ")
-                places: dict[tuple, list] = {}
-                for a in asked:
-                    places.setdefault((a["owner"], a["shard"], a["tag"]), []).append(np.frombuffer(a["at"], np.int32))
-                for (owner, shard, tag), at in places.items():
-                    for first, n in _stretches(np.concatenate(at), window):
-                        out.append((owner, shard, tag, own, first, b" ".join(words[first : first + n])))
+                _, tag, owner, shard, at = unpack(asked, n, *_ASKED)
+                edge = np.append(_groups(tag, owner, shard), n).tolist()
+                for a, b in zip(edge[:-1], edge[1:], strict=True):
+                    for first, size in _stretches(at[a:b], window):
+                        out.append((int(owner[a]), int(shard[a]), int(tag[a]), own, first, b" ".join(words[first : first + size])))
             if out:
                 kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["owner", "shard", "tag", "class", "first", "words"])
@@ -397,35 +439,33 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     ident = F.col(f"`{id_col}`").cast("long")
     source = docs.select(ident.alias("id"), F.coalesce(ident, F.xxhash64(text)).alias("key"), text.alias("text"))
-    base = stored(source.mapInArrow(_describe(False), "id long, key long, class long, digest binary, n_words long"), "texts")
+    base = stored(source.mapInArrow(lean(_describe(False)), "id long, key long, class long, digest binary, n_words long"), "texts")
     first = base.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"))
     first = first.select("class", F.coalesce("first.id", F.lit(int(LAST))).alias("rank"), F.col("first.key").alias("key"))
 
-    marks = source.mapInArrow(_emit_anchors(window, n), _DEALT).repartitionById(n, "share").mapInArrow(_recurring_anchors(held), "class long, at binary")
-    marked = marks.groupBy("class").agg(F.collect_list("at").alias("at")).join(first, "class")
-    texts = source.mapInArrow(_describe(True), "key long, class long, packed binary")
+    marks = source.mapInArrow(lean(_emit_anchors(window, n)), _DEALT).repartitionById(n, "share").mapInArrow(lean(_recurring_anchors(held, n)), _DEALT)
+    marked = marks.repartitionById(n, "share").mapInArrow(lean(_marks), "class long, at binary").join(first, "class")
+    texts = source.mapInArrow(lean(_describe(True)), "key long, class long, packed binary")
     searched = stored(texts.join(marked, ["key", "class"]).select("class", "rank", "packed", "at"), "searched")
 
-    windows = searched.mapInArrow(_emit_windows(window, n), _DEALT).repartitionById(n, "share")
-    owned = stored(windows.mapInArrow(_owned(held), "class long, owner long, shard int, at binary, owner_at binary"), "owned")
-    asked = owned.select("class", "owner", "shard", F.lit(1).alias("tag"), "at").unionByName(
-        owned.select(F.col("owner").alias("class"), "owner", "shard", F.lit(0).alias("tag"), F.col("owner_at").alias("at"))
-    )
-    asked = asked.groupBy("class").agg(F.collect_list(F.struct("owner", "shard", "tag", "at")).alias("asked"))
-    passages = searched.join(asked, "class").select("class", "packed", "asked").mapInArrow(
-        _emit_passages(window), "owner long, shard int, tag int, class long, first int, words binary"
+    windows = searched.mapInArrow(lean(_emit_windows(window, n)), _DEALT).repartitionById(n, "share")
+    asked = windows.mapInArrow(lean(_owned(held, n)), _DEALT).repartitionById(n, "share").mapInArrow(lean(_asked), "class long, n int, asked binary")
+    passages = searched.join(asked, "class").select("class", "packed", "n", "asked").mapInArrow(
+        lean(_emit_passages(window)), "owner long, shard int, tag int, class long, first int, words binary"
     )
     passages = stored(passages, "passages")
 
-    load = passages.groupBy("owner", "shard").agg((F.sum("tag") / stream).cast("int").alias("more"))
-    salted = passages.join(load, ["owner", "shard"]).withColumn(
+    # Owners whose passages are streamed by more than one task.
+    load = passages.groupBy("owner", "shard").agg((F.sum("tag") / stream).cast("int").alias("more")).where("more > 0")
+    salted = passages.join(load, ["owner", "shard"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
+    salted = salted.withColumn(
         "salt",
         F.explode(F.when(F.col("tag") == 0, F.sequence(F.lit(0), F.col("more"))).otherwise(F.array(F.pmod(F.xxhash64("class", "first"), F.col("more") + 1).cast("int")))),
     )
     order = ["owner", "shard", "salt", "tag"]
     streams = salted.select(*order, "class", "first", "words").repartition(n, "owner", "shard", "salt").sortWithinPartitions(*order)
-    located = streams.mapInArrow(_locate(window), "class long, at binary").groupBy("class").agg(F.collect_list("at").alias("at"))
-    cut = searched.select("class", "packed").join(located, "class").mapInArrow(_cut(window), f"class long, digest binary, n_removed long, spans {_SPANS}, kept string")
+    located = streams.mapInArrow(lean(_locate(window)), "class long, at binary").groupBy("class").agg(F.collect_list("at").alias("at"))
+    cut = searched.select("class", "packed").join(located, "class").mapInArrow(lean(_cut(window)), f"class long, digest binary, n_removed long, spans {_SPANS}, kept string")
     cut = cut.dropDuplicates(["class", "digest"]).drop("class")
 
     repeated = base.groupBy("digest").agg(F.min("id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
