@@ -23,18 +23,19 @@ an empty table gives no shards.
 from __future__ import annotations
 
 import base64
-import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustline.llm.shared import work_folder
+from trustline.llm.shared import lean, work_folder
 from trustline.llm.tokens import PIECES
 from trustline.llm.words import mix
 
@@ -93,14 +94,16 @@ def _deal(path: str, length: int, first: dict[int, int], expected: dict[int, int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, end = encoder(path)
         encode, kind = encoding.encode_ordinary, _kind(end)
+        code = "H" if kind.itemsize == 2 else "I"
         part = TaskContext.get().partitionId()
         at = first.get(part, 0)
         for batch in batches:
             ids = batch.column(0).fill_null(NO_ID).to_numpy()
             tokens, sizes = [], []
             for text in batch.column(1):
-                own = np.array(encode(text.as_py() or "") + [end], kind)
-                tokens.append(own)
+                own = array(code, encode(text.as_py() or ""))
+                own.append(end)
+                tokens.append(np.frombuffer(own, kind))
                 sizes.append(len(own))
             if not sizes:
                 continue
@@ -182,15 +185,15 @@ def write_sequences(
     stride = stride_of(length, kind)
     per_shard = max(1, shard_bytes // stride)
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    counts = {r.part: r.n for r in source.mapInArrow(_count(path, length), "part int, n long").collect()}  # a number for each partition
+    counts = {r.part: r.n for r in source.mapInArrow(lean(_count(path, length)), "part int, n long").collect()}  # a number for each partition
     first, n = {}, 0
     for part in sorted(counts):
         first[part], n = n, n + counts[part]
     layout = {"folder": folder, "sequences": n, "length": length, "stride": stride, "per_shard": per_shard, "ids": kind.str, "end": end}
     if n:
         shards = -(-n // per_shard)
-        dealt = source.mapInArrow(_deal(path, length, first, counts, n, key, per_shard), "shard int, n int, size long, blob binary")
-        records = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(_records(length, kind, end), "shard int, record binary")
+        dealt = source.mapInArrow(lean(_deal(path, length, first, counts, n, key, per_shard)), "shard int, n int, size long, blob binary")
+        records = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(lean(_records(length, kind, end)), "shard int, record binary")
         records.select("shard", F.col("record").cast("string").alias("record")).write.partitionBy("shard").option("lineSep", "\n").text(folder)
     return layout
 
@@ -207,7 +210,7 @@ def _listed(layout: dict):
                 table = raw.reshape(-1, stride)
                 ids = np.ascontiguousarray(table[:, :8]).view("<i8").ravel()
                 nth, size = np.ascontiguousarray(table[:, 8:12]).view("<i4").ravel(), np.ascontiguousarray(table[:, 12:14]).view("<i2").ravel()
-                digests = [hashlib.sha256(r[HEAD : HEAD + n * kind.itemsize].tobytes()).hexdigest() for r, n in zip(table, size.tolist(), strict=True)]
+                digests = [xxhash.xxh64_intdigest(r[HEAD : HEAD + n * kind.itemsize].tobytes()) - (1 << 63) for r, n in zip(table, size.tolist(), strict=True)]
                 place = np.arange(len(table))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -217,15 +220,15 @@ def _listed(layout: dict):
                         pa.array([shard] * len(table), pa.int32()),
                         pa.array(place * stride, pa.int64()),
                         pa.array(size.astype(np.int32), pa.int32()),
-                        pa.array(digests, pa.string()),
+                        pa.array(digests, pa.int64()),
                     ],
-                    ["doc_id", "sequence", "slot", "shard", "byte", "n_tokens", "ids_sha256"],
+                    ["doc_id", "sequence", "slot", "shard", "byte", "n_tokens", "ids_hash"],
                 )
 
     return run
 
 
-LISTED = "doc_id long, sequence int, slot long, shard int, byte long, n_tokens int, ids_sha256 string"
+LISTED = "doc_id long, sequence int, slot long, shard int, byte long, n_tokens int, ids_hash long"
 
 
 def list_sequences(spark: SparkSession, layout: dict) -> DataFrame:
@@ -233,7 +236,7 @@ def list_sequences(spark: SparkSession, layout: dict) -> DataFrame:
     if not layout["sequences"]:
         return spark.createDataFrame([], LISTED)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(layout["folder"])
-    return files.select(F.col("shard").cast("int").alias("shard"), "content").mapInArrow(_listed(layout), LISTED)
+    return files.select(F.col("shard").cast("int").alias("shard"), "content").mapInArrow(lean(_listed(layout)), LISTED)
 
 
 def read_sequences(spark: SparkSession, layout: dict, start: int = 0) -> Iterator[tuple[int, list[int]]]:
