@@ -103,16 +103,17 @@ def _deal(path: str, length: int, first: dict[int, int], expected: dict[int, int
             for text in batch.column(1):
                 own = array(code, encode(text.as_py() or ""))
                 own.append(end)
-                tokens.append(np.frombuffer(own, kind))
+                tokens.append(own.tobytes())
                 sizes.append(len(own))
             if not sizes:
                 continue
-            flat, sizes = np.concatenate(tokens), np.array(sizes)
+            flat, sizes = b"".join(tokens), np.array(sizes)
             count = -(-sizes // length)
             doc = np.repeat(np.arange(len(sizes)), count)
             nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
             begin = np.repeat(np.cumsum(sizes) - sizes, count) + nth * length
             size = np.minimum(length, np.repeat(sizes, count) - nth * length)
+            first_byte, last_byte = begin * kind.itemsize, (begin + size) * kind.itemsize
             slot = permute(np.arange(at, at + len(doc)), n, key)
             at += len(doc)
             order = np.argsort(slot)
@@ -121,9 +122,8 @@ def _deal(path: str, length: int, first: dict[int, int], expected: dict[int, int
             rows = []
             for a, b in zip(edge.tolist(), np.append(edge[1:], len(shard)).tolist(), strict=True):
                 own = order[a:b]
-                lengths = size[own]
-                places = np.repeat(begin[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-                blob = b"".join(x.tobytes() for x in (slot[own], ids[doc[own]], nth[own].astype(np.int32), lengths.astype(np.int16), flat[places]))
+                heads = (slot[own], ids[doc[own]], nth[own].astype(np.int32), size[own].astype(np.int16))
+                blob = b"".join([*(x.tobytes() for x in heads), *(flat[i:j] for i, j in zip(first_byte[own].tolist(), last_byte[own].tolist(), strict=True))])
                 rows.append((int(shard[a]), b - a, len(blob), pa.compress(blob, codec="zstd", asbytes=True)))
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["shard", "n", "size", "blob"])
