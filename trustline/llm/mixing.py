@@ -28,7 +28,7 @@ BLOCK = 1024  # words of a slot
 WEIGHTS = (1, 2, 3)  # repeating, by the sources' order
 MAX_EPOCHS = 3
 MAX_SOURCES = 100_000  # more are refused: their totals pass through the driver
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1_000
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = 0.6180339887498949

@@ -129,11 +129,11 @@ def nodes(hashes: np.ndarray, word_at: np.ndarray) -> np.ndarray:
 
 
 def _describe(k: int):
-    """Columns in: id, key, text."""
+    """Columns in: id, key, text_hash, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(2), SPACED_FOLDED):
+            for part in slices(batch.column(3), SPACED_FOLDED):
                 found, row = shingles(part.hashes, part.word_at, k)
                 least = minima(found, row, part.count)
                 keys = pa.array(band_keys(least).view(np.int64).ravel(), pa.int64())
@@ -141,23 +141,22 @@ def _describe(k: int):
                 rows = slice(part.first, part.first + part.count)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0)[rows],
-                        batch.column(1)[rows],
+                        *(batch.column(i)[rows] for i in range(3)),
                         pa.array(nodes(part.hashes, part.word_at), pa.int64()),
                         pa.array(np.bincount(row, minlength=part.count), pa.int64()),
                         pa.array([x.tobytes() for x in bits], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(part.count + 1) * BANDS, pa.int32()), keys),
                     ],
-                    ["id", "key", "node", "n_shingles", "bits", "bands"],
+                    ["id", "key", "text_hash", "node", "n_shingles", "bits", "bands"],
                 )
 
     return run
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns in: id, key, text. Out: key, node, packed text."""
+    """Columns in: id, key, text_hash, text. Out: key, node, packed text."""
     for batch in batches:
-        for part in slices(batch.column(2), SPACED_FOLDED):
+        for part in slices(batch.column(3), SPACED_FOLDED):
             raw, at = part.raw.tobytes(), part.text_at.tolist()
             packed = [pack_text(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -349,14 +348,14 @@ def components(links: DataFrame) -> DataFrame:
 def find_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = BLOCK
 ) -> DataFrame:
-    """One row per document: id, key, n_shingles, component (the smallest id it is linked to, over any number of links)."""
+    """One row per document: id, key, text_hash, n_shingles, component (the smallest id it is linked to, over any number of links)."""
     spark = docs.sparkSession
     n, floor = partitions(spark), floor_of(threshold)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     ident = F.col(f"`{id_col}`").cast("long")
-    source = docs.select(ident.alias("id"), F.coalesce(ident, F.xxhash64(text)).alias("key"), text.alias("text"))
-    described = stored(source.mapInArrow(_describe(shingle), "id long, key long, node long, n_shingles long, bits binary, bands array<long>"), "signatures")
-    base = described.select("id", "key", "node", "n_shingles")
+    source = docs.select(ident.alias("id"), F.coalesce(ident, F.xxhash64(text)).alias("key"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    described = stored(source.mapInArrow(_describe(shingle), "id long, key long, text_hash long, node long, n_shingles long, bits binary, bands array<long>"), "signatures")
+    base = described.select("id", "key", "text_hash", "node", "n_shingles")
 
     full = described.where("n_shingles > 0")
     first = full.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first")).select("node", "first.id", "first.key")
@@ -401,8 +400,8 @@ def find_groups(
     linked = of_node.join(least, "component").select("node", "least")
     alone = first.join(linked.select("node"), "node", "left_anti").select("node", F.col("id").alias("least"))
     named = linked.unionByName(alone)
-    lone = base.where("n_shingles = 0").select("id", "key", "n_shingles", F.col("id").alias("component"))
-    grouped = base.where("n_shingles > 0").join(named, "node").select("id", "key", "n_shingles", F.col("least").alias("component"))
+    lone = base.where("n_shingles = 0").select("id", "key", "text_hash", "n_shingles", F.col("id").alias("component"))
+    grouped = base.where("n_shingles > 0").join(named, "node").select("id", "key", "text_hash", "n_shingles", F.col("least").alias("component"))
     return grouped.unionByName(lone)
 
 
@@ -413,6 +412,7 @@ def keeps(ident: Column, component: Column) -> Column:
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component, whole and with all its columns; rows without id stay unless one with an id is like them."""
-    gone = find_groups(docs, id_col, text_col, **options).where(~keeps(F.col("id"), F.col("component"))).select("key").distinct()
-    key = F.coalesce(docs[f"`{id_col}`"].cast("long"), F.xxhash64(F.coalesce(docs[f"`{text_col}`"], F.lit(""))))
-    return docs.join(gone, key == gone["key"], "left_anti")
+    gone = find_groups(docs, id_col, text_col, **options).where(~keeps(F.col("id"), F.col("component"))).select("key", "text_hash").distinct()
+    text_hash = F.xxhash64(F.coalesce(docs[f"`{text_col}`"], F.lit("")))
+    key = F.coalesce(docs[f"`{id_col}`"].cast("long"), text_hash)
+    return docs.join(gone, (key == gone["key"]) & (text_hash == gone["text_hash"]), "left_anti")

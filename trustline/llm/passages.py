@@ -293,10 +293,7 @@ def _owned(held: int, n_shares: int):
             np.concatenate([shard, shard]),
             np.concatenate([p[later], place]),
         )
-        keep = ~later
-        first = np.zeros(len(h), bool)
-        first[_groups(h, r, c)] = True  # an earliest document's own repeats are not needed
-        keep &= first
+        keep = ~later  # an earlier document may still come
         return (h[keep], r[keep], c[keep], p[keep]), _deal(_spread(asked[0]), n_shares, *asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from trustline.llm.words import ALPHANUMERIC_FOLDED, Slice, alphabet, mix, scan, slices
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 BUCKET_BITS = 22
 MIN_DOCS = 4  # of the sample that have a feature
 STEPS = 250
@@ -98,7 +98,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarra
     often = docs >= MIN_DOCS
     place = np.cumsum(often) - 1
     used = often[column]
-    row, column, value = row[used], place[column[used]], value[used]
+    row, column, value = row[used].astype(np.int32), place[column[used]].astype(np.int32), value[used].astype(np.float32)
     seen, n, m = seen[often], len(grade), int(often.sum())
     # Thresholds are the first one and positive gaps, so they stay in order.
     at_least = np.array([np.clip((grade >= k).mean(), 1e-3, 1 - 1e-3) for k in range(1, grades)])
@@ -160,7 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return None
     lists = table["buckets"].combine_chunks()
     size = np.diff(lists.offsets.to_numpy())
-    return fit(np.repeat(np.arange(len(grade)), size), lists.flatten().to_numpy(), table["values"].combine_chunks().flatten().to_numpy(), grade)
+    row = np.repeat(np.arange(len(grade), dtype=np.int32), size)
+    return fit(row, lists.flatten().to_numpy(), table["values"].combine_chunks().flatten().to_numpy(), grade)
 
 
 _WEIGHTS: dict[int, np.ndarray] = {}
