@@ -17,7 +17,7 @@ def test_words_are_those_of_the_pattern(texts, limit):
         seen, got = {}, []
         for part in slices(pa.array(texts, pa.string()), letters, limit):
             for row in range(part.count):
-                own = [w.decode() for w in part.words(row)]
+                own = [w.decode().translate(LOWER) if fold else w.decode() for w in part.words(row)]
                 got.append(own)
                 for w, h in zip(own, part.hashes[part.word_at[row] : part.word_at[row + 1]].tolist(), strict=True):
                     assert seen.setdefault(w, h) == h

@@ -19,13 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustline.llm.shared import partitions
+from trustline.llm.shared import partitions, place
 from trustline.llm.words import _POWERS, mix
 
-GRAM, WINDOW = 24, 64  # a shared passage of 87 characters is always found
+GRAM, WINDOW = 16, 32  # a shared passage of 47 characters is always found
 PIECE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -98,17 +98,6 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return source.mapInArrow(_fingerprints(gram, window), f"id {kind}, n_chars long, hashes array<long>, positions array<long>")
 
 
-def _place(value: Column, cuts: list[int]) -> Column:
-    """How many of the sorted cuts are at or below ``value``, by bisection."""
-    if not cuts:
-        return F.lit(0)
-    table = F.array(*[F.lit(c).cast("long") for c in cuts])
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
-    return F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when((at + step <= len(cuts)) & (F.get(table, F.least(at + step, F.lit(len(cuts))) - 1) <= value), at + step).otherwise(at)
-    )
-
-
 def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows dealt by ranges of the id, sorted; each partition ends with copies of the row that follows its last one.
 
@@ -120,7 +109,7 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.withColumn("order", F.coalesce("id", F.lit(np.iinfo(np.int64).min)))
     share = [i / n for i in range(1, n)]
     cuts = rows.agg(F.percentile_approx("order", share, 10_000)).first()[0] if n > 1 else []
-    rows = rows.withColumn("part", _place(F.col("order"), sorted(set(cuts or []))))
+    rows = rows.withColumn("part", place(F.col("order"), sorted(set(cuts or [])), "long"))
     # The first id of each partition, as many as there are partitions.
     first = {r.part: r.first for r in rows.groupBy("part").agg(F.min("order").alias("first")).collect()}
     used = sorted(first)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trustline.llm.shared import stored
+from trustline.llm.shared import place, stored
 
 BLOCK = 1024  # words of a slot
 WEIGHTS = (1, 2, 3)  # repeating, by the sources' order
@@ -94,12 +94,11 @@ def schedule(docs: DataFrame, text_col: str = "text", source_col: str = "source"
     total = sum(sizes.values())
     at, table = 0.0, []
     for i, s in enumerate(order):
-        share = target[s] / total if total else 0.0
-        table.append((i, s, sizes[s], target[s], at, at + share))
-        at += share
-    known = F.broadcast(spark.createDataFrame(table, "code int, source string, source_size long, target double, low double, high double"))
+        at += target[s] / total if total else 0.0
+        table.append((i, s, sizes[s], target[s], at))
+    known = F.broadcast(spark.createDataFrame(table, "code int, source string, source_size long, target double, high double"))
     sources = known.withColumnRenamed("source", "s")
-    documents = sized.join(sources, sized["source"].eqNullSafe(F.col("s")), "left").drop("s", "low", "high")
+    documents = sized.join(sources, sized["source"].eqNullSafe(F.col("s")), "left").drop("s", "high")
 
     # Documents in shuffled order, end to end within their source.
     n_docs = sum(r.docs for r in rows)
@@ -118,7 +117,8 @@ def schedule(docs: DataFrame, text_col: str = "text", source_col: str = "source"
     n_slots = -(-total // block)
     point = (F.col("id") + 1) * F.lit(GOLDEN)
     slots = spark.range(n_slots).select(F.col("id").alias("slot"), (point - F.floor(point)).alias("point"), F.floor(F.col("id") / BUCKET_ROWS).alias("bucket"))
-    slots = slots.join(known, (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))).select("slot", "code", "bucket", F.lit(1).alias("one"))
+    code = F.least(place(F.col("point"), [t[-1] for t in table], "double"), F.lit(len(table) - 1))
+    slots = slots.select("slot", code.cast("int").alias("code"), "bucket", F.lit(1).alias("one"))
     ranked = _running(slots, "code", "one", "rank", ["slot"]).select("slot", "code", "rank")
     # A source gives its target to the word: slots past it stay empty, a few that the points left out close the mix.
     quota = F.floor(F.col("goal") / F.col("source_size")) * F.col("per_epoch") + F.ceil(F.pmod("goal", "source_size") / block)

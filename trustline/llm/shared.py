@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import json
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trustline.sources.tables import scratch_folder
 
@@ -39,6 +41,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def place(value: Column, cuts: list, kind: str) -> Column:
+    """How many of the sorted ``cuts`` are at or below ``value``, by bisection."""
+    if not cuts:
+        return F.lit(0)
+    table = F.from_json(F.lit(json.dumps(cuts)), f"array<{kind}>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when((at + step <= len(cuts)) & (F.get(table, F.least(at + step, F.lit(len(cuts))) - 1) <= value), at + step).otherwise(at)
+    )
+
+
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, giving freed memory back when it ends: workers wait for further tasks, and several wait beside those that run."""
 
