@@ -81,3 +81,12 @@ def test_selection_share_and_independence(spark):
     assert abs(n[2] / 20000 - 0.0625) < 0.01
     assert ids.where(selected("a", ["id"], 1.0)).count() == 20000
     assert ids.where(selected("a", ["id"], 0.0)).count() == 0
+
+
+def test_integers_are_rounded_once(spark):
+    texts = ["2.49999999999", "2.5", "-2.5", "-2.49999999999999", ".5", "0.", "1e3", "2.5e0", "99999999999", "NaN", "Infinity", ".", "+7.5"]
+    assert column(spark, texts, casts.safe_int) == [2, 3, -3, -2, 1, 0, 1000, 3, None, None, None, None, 8]
+
+
+def test_doubles_are_finite(spark):
+    assert column(spark, ["NaN", "Infinity", "-inf", "1e400", "-1e400", "1e300"], casts.safe_double) == [None] * 5 + [1e300]

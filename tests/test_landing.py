@@ -313,3 +313,36 @@ def test_reset_landing(spark, landing, tmp_path):
             lz.reset_landing(spark, path)
     assert lz.reset_landing(spark, landing) and not os.path.exists(landing)
     assert not lz.reset_landing(spark, landing)
+
+
+def test_hostile_texts_survive_the_landing_zone(spark, tmp_path):
+    texts = [" SHIPPED ", 'say "hi", Lee', '""', '"', "back\\slash\\", "a,b", "x", "SHIP\nPED", "tail\r"]
+    rows = [(str(i), "c", "p", "1", "2.0", "2024-01-01", t, dt.date(2024, 1, 1)) for i, t in enumerate(texts)]
+    orders = spark.createDataFrame(rows, "order_id string, customer_id string, product_id string, quantity string, total_amount string, order_date string, status string, batch_date date")
+    lz.land_batches(orders, str(tmp_path))
+    scanned = lz.scan_batches(spark, str(tmp_path))
+    assert lz.malformed_rows(scanned).isEmpty()
+    got = {int(r.order_id): r.status for r in lz.good_rows(scanned).collect()}
+    kept = {int(r.order_id): r.status for r in lz.unlandable_rows(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(texts[:7])) and kept == {7: texts[7], 8: texts[8]}
+
+
+def test_hostile_texts_survive_the_snapshot(spark, tmp_path):
+    names = schemas.FEED.names
+    texts = ["X", " X", 'a "b", c', "two\nlines", "back\\"]
+    feed = spark.createDataFrame([(dt.date(2024, 1, 1), t, *[1] * 1, 1.0, 1.0, *[1] * 6) for t in texts], schemas.FEED)
+    for single in (False, True):
+        tables.export_snapshot(feed, str(tmp_path / f"feed{single}"), single_file=single)
+        back = tables.read_snapshot(spark, str(tmp_path / f"feed{single}"))
+        assert back.columns == names and sorted(r.status for r in back.collect()) == sorted(texts)
+
+
+def test_an_unreadable_mart_falls_back_to_the_snapshot(spark, tmp_path):
+    feed = spark.createDataFrame([(dt.date(2024, 1, 1), "X", 1, 1.0, 1.0, *[1] * 6)], schemas.FEED)
+    tables.export_snapshot(feed, str(tmp_path / "feed"))
+    mart = tmp_path / "mart"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FCT_ORDERS)
+    spark.createDataFrame([], columns).coalesce(1).write.parquet(str(mart))
+    whole = next(mart.glob("part-*.parquet"))
+    (mart / "part-damaged.parquet").write_bytes(whole.read_bytes()[:-20] + b"no parquet at all...")
+    assert [r.status for r in load_feed(spark, str(mart), str(tmp_path / "feed")).collect()] == ["X"]

@@ -4,12 +4,13 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trustline.functions import flags
 from trustline.operators import duplicates as dup
 from trustline.operators import mart, rollup
-from trustline.operators.ranking import day_digit, hex_digit, row_number_within
+from trustline.operators.ranking import row_number_within
 from trustline.sources import schemas
 
 AS_OF = dt.date(2024, 6, 30)
@@ -203,18 +204,46 @@ def test_row_numbers_of_hot_keys_are_complete_and_in_date_order(spark):
 def test_row_numbers_by_hash_digit(spark):
     df = spark.range(500).select("id", F.lit("k").alias("k"), F.md5(F.col("id").cast("string")).alias("h"))
     hot = dup.hot_buckets(df, "k", min_rows=400)
-    rows = row_number_within(df, "k", dup.Ordering(("h",)), "n", hex_digit("h"), hot).collect()
+    rows = row_number_within(df, "k", dup.Ordering(("h",)), "n", hot).collect()
     rows.sort(key=lambda r: r.n)
     assert [r.n for r in rows] == list(range(1, 501))
     digits = [r.h[:3] for r in rows]
     assert digits == sorted(digits)
-    plain = row_number_within(df, "k", dup.Ordering(("h",)), "n", hex_digit("h"), hot.limit(0)).collect()
+    plain = row_number_within(df, "k", dup.Ordering(("h",)), "n", hot.limit(0)).collect()
     hashes = [r.h for r in sorted(plain, key=lambda r: r.n)]
     assert hashes == sorted(hashes)
 
 
-def test_day_digit_orders_unknown_last(spark):
-    days = spark.sql("select date'2024-01-02' d union all select null union all select date'1969-12-31'")
-    assert [r.d for r in days.orderBy(day_digit("d")).collect()] == [
-        dt.date(1969, 12, 31), dt.date(2024, 1, 2), None,
-    ]
+def test_row_numbers_put_unknown_dates_last(spark):
+    days = spark.sql("select 1 k, date'2024-01-02' d union all select 1, null union all select 1, date'1969-12-31'")
+    for threshold in (1, 10):
+        hot = dup.hot_buckets(days, "k", min_rows=threshold)
+        rows = row_number_within(days, "k", dup.Ordering(("d",)), "n", hot).orderBy("n").collect()
+        assert [r.d for r in rows] == [dt.date(1969, 12, 31), dt.date(2024, 1, 2), None]
+
+
+@pytest.mark.parametrize("threshold", [1, 10, 1000])
+@pytest.mark.parametrize("kind", ["string", "int", "date"])
+def test_row_numbers_are_those_of_the_plain_window(spark, threshold, kind):
+    """Whatever counts as hot, for keys of any type with NULLs, and with ties in most of the tuple."""
+    key = {"string": "concat('k', id % 3)", "int": "int(id % 3)", "date": "date_add(date'2024-01-01', int(id % 3))"}[kind]
+    df = spark.range(600).selectExpr(f"if(id % 4 = 0, null, {key}) k", "if(id % 7 = 0, null, id % 5) a", "md5(string(id % 50)) h", "id row_id")
+    order = dup.Ordering(("a", "h", "row_id"))
+    hot = dup.hot_buckets(df, "k", min_rows=threshold)
+    got = row_number_within(df, "k", order, "n", hot)
+    assert got.schema["k"].dataType == df.schema["k"].dataType
+    w = Window.partitionBy("k").orderBy(*order.window_order())
+    want = df.withColumn("n", F.row_number().over(w))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    again = dup.flag_repeats(df, "k", order, "again", hot)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, want.withColumn("n", F.col("n") > 1).withColumnRenamed("n", "again").collect()))
+
+
+def test_identical_rows_spread_over_their_salts(spark):
+    df = spark.range(3000).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    hot = dup.hot_buckets(df, "k", min_rows=100)
+    groups = dup.with_salt(df, "k", hot).groupBy("_salt").count().collect()
+    assert len(groups) == 30 and max(r["count"] for r in groups) < 200
+    numbers = [r.n for r in row_number_within(df, "k", dup.Ordering(("v",)), "n", hot).collect()]
+    assert sorted(numbers) == list(range(1, 3001))
+    assert dup.flag_repeats(df, "k", dup.Ordering(("v",)), "again", hot).where("not again").count() == 1

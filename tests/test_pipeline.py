@@ -102,7 +102,7 @@ def test_backfill_history_is_bounded(spark, customers, products, source, tmp_pat
 
 def test_landed_rows_are_counted(spark, source, tmp_path):
     cfg = config(tmp_path, None)
-    assert pl.land_window(spark, cfg, source, day(2), day(3), day(3)) == 120
+    assert pl.land_window(spark, cfg, source, day(2), day(3), day(3)).rows == 120
 
 
 def test_ingest_window_and_mark(spark, source, tmp_path):

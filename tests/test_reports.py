@@ -156,3 +156,9 @@ def test_spine_and_missing_days(spark):
     spine = calendar.date_spine(spark, "2024-02-28", D2)
     absent = calendar.missing_days(spine, marks(spark, D1, D1, dt.date(2024, 2, 28)))
     assert sorted(r.day for r in absent.collect()) == [dt.date(2024, 2, 29), D2]
+
+
+def test_a_day_without_rows_counts_zero(spark):
+    days = [(D1 + dt.timedelta(days=i),) for i in range(30) if i != 20 for _ in range(10 + i % 2)]
+    rows = monitors.volume_anomaly(spark.createDataFrame(days, "order_date date"), as_of=LATER).orderBy("order_date").collect()
+    assert len(rows) == 30 and rows[20].row_count == 0 and [i for i, r in enumerate(rows) if r.is_anomaly] == [20]

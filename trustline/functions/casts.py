@@ -16,19 +16,28 @@ NULL_MARKERS = ["NULL", "null"]
 _JAVA_ONLY_NUMBER = r"(?i)^\s*[+-]?(0x.*|[0-9.][0-9.e+-]*[df])\s*$"
 
 
+# Sign, digits before and after the point; at least one digit.
+_DECIMAL = r"^\s*([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)\s*$"
+
+
 def safe_int(text: Column) -> Column:
     """Text to INT, rounding half away from zero; NULL when it is no number or overflows."""
-    # Whole numbers, nearly all of them, take the cheap cast.
-    return F.coalesce(
-        text.try_cast("int"), F.round(text.try_cast("decimal(38,10)"), 0).try_cast("int")
-    )
+    # Whole numbers, nearly all of them, take the cheap cast.  Others are rounded once, from
+    # their digits; only texts with an exponent go through a double.
+    whole = F.regexp_extract(text, _DECIMAL, 2)
+    up = (F.substring(F.regexp_extract(text, _DECIMAL, 3), 1, 1) >= "5").cast("int")
+    size = F.when(whole == "", F.lit(0)).otherwise(whole.try_cast("bigint")) + up
+    digits = F.when(text.rlike(_DECIMAL), F.when(F.regexp_extract(text, _DECIMAL, 1) == "-", -size).otherwise(size))
+    return F.coalesce(text.try_cast("int"), digits.try_cast("int"), F.when(text.rlike("[eE]"), F.round(safe_double(text))).try_cast("int"))
 
 
 def safe_double(text: Column) -> Column:
-    """Text to DOUBLE; NULL when it is not a decimal number."""
+    """Text to DOUBLE; NULL when it is not a decimal number or out of range."""
     # The pattern is only tried on texts that hold one of its letters.
     plain = F.translate(text, "dDfFxX", "") == text
-    return F.when(plain | ~text.rlike(_JAVA_ONLY_NUMBER), text.try_cast("double"))
+    value = F.when(plain | ~text.rlike(_JAVA_ONLY_NUMBER), text.try_cast("double"))
+    # NaN and the infinities, written out or by overflow, would take a group's sums with them.
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def safe_date(text: Column) -> Column:

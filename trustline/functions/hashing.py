@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,14 +17,14 @@ def tagged_hash(tag: str, keys: list[str]) -> Column:
 
 
 def hash_number(tag: str, keys: list[str]) -> Column:
-    """The first eight hex digits of the hash as a BIGINT."""
-    return F.expr(f"CAST(conv(substr({hash_sql(tag, keys)}, 1, 8), 16, 10) AS BIGINT)")
+    """The first fifteen hex digits of the hash as a BIGINT."""
+    return F.expr(f"CAST(conv(substr({hash_sql(tag, keys)}, 1, 15), 16, 10) AS BIGINT)")
 
 
 def selected_sql(tag: str, keys: list[str], share: float) -> str:
-    """Condition that holds for about ``share`` of the rows (resolution 1/65536)."""
-    cut = math.ceil(share * 65536)
-    return "true" if cut >= 65536 else f"substr({hash_sql(tag, keys)}, 1, 4) < '{cut:04x}'"
+    """Condition that holds for ``share`` of the rows but for chance (resolution 2**-60)."""
+    cut = int(share * 16**15)
+    return "true" if cut >= 16**15 else f"substr({hash_sql(tag, keys)}, 1, 15) < '{cut:015x}'"
 
 
 def selected(tag: str, keys: list[str], share: float) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from trustline.functions.hashing import hash_number, selected, tagged_hash
 from trustline.operators import duplicates as dup
 from trustline.operators.mart import as_of_date, flagged_orders
-from trustline.operators.ranking import hex_digit, row_number_within
+from trustline.operators.ranking import row_number_within
 
 # Fixed values.
 STATUS_TYPOS = ["Completado", "completed", "Shipped!", "Pending...", "Cancelled (User)"]
@@ -110,23 +110,15 @@ def pick_exact(
 ) -> DataFrame:
     """Add ``_hit``: exactly the drawn number of rows of each batch, by smallest hash.
 
-    The hash rank of a hot batch is computed in slices (see ``ranking``).  The draws
-    are broadcast: one number per calendar day, at most 3.7 million by the range of
-    DATE, whatever the number of rows.
+    The hash rank of a hot batch is computed in slices (see ``ranking``).  A NULL batch
+    is a batch, too.
     """
     hashed = df.withColumn("_hash", tagged_hash(tag, key_cols))
     order = dup.Ordering(("_hash", *ties))
-    ranked = row_number_within(
-        hashed,
-        batch,
-        order,
-        "_rank",
-        digit=hex_digit("_hash"),
-        hot=hot,
-    )
+    ranked = row_number_within(hashed, batch, order, "_rank", hot)
     draws = batch_draws(df, tag, batch, rate)
     return (
-        ranked.join(F.broadcast(draws), F.col(batch) == F.col("_batch"), "left")
+        ranked.join(draws, F.col(batch).eqNullSafe(F.col("_batch")), "left")
         .withColumn("_hit", F.coalesce(F.col("_rank") <= F.col("_draw"), F.lit(False)))
         .drop("_hash", "_rank", "_batch", "_draw")
     )

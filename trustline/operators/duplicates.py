@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 65536
 HOT_ROWS = 1_000_000
@@ -36,18 +37,20 @@ def _bucket(key: str) -> Column:
 
 
 def hot_buckets(keys: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """(_bucket, _salts): buckets with over ``min_rows`` rows and twice an even share.
+    """(_bucket, _salts, _floor): buckets with over ``min_rows`` rows and twice an even share.
 
-    At most ``BUCKETS / 2`` rows of two numbers whatever the table's size, which is
+    ``_floor`` is how many rows a bucket may have before it counts as hot.
+
+    At most ``BUCKETS / 2`` rows of three numbers whatever the table's size, which is
     the bound that allows broadcasting it.
     """
     counts = keys.groupBy(_bucket(key).alias("_bucket")).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    floor = F.greatest(F.lit(min_rows).cast("bigint"), F.ceil(2 * total / BUCKETS))
+    # The total is taken over the counts, at most BUCKETS rows; the keys are read once.
+    total = F.sum("_n").over(Window.partitionBy(F.lit(0)))
     return (
-        counts.withColumn("_floor", floor)
+        counts.withColumn("_floor", F.greatest(F.lit(min_rows).cast("bigint"), F.ceil(2 * total / BUCKETS)))
         .where(F.col("_n") > F.col("_floor"))
-        .select("_bucket", F.ceil(F.col("_n") / F.col("_floor")).alias("_salts"))
+        .select("_bucket", F.ceil(F.col("_n") / F.col("_floor")).alias("_salts"), "_floor")
     )
 
 
@@ -68,18 +71,34 @@ class Ordering:
         return fields
 
 
-def with_salt(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add the grouping columns ``_key``, ``_key_null``, ``_salt`` and drop ``key``."""
-    identity = F.col("row_id") if "row_id" in df.columns else F.xxhash64(*[F.col(c) for c in df.columns])
+_FILLERS = {
+    "string": "", "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00", "timestamp_ntz": "1970-01-01 00:00:00",
+    "boolean": False, "binary": b"",
+}
+
+
+def _filler(kind: T.DataType) -> Column:
+    """A value of the key's own type to stand in for NULL, beside ``_key_null``."""
+    return F.lit(0 if isinstance(kind, T.NumericType) else _FILLERS[kind.typeName()]).cast(kind)
+
+
+def with_salt(df: DataFrame, key: str, hot: DataFrame, keep_floor: bool = False) -> DataFrame:
+    """Add the grouping columns ``_key``, ``_key_null``, ``_salt`` and drop ``key``.
+
+    Rows are told apart by ``row_id`` where the frame has one.  Without it their place in
+    the scan does, which needs a frame that is read from storage, so that it is the same
+    whenever the rows are read.
+    """
+    identity = F.col("row_id") if "row_id" in df.columns else F.monotonically_increasing_id()
     salt = F.coalesce(F.pmod(F.xxhash64(identity), F.col("_salts")), F.lit(0).cast("bigint"))
     return (
         df.withColumn("_bucket", _bucket(key))
         .join(F.broadcast(hot), "_bucket", "left")
         .withColumn("_salt", salt)
         .withColumn("_hot", F.col("_salts").isNotNull())
-        .withColumn("_key", F.coalesce(F.col(key), F.lit("")))
+        .withColumn("_key", F.coalesce(F.col(key), _filler(df.schema[key].dataType)))
         .withColumn("_key_null", F.col(key).isNull())
-        .drop("_bucket", "_salts", key)
+        .drop("_bucket", "_salts", key, *([] if keep_floor else ["_floor"]))
     )
 
 

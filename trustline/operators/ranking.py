@@ -1,13 +1,14 @@
 """Row numbers within a key whose rows may be a third of the table.
 
-Rows of a hot key (see ``duplicates``) are numbered in slices: a *digit* that grows
-with the sort order, then the salt.  A slice is small enough for one task.  The
-number is the row's place in its slice plus the size of the slices before it, and
-those sizes come from a map-side-combined count.  Rows of other keys form one
-slice, which is the plain window.
-
-Within a digit of a hot key, rows are ordered by salt first: choose a digit such
-that any order among its rows will do.
+Rows of a hot key (see ``duplicates``) are numbered in slices, each a range of the whole
+ordering tuple and small enough for one task.  The number is the row's place in its slice
+plus the sizes of the slices before it, which come from a map-side-combined count.  Any
+bounds of the ranges give the exact number, as slices are in order; so the outcome doesn't
+depend on which keys were called hot.  Rows of other keys form one slice, the plain window.
+
+A bound is a tuple whose hash is 0 modulo the rows that a slice should have, or one that
+alone has more rows than that.  Rows equal to a bound are a slice of their own and, being
+equal in the whole tuple, may be spread by salt.
 """
 
 from __future__ import annotations
@@ -18,58 +19,56 @@ from pyspark.sql import functions as F
 from trustline.operators import duplicates as dup
 
 _GROUP = ["_key", "_key_null"]
-_SLICE = [*_GROUP, "_digit", "_salt"]
-_LAST_DAY = 2**31 - 1
-
-
-def day_digit(date: str) -> Column:
-    """Digit for an order by date, unknown dates last."""
-    return F.coalesce(F.unix_date(F.col(date)), F.lit(_LAST_DAY))
-
-
-def hex_digit(digest: str) -> Column:
-    """Digit for an order by hex digest: its first 12 bits.
-
-    The salt alone bounds a slice; more digits would only make more slices to count.
-    """
-    return F.conv(F.substring(F.col(digest), 1, 3), 16, 10).cast("int")
+_SLICE = [*_GROUP, "_slice", "_part"]
+_STEPS = 20  # bisection reaches a million bounds; a table has 65,536 at most, give or take chance
+
+
+def slice_bounds(salted: DataFrame, order: dup.Ordering) -> DataFrame:
+    """Per hot key the sorted bounds of its slices: about its rows by ``_floor``, so 65,536 in all."""
+    tuples = salted.where("_hot").groupBy(*_GROUP, F.struct(*order.sort_key()).alias("_at"))
+    counted = tuples.agg(F.count("*").alias("_n"), F.max("_floor").alias("_rows"))
+    chosen = counted.where((F.pmod(F.xxhash64("_at"), F.col("_rows")) == 0) | (F.col("_n") > F.col("_rows")))
+    return chosen.groupBy(*_GROUP).agg(F.sort_array(F.collect_list("_at")).alias("_bounds"))
+
+
+def _bounds_below(value: Column) -> Column:
+    """How many of the sorted ``_bounds`` are below ``value``, by bisection."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_STEPS))])
+    n = F.size("_bounds")
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when((at + step <= n) & (F.get("_bounds", at + step - 1) < value), at + step).otherwise(at),
+    )
 
 
-def _preceding(by: list[str], order: str) -> Column:
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("_n").over(w), F.lit(0).cast("bigint"))
+def _sliced(salted: DataFrame, order: dup.Ordering) -> DataFrame:
+    """Add ``_slice`` and ``_part``; both are 0 for keys that aren't hot."""
+    bounded = salted.join(F.broadcast(slice_bounds(salted, order)), _GROUP, "left").withColumn(
+        "_at", F.when(F.col("_bounds").isNotNull(), F.struct(*order.sort_key()))
+    )
+    below = F.when(F.col("_at").isNotNull(), _bounds_below(F.col("_at"))).otherwise(0)
+    equal = F.coalesce(F.get("_bounds", F.col("_below")) == F.col("_at"), F.lit(False))
+    return (
+        bounded.withColumn("_below", below)
+        .withColumn("_equal", equal)
+        .withColumn("_slice", 2 * F.col("_below") + F.col("_equal").cast("int"))
+        .withColumn("_part", F.when(F.col("_equal"), F.col("_salt")).otherwise(0))
+        .drop("_bounds", "_at", "_below", "_equal")
+    )
 
 
 def slice_offsets(sliced: DataFrame) -> DataFrame:
-    """Rows of the hot key that come before each slice.
-
-    The windows here run over digits and over salts, not over rows.
-    """
+    """Rows of the hot key that come before each slice; the window runs over slices, not rows."""
     sizes = sliced.where("_hot").groupBy(*_SLICE).agg(F.count("*").alias("_n"))
-    by_digit = sizes.groupBy(*_GROUP, "_digit").agg(F.sum("_n").alias("_n"))
-    before_digit = by_digit.select(*_GROUP, "_digit", _preceding(_GROUP, "_digit").alias("_before"))
-    before_salt = sizes.select(*_SLICE, _preceding([*_GROUP, "_digit"], "_salt").alias("_inside"))
-    return before_salt.join(before_digit, [*_GROUP, "_digit"]).select(
-        *_SLICE, (F.col("_before") + F.col("_inside")).alias("_offset")
-    )
+    before = Window.partitionBy(*_GROUP).orderBy("_slice", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(*_SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0).cast("bigint")).alias("_offset"))
 
 
-def row_number_within(
-    df: DataFrame,
-    key: str,
-    order: dup.Ordering,
-    name: str,
-    digit: Column | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``name``: the row's number among the rows of ``key``, in ``order``, NULLs last.
-
-    ``digit`` must not decrease along ``order``; by default the first order column is
-    taken to be a date.
-    """
-    digit = day_digit(order.columns[0]) if digit is None else digit
-    salted = dup.with_salt(df, key, hot if hot is not None else dup.hot_buckets(df, key))
-    sliced = salted.withColumn("_digit", F.when(F.col("_hot"), digit).otherwise(F.lit(0)))
+def row_number_within(df: DataFrame, key: str, order: dup.Ordering, name: str, hot: DataFrame | None = None) -> DataFrame:
+    """Add ``name``: the row's number among the rows of ``key``, in ``order``, NULLs last."""
+    salted = dup.with_salt(df, key, hot if hot is not None else dup.hot_buckets(df, key), keep_floor=True)
+    sliced = _sliced(salted, order)
     w = Window.partitionBy(*_SLICE).orderBy(*order.window_order())
     numbered = sliced.withColumn("_rn", F.row_number().over(w))
     placed = numbered.join(slice_offsets(sliced), _SLICE, "left").withColumn(

@@ -18,6 +18,7 @@ from trustline.functions import casts, flags
 from trustline.operators import calendar, dashboard, defects, mart, monitors, quality, rollup
 from trustline.operators import duplicates as dup
 from trustline.operators import staging as st
+from trustline.operators.ranking import row_number_within
 from trustline.plans import oracle as o
 from trustline.sources import testdata as td
 from trustline.sources.schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
@@ -526,8 +527,10 @@ query(
         SELECT order_date, row_count,
                CASE WHEN count(*) OVER w = 14 THEN avg(row_count) OVER w END AS expected,
                CASE WHEN count(*) OVER w = 14 THEN stddev_samp(row_count) OVER w END AS spread
-        FROM (SELECT order_date, count(*) AS row_count FROM stg_orders
-              WHERE order_date <= {o.AS_OF} GROUP BY order_date)
+        FROM (SELECT order_date, coalesce(n, 0) AS row_count
+              FROM (SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE) AS order_date
+                    FROM stg_orders WHERE order_date <= {o.AS_OF})
+              LEFT JOIN (SELECT order_date, count(*) AS n FROM stg_orders GROUP BY order_date) USING (order_date))
         WINDOW w AS (ORDER BY order_date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)
       )
     )
@@ -625,6 +628,62 @@ query(
     )
 )
 
+# --- hot keys -------------------------------------------------------------------------
+# The same operators with a threshold so low that the keys count as hot.
+
+_LINES = "SELECT l_orderkey, l_linenumber, nullif(l_linenumber, 7) AS line, CAST(l_shipdate AS DATE) AS shipped FROM lineitem"
+_LINE_ORDER = dup.Ordering(("shipped", "l_orderkey", "l_linenumber"))
+_LINE_NUMBER = f"row_number() OVER (PARTITION BY line ORDER BY shipped NULLS LAST, l_orderkey, l_linenumber) AS n FROM ({_LINES})"
+
+
+def _lines(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Order lines by an INT key of seven values, one of them NULL, and its hot buckets."""
+    number = F.col("l_linenumber").cast("int")
+    lines = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet").select(
+        F.col("l_orderkey").cast("long").alias("l_orderkey"),
+        number.alias("l_linenumber"),
+        F.nullif(number, F.lit(7)).alias("line"),
+        F.col("l_shipdate").cast("date").alias("shipped"),
+        row_identity(),
+    )
+    return lines, dup.hot_buckets(lines.select("line"), "line", min_rows=100)
+
+
+@query(
+    "hot_row_number",
+    f"SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(line AS INTEGER) AS line, {_LINE_NUMBER}",
+)
+def _hot_row_number(t: Tables) -> DataFrame:
+    lines, hot = _lines(t)
+    numbered = row_number_within(lines, "line", _LINE_ORDER, "n", hot)
+    return numbered.select("l_orderkey", "l_linenumber", "line", F.col("n").cast("bigint").alias("n"))
+
+
+@query(
+    "hot_flag_duplicate",
+    f"SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(line AS INTEGER) AS line, n > 1 AS again FROM (SELECT *, {_LINE_NUMBER})",
+)
+def _hot_flags(t: Tables) -> DataFrame:
+    lines, hot = _lines(t)
+    return dup.flag_repeats(lines, "line", _LINE_ORDER, "again", hot).select("l_orderkey", "l_linenumber", "line", "again")
+
+
+BUILDERS["hot_seed_exact"] = lambda t: portable(
+    _seeded(
+        defects.seed_exact(
+            t.base, "neg", td.SEED_KEYS, "batch_date",
+            hot=dup.hot_buckets(td.ship_days(t.spark, t.sf_dir), "batch_date", min_rows=5), as_of=td.AS_OF,
+        )
+    )
+)
+BUILDERS["hot_fct_orders"] = lambda t: portable(
+    mart.fct_orders(t.stg_orders, t.stg_customers, t.stg_products, td.AS_OF, dup.hot_buckets(t.order_ids, "order_id", min_rows=1))
+)
+for _hot, _plain in (("hot_seed_exact", "seed_exact_per_batch"), ("hot_fct_orders", "fct_orders")):
+    QUERIES[_hot] = lambda spark, sf_dir, name=_hot: BUILDERS[name](Tables(spark, sf_dir))
+    ORACLES[_hot] = ORACLES[_plain]
+
+
 query(
     "detector_recall",
     " UNION ALL ".join(

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from trustline.functions.casts import lowercase_columns
 from trustline.operators.rollup import daily_status_rollup
-from trustline.sources.tables import read_snapshot
+from trustline.sources.tables import materialise, read_snapshot, scratch_folder
+
+log = logging.getLogger(__name__)
 
 
 def live_feed(spark: SparkSession, mart: str) -> DataFrame:
@@ -19,10 +24,17 @@ def live_feed(spark: SparkSession, mart: str) -> DataFrame:
 
 
 def load_feed(spark: SparkSession, mart: str | None, snapshot: str) -> DataFrame:
-    """The live feed, or the snapshot when there is no usable mart; empty when neither exists."""
+    """The live feed, or the snapshot when there is no usable mart; empty when neither exists.
+
+    The rollup is run and stored here, so that a mart that can't be read shows here, too, and
+    readers of the feed don't repeat it.
+    """
     if mart is None:
         return lowercase_columns(read_snapshot(spark, snapshot))
     try:
-        return lowercase_columns(live_feed(spark, mart))
-    except AnalysisException:
+        feed = materialise(live_feed(spark, mart), f"{scratch_folder(spark, 'feed')}/feed")
+        log.info("feed from the mart %s", mart)
+        return lowercase_columns(feed)
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("feed from the snapshot %s: %s", snapshot, str(error).split("\n")[0])
         return lowercase_columns(read_snapshot(spark, snapshot))

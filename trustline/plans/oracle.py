@@ -11,11 +11,11 @@ EVENTS_AS_OF = "DATE '2024-02-05'"
 
 
 def hit(tag: str) -> str:
-    return f"substr(md5(concat('{tag}|', row_key)), 1, 4) < '0ccd'"
+    return f"substr(md5(concat('{tag}|', row_key)), 1, 15) < '{int(0.05 * 16**15):015x}'"
 
 
 def hash_number(text: str) -> str:
-    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
 def _int(c: str) -> str:

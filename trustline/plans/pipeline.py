@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trustline.operators import calendar, quality
-from trustline.operators.defects import DEFAULT_RATE, seed_all
+from trustline.operators.defects import seed_all
 from trustline.operators.mart import as_of_date, fct_orders
 from trustline.operators.rollup import daily_status_rollup
 from trustline.operators.staging import stg_customers, stg_orders, stg_products
@@ -32,16 +33,17 @@ _MARKS = T.StructType([T.StructField("batch_date", T.DateType())])
 class Config:
     """Where a pipeline reads and writes.
 
-    ``rate`` seeds defects into the landed batches; None lands them as they are.
-    ``seed_keys`` are columns that tell the source's rows apart.
+    ``rate`` seeds defects into the landed batches, for tests of the detectors; by default
+    they are landed as they are.  ``seed_keys`` are columns that tell the source's rows apart.
+    A backfill lands all of the source, or its last ``history_days`` days where that is given.
     """
 
     landing: str
     warehouse_root: str
     snapshot: str
-    rate: float | None = DEFAULT_RATE
+    rate: float | None = None
     seed_keys: list[str] = field(default_factory=lambda: ["order_id", "product_id"])
-    history_days: int = 365
+    history_days: int | None = None
 
     @property
     def warehouse(self) -> Warehouse:
@@ -64,31 +66,50 @@ def commit_high_water(spark: SparkSession, warehouse: Warehouse, day: dt.date |
     mark.coalesce(1).write.mode("append").parquet(warehouse.marks)
 
 
+class Landed(NamedTuple):
+    """Rows of the source that were landed, that lie outside the window, and that have no batch date."""
+
+    rows: int
+    outside: int
+    undated: int
+
+
+def _seeded(batch: DataFrame, config: Config, as_of: dt.date | str | None) -> DataFrame:
+    """Seed the text columns; a row that isn't hit keeps its texts to the byte."""
+    kept = {"total_amount": "_total_amount", "order_date": "_order_date"}
+    typed = batch.withColumns({copy: F.col(c).cast("string") for c, copy in kept.items()}).withColumns(
+        {"total_amount": F.col("total_amount").try_cast("double"), "order_date": F.col("order_date").try_cast("date")}
+    )
+    seeded = seed_all(typed, config.seed_keys, "batch_date", config.rate, as_of, markers=True)
+    hit = {"total_amount": F.col("seeded_neg") | F.col("seeded_math"), "order_date": F.col("seeded_future")}
+    texts = {c: F.coalesce(F.when(hit[c], F.col(c).cast("string")), F.col(copy)) for c, copy in kept.items()}
+    return seeded.withColumns(texts)
+
+
 def land_window(
     spark: SparkSession,
     config: Config,
     source: DataFrame,
-    start: dt.date,
+    start: dt.date | None,
     end: dt.date,
     as_of: dt.date | str | None,
-) -> int:
-    """Land the source's batches from ``start`` to ``end``, all days in one job.
-
-    Returns the number of rows landed, counted while they are written.
-    """
-    batch = source.where(F.col("batch_date").between(start, end))
+) -> Landed:
+    """Land the source's batches from ``start`` (None: the first) to ``end``, all days in one job."""
+    day = F.col("batch_date")
+    inside = day <= F.lit(end) if start is None else day.between(start, end)
+    counts = source.agg(
+        F.count_if(inside).alias("rows"), F.count_if(~inside).alias("outside"), F.count_if(day.isNull()).alias("undated")
+    ).first()
+    batch = source.where(inside)
+    rows = counts.rows
     if config.rate is not None:
-        typed = batch.select(
-            *[c for c in batch.columns if c not in ("total_amount", "order_date")],
-            F.col("total_amount").try_cast("double").alias("total_amount"),
-            F.col("order_date").try_cast("date").alias("order_date"),
-        )
-        batch = seed_all(typed, config.seed_keys, "batch_date", config.rate, as_of)
+        batch = _seeded(batch, config, as_of)
     text = [F.col(c).cast("string").alias(c) for c in RAW_ORDERS.names]
-    landed = Observation("landed")
-    rows = batch.select(*text, "batch_date").observe(landed, F.count("*").alias("rows"))
-    lz.land_batches(rows, config.landing)
-    return landed.get["rows"]
+    batch = batch.select(*text, "batch_date")
+    if config.rate is not None:
+        rows = batch.count()  # with the copies
+    lz.land_batches(batch, config.landing)
+    return Landed(rows, counts.outside, counts.undated)
 
 
 def ingest(
@@ -168,7 +189,8 @@ def run_backfill(
     lz.land_dimension(customers, config.landing, "customers")
     lz.land_dimension(products, config.landing, "products")
     end = spark.range(1).select(as_of_date(as_of).alias("d")).first().d
-    land_window(spark, config, source, end - dt.timedelta(days=config.history_days), end, as_of)
+    start = None if config.history_days is None else end - dt.timedelta(days=config.history_days)
+    land_window(spark, config, source, start, end, as_of)
     commit_high_water(spark, config.warehouse, end)
     run_load(spark, config.landing, config.warehouse, "full")
     return transform_and_report(spark, config, as_of, run_at)

@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from trustline.functions.casts import normalise_null_markers
 from trustline.sources.schemas import RAW
-from trustline.sources.tables import exists, hadoop_path, write_daily
+from trustline.sources.tables import CSV, exists, hadoop_path, write_daily
 
 MALFORMED = "malformed_record"
+UNLANDABLE = "quarantine"
 BATCH_DATE = r"(?:orders_|batch_date=)(\d{4}-\d{2}-\d{2})"
 
 
@@ -48,6 +49,7 @@ def scan_landing(spark: SparkSession, landing: str, entity: str, quote: str = '"
             columnNameOfCorruptRecord=MALFORMED,
             recursiveFileLookup=True,
             pathGlobFilter="*.csv",
+            **CSV,
             columnPruning=False,  # count the fields of a line whatever columns are used
         )
         .csv(f"{landing}/{entity}")
@@ -101,14 +103,35 @@ def changed_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def land_batches(orders: DataFrame, landing: str) -> None:
-    """Write order rows as CSV, one directory per ``batch_date``; a rerun replaces its days."""
+    """Write order rows as CSV, one directory per ``batch_date``; a rerun replaces its days.
+
+    The files are read line by line, so that they can be split.  A row with a line break in a
+    field goes whole to the quarantine of the landing zone instead (:func:`unlandable_rows`).
+    """
     names = RAW["orders"].names
-    write_daily(orders.select(*names, "batch_date"), f"{landing}/orders", "csv", cluster=True, header="true")
+    rows = orders.select(*names, "batch_date")
+    broken = _has_line_break(names)
+    write_daily(rows.where(~broken), f"{landing}/orders", "csv", cluster=True, header="true", **CSV)
+    write_daily(rows.where(broken), f"{landing}/{UNLANDABLE}/orders", cluster=True)
+
+
+def _has_line_break(names: list[str]) -> Column:
+    return F.coalesce(F.concat_ws("", *[F.col(c).cast("string") for c in names]).rlike("[\r\n]"), F.lit(False))
+
+
+def unlandable_rows(spark: SparkSession, landing: str) -> DataFrame:
+    """Whole order rows that a line of CSV can't hold, by ``batch_date``."""
+    schema = T.StructType([*RAW["orders"].fields, T.StructField("batch_date", T.DateType())])
+    path = f"{landing}/{UNLANDABLE}/orders"
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def land_dimension(df: DataFrame, landing: str, entity: str) -> None:
     """Replace a dimension's landing files."""
-    df.select(*RAW[entity].names).write.mode("overwrite").option("header", True).csv(f"{landing}/{entity}")
+    names = RAW[entity].names
+    rows, broken = df.select(*names), _has_line_break(names)
+    rows.where(~broken).write.mode("overwrite").options(header=True, **CSV).csv(f"{landing}/{entity}")
+    rows.where(broken).write.mode("overwrite").parquet(f"{landing}/{UNLANDABLE}/{entity}")
 
 
 def reset_landing(spark: SparkSession, path: str) -> bool:

@@ -12,6 +12,10 @@ from pyspark.sql.types import StructType
 from trustline.sources.schemas import FEED
 
 
+#: Blanks, quotes and backslashes come back as they were written; quotes in a field are doubled.
+CSV = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 class MissingDimensionError(RuntimeError):
     """A dimension table that orders refer to has not been loaded."""
 
@@ -38,9 +42,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the shared storage that ``spark.checkpoint.dir`` names.
 
-    Only where that is unset, as in tests, it is a local one.
+    Where that is unset it is a local one, which only a local master's tasks can share.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if shared:
         return f"{shared.rstrip('/')}/trustline-{name}-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"trustline-{name}-")
@@ -106,17 +112,18 @@ def create_views(frames: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def export_snapshot(feed: DataFrame, path: str) -> None:
-    """Write the feed as CSV with a header.
+def export_snapshot(feed: DataFrame, path: str, single_file: bool = False) -> None:
+    """Write the feed as a directory of CSV files with headers.
 
-    The rebalance hint makes this one file while the feed is below AQE's advisory
-    partition size, and several once it is not, so no task ever takes it whole.
+    ``single_file`` is for consumers that read one file; it takes the feed through one task.
     """
-    feed.hint("rebalance").write.mode("overwrite").option("header", True).csv(path)
+    rows = feed.coalesce(1) if single_file else feed.hint("rebalance")
+    rows.write.mode("overwrite").options(header=True, **CSV).csv(path)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The exported feed; an empty frame when there is none."""
     if not exists(spark, path):
         return spark.createDataFrame([], FEED)
-    return spark.read.schema(FEED).option("header", True).csv(path)
+    # A status may hold line breaks; the feed's files are small enough not to be split.
+    return spark.read.schema(FEED).options(header=True, multiLine=True, **CSV).csv(path)
