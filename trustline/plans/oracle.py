@@ -30,6 +30,8 @@ def _money(c: str) -> str:
     return f"CAST(CAST(round({c}, 2) AS DECIMAL(18,2)) AS VARCHAR)"
 
 
+# Column names, valid statuses, typo list and issue labels of the outputs that
+# the queries have to match.
 _CLEAN_STATUS = "CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'PENDING' WHEN 'P' THEN 'SHIPPED' END"
 TYPO_LIST = "['Completado', 'completed', 'Shipped!', 'Pending...', 'Cancelled (User)']"
 
