@@ -9,6 +9,7 @@ from trustline.operators import quality
 from trustline.operators.defects import DETECTED_BY
 from trustline.plans import pipeline as pl
 from trustline.plans.feed import load_feed
+from trustline.sources import landing as lz
 from trustline.sources import schemas
 from trustline.sources.tables import MissingDimensionError, read_snapshot
 from trustline.streaming.load import raw_orders
@@ -89,6 +90,34 @@ def test_failing_test_closes_the_gate(spark, customers, products, source, tmp_pa
     }
 
 
+def test_build_stores_monitors_and_quarantine(spark, customers, products, source, tmp_path):
+    cfg = config(tmp_path, 0.5)
+    pl.run_backfill(spark, cfg, source, customers, products, day(11))
+    stored = pl.monitor_tables(spark, cfg.warehouse)
+    assert set(stored) == {"quarantine", "freshness", "volume", "schema"}
+    mart = spark.read.parquet(cfg.warehouse.mart)
+    dirty = mart.where(" or ".join(c for c in mart.columns if c.startswith(("is_", "has_")))).count()
+    assert stored["quarantine"].count() == dirty > 0
+    assert stored["quarantine"].where("size(reasons) = 0").isEmpty()
+    assert [r.table_name for r in stored["freshness"].collect()] == ["fct_orders"]
+    assert stored["schema"].where("status != 'ok'").isEmpty() and stored["volume"].count() >= 1
+
+
+def test_landing_reports_what_it_leaves_out(spark, source, tmp_path):
+    undated = source.limit(7).withColumn("batch_date", F.lit(None).cast("date"))
+    landed = pl.land_window(spark, config(tmp_path, None), source.unionByName(undated), day(2), day(3), day(3))
+    assert landed == (120, source.count() - 120, 7)
+
+
+def test_seeding_keeps_the_texts_of_rows_it_does_not_hit(spark, source, tmp_path):
+    odd = source.withColumn("total_amount", F.lit(" abc")).withColumn("order_date", F.lit("not-a-date"))
+    cfg = config(tmp_path, 0.2)
+    pl.land_window(spark, cfg, odd, None, day(11), day(11))
+    rows = lz.good_rows(lz.scan_batches(spark, cfg.landing))
+    assert rows.where("total_amount != ' abc'").isEmpty()
+    assert {r.order_date for r in rows.select("order_date").distinct().collect()} >= {"not-a-date"}
+
+
 def test_models_need_dimensions(spark, tmp_path):
     with pytest.raises(MissingDimensionError):
         pl.build_models(spark, config(tmp_path, None).warehouse)

@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustline.operators import calendar, quality
+from trustline.operators import calendar, monitors, quality
 from trustline.operators.defects import seed_all
 from trustline.operators.mart import as_of_date, fct_orders
 from trustline.operators.rollup import daily_status_rollup
 from trustline.operators.staging import stg_customers, stg_orders, stg_products
 from trustline.sources import landing as lz
-from trustline.sources.schemas import DQ_RESULTS, RAW_ORDERS
+from trustline.sources.schemas import DQ_RESULTS, FCT_ORDERS, RAW_ORDERS
 from trustline.sources.tables import (
     create_views,
+    exists,
     export_snapshot,
     materialise,
     read_table,
@@ -143,6 +144,26 @@ def build_models(
     return models
 
 
+def store_monitors(
+    warehouse: Warehouse, models: dict[str, DataFrame], as_of: dt.date | str | None = None
+) -> dict[str, DataFrame]:
+    """Store the mart's dirty rows with their reasons, and what freshness, volume and schema monitors say."""
+    mart = models["fct_orders"]
+    found = {
+        "quarantine": quality.quarantine_rows(mart),
+        "freshness": monitors.freshness({"fct_orders": (mart, "order_date")}, as_of),
+        "volume": monitors.volume_anomaly(mart, as_of=as_of),
+        "schema": monitors.schema_check(mart, FCT_ORDERS),
+    }
+    return {name: materialise(df, warehouse.monitor(name)) for name, df in found.items()}
+
+
+def monitor_tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
+    """The stored monitors by name, as far as there are any."""
+    paths = {name: warehouse.monitor(name) for name in ("quarantine", "freshness", "volume", "schema")}
+    return {name: spark.read.parquet(path) for name, path in paths.items() if exists(spark, path)}
+
+
 def transform_and_report(
     spark: SparkSession,
     config: Config,
@@ -150,8 +171,9 @@ def transform_and_report(
     run_at: dt.datetime | None = None,
     specs: list[quality.ColumnTest] | None = None,
 ) -> DataFrame:
-    """Rebuild the mart, test, log the results and, if no test failed, refresh the snapshot."""
+    """Rebuild the mart, store what the monitors find, test, log the results and, if no test failed, refresh the snapshot."""
     models = build_models(spark, config.warehouse, as_of)
+    store_monitors(config.warehouse, models, as_of)
     results = quality.log_results(quality.run_tests(models, specs, run_at), config.warehouse.results)
     quality.require_no_failures(results)
     export_snapshot(daily_status_rollup(models["fct_orders"]), config.snapshot)

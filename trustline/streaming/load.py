@@ -99,6 +99,10 @@ class Warehouse:
     def results(self) -> str:
         return f"{self.root}/dq_results"
 
+    def monitor(self, name: str) -> str:
+        """What the last build left of a monitor, or the rows it set apart (``quarantine``)."""
+        return f"{self.root}/monitor_{name}"
+
     @property
     def marks(self) -> str:
         return f"{self.root}/high_water"
