@@ -183,6 +183,35 @@ def test_rewritten_file_replaces_its_rows(spark, landing, house):
     assert notes.where("load_id like 'change-%'").count() == 1 and notes.count() == 3
 
 
+def test_merged_ledger_knows_every_file(spark, landing, house):
+    ld.run_load(spark, landing, house)
+    path = put(landing, "orders/orders_2024-01-02.csv", order_lines("2024-01-02", "c2"))
+    os.utime(path, (4e9, 4e9))
+    ld.run_load(spark, landing, house)
+    assert not ld.compact_ledger(spark, house)
+    assert ld.compact_ledger(spark, house, max_notes=1)
+    notes = spark.read.parquet(house.files)
+    assert notes.count() == 2 and notes.where("load_id like 'merged-%'").count() == 2
+    before = spark.read.parquet(house.orders).inputFiles()
+    ld.run_load(spark, landing, house)
+    assert ids(ld.raw_orders(spark, house)) == ["a", "b", "c2"]
+    assert sorted(spark.read.parquet(house.orders).inputFiles()) == sorted(before)
+
+
+def test_load_report_counts_per_file(spark, landing, house):
+    put(landing, "orders/orders_2024-01-04.csv", HEADER + "y,z\nbad,line\nok,c1,p1,1,10.0,2024-01-04,PENDING\n")
+    put(landing, "products/more.csv", "product_id,category,price,stock_level,product_name\nonly\n")
+    ld.run_load(spark, landing, house)
+    report = {os.path.basename(r.source_file): r for r in ld.load_report(spark, house).collect()}
+    order = report["orders_2024-01-04.csv"]
+    assert (order.entity, order.row_count, order.rejected, order.first_error) == ("orders", 1, 2, "bad,line")
+    more = report["more.csv"]
+    assert (more.entity, more.row_count, more.rejected, more.first_error) == ("products", 0, 1, "only")
+    assert {r.entity for r in report.values()} == {"orders", "customers", "products"}
+    lines = {(r.entity, r.malformed_record) for r in ld.quarantined_lines(spark, house).collect()}
+    assert lines == {("orders", "y,z"), ("orders", "bad,line"), ("products", "only")}
+
+
 def test_full_load_starts_over(spark, landing, house):
     ld.run_load(spark, landing, house)
     os.remove(os.path.join(landing, "orders/orders_2024-01-02.csv"))

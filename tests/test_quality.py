@@ -73,6 +73,25 @@ def test_results_schema_and_row_tests_share_a_scan(tables):
     assert results._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
 
 
+def test_a_table_is_scanned_once_for_its_key_and_row_tests(spark, tables, tmp_path):
+    child, parent = (tables[n] for n in ("child", "parent"))
+    child.write.parquet(str(tmp_path / "child"))
+    stored = {"child": spark.read.parquet(str(tmp_path / "child")), "parent": parent}
+    results = q.run_tests(
+        stored, [q.Unique("child", "id"), q.NotNull("child", "id"), q.Between("child", "amount", lo=0), q.NotNull("child", "parent_id")], RUN_AT
+    )
+    assert {r.test_name: r.failures for r in results.collect()} == {
+        "unique_child_id": 1, "not_null_child_id": 2, "between_child_amount": 1, "not_null_child_parent_id": 1,
+    }
+    assert results._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_tests_of_an_empty_table_find_nothing(spark, tables):
+    empty = {n: df.limit(0) for n, df in tables.items()}
+    specs = [q.Unique("child", "id"), q.NotNull("child", "id"), q.Between("child", "amount", lo=0), q.Unique("parent", "parent_id")]
+    assert {r.failures for r in q.run_tests(empty, specs, RUN_AT).collect()} == {0}
+
+
 def test_gate(spark, tables):
     warned = q.run_tests(tables, [q.NotNull("child", "id", severity="warn")], RUN_AT)
     q.require_no_failures(warned)

@@ -78,9 +78,6 @@ class Unique(ColumnTest):
 
     kind = "unique"
 
-    def failures(self, tables: dict[str, DataFrame]) -> DataFrame:
-        return duplicate_keys(tables[self.model], self.column).agg(F.count("*").alias("failures"))
-
 
 @dataclass(frozen=True)
 class Relationship(ColumnTest):
@@ -140,11 +137,18 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _row_test_failures(table: DataFrame, tests: list[RowTest]) -> DataFrame:
-    """(test_name, failures) of all row tests of one table from a single scan."""
-    counted = table.agg(*[F.count_if(t.broken()).alias(t.name) for t in tests])
-    pairs = [F.struct(F.lit(t.name).alias("test_name"), F.col(t.name).alias("failures")) for t in tests]
-    return counted.select(F.inline(F.array(*pairs)))
+def _counted(table: DataFrame, key: Unique | None, tests: list[RowTest]) -> DataFrame:
+    """One row, one column per test: all from one scan of the table.
+
+    With a key the rows are counted per key value first, map-side combined, and the row tests
+    ride along; a hot key or the NULL group is one row after that.
+    """
+    broken = [F.count_if(t.broken()).alias(f"_{i}") for i, t in enumerate(tests)]
+    if key is None:
+        return table.agg(*broken)
+    per_key = table.groupBy(F.col(key.column).alias("_key")).agg(F.count("*").alias("_n"), *broken)
+    repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(f"_{len(tests)}")
+    return per_key.agg(*[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(tests))], repeated)
 
 
 def _result(failures: DataFrame, test: ColumnTest) -> DataFrame:
@@ -158,19 +162,18 @@ def _result(failures: DataFrame, test: ColumnTest) -> DataFrame:
     )
 
 
-def _row_results(table: DataFrame, tests: list[RowTest]) -> DataFrame:
-    failures = _row_test_failures(table, tests)
+def _table_results(table: DataFrame, key: Unique | None, tests: list[RowTest]) -> DataFrame:
+    """Results of a table's row tests and of one uniqueness test."""
+    specs: list[ColumnTest] = [*tests, *([key] if key else [])]
+    pairs = [F.struct(F.lit(i).alias("_test"), F.col(f"_{i}").alias("failures")) for i in range(len(specs))]
+    failures = _counted(table, key, tests).select(F.inline(F.array(*pairs)))
 
     def pick(value) -> Column:
-        return reduce(
-            lambda acc, t: acc.when(F.col("test_name") == t.name, value(t)),
-            tests[1:],
-            F.when(F.col("test_name") == tests[0].name, value(tests[0])),
-        )
+        return F.coalesce(*[F.when(F.col("_test") == i, value(t)) for i, t in enumerate(specs)])
 
     return failures.select(
-        "test_name",
-        F.lit(tests[0].model).alias("model"),
+        pick(lambda t: F.lit(t.name)).alias("test_name"),
+        pick(lambda t: F.lit(t.model)).alias("model"),
         pick(lambda t: F.lit(t.column)).alias("column_name"),
         F.col("failures").cast("bigint").alias("failures"),
         pick(lambda t: F.lit(t.severity)).alias("severity"),
@@ -183,16 +186,25 @@ def run_tests(
     specs: list[ColumnTest] | None = None,
     run_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """One result row per test: a lazy union of one plan per table and keyed test."""
+    """One result row per test: a lazy union of one plan per table, key and relationship.
+
+    A table's row tests share the scan of its first uniqueness test.
+    """
     specs = ORDER_TESTS if specs is None else specs
-    by_model: dict[str, list[RowTest]] = defaultdict(list)
+    rows: dict[str, list[RowTest]] = defaultdict(list)
+    keys: dict[str, list[Unique]] = defaultdict(list)
     parts = []
     for spec in specs:
         if isinstance(spec, RowTest):
-            by_model[spec.model].append(spec)
+            rows[spec.model].append(spec)
+        elif isinstance(spec, Unique):
+            keys[spec.model].append(spec)
         else:
             parts.append(_result(spec.failures(tables), spec))
-    parts += [_row_results(tables[model], tests) for model, tests in by_model.items()]
+    for model in dict.fromkeys([*rows, *keys]):
+        first, *others = keys[model] or [None]
+        parts.append(_table_results(tables[model], first, rows[model]))
+        parts += [_table_results(tables[model], key, []) for key in others]
     results = reduce(DataFrame.unionByName, parts)
     stamp = F.current_timestamp() if run_at is None else F.lit(run_at).cast("timestamp")
     return results.withColumn("generated_at", stamp).select(*DQ_RESULTS.names)

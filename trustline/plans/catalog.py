@@ -204,6 +204,38 @@ def _null_markers(t: Tables) -> DataFrame:
     return casts.normalise_null_markers(marked, ["note"])
 
 
+_EDGES = [
+    "'2.49999999999'", "concat({q}, '.5')", "concat('-', {q}, '.5')", "'NaN'", "'-Infinity'", "'1e400'", "'1.5d'",
+    "concat(' ', {q}, ' ')", "''", "'99999999999'", "concat('+', {q}, '.')", "'.5'", "concat({q}, 'x')", "'1e3'",
+    "'2147483647.5'", "'0x1F'", "concat('-.', {q})", "'2024-02-30'", "'2024-1-5'", "concat('2024-01-', {q})",
+]
+_EDGE = " ".join(f"WHEN {i} THEN {text.format(q='q')}" for i, text in enumerate(_EDGES))
+_EDGE_TEXT = f"CASE (l_orderkey + l_linenumber) % {len(_EDGES) + 1} {_EDGE} END"
+_PLAIN_NUMBER = r"regexp_full_match(trim(note), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')"
+
+
+@query(
+    "cast_edges",
+    f"""
+    SELECT l_orderkey, note,
+           CASE WHEN {_PLAIN_NUMBER} AND abs(TRY_CAST(note AS DOUBLE)) < 1e18
+                THEN TRY_CAST(round(CAST(trim(note) AS DECIMAL(38,15))) AS INTEGER) END AS as_int,
+           CASE WHEN {_PLAIN_NUMBER} AND isfinite(TRY_CAST(note AS DOUBLE)) THEN TRY_CAST(note AS DOUBLE) END AS as_double,
+           CASE WHEN regexp_full_match(note, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
+                THEN CAST(TRY_CAST(note AS DATE) AS VARCHAR) END AS as_date
+    FROM (SELECT l_orderkey, {_EDGE_TEXT} AS note FROM (SELECT *, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS q FROM lineitem))
+    """,
+)
+def _cast_edges(t: Tables) -> DataFrame:
+    """Texts that a cast may get wrong, made from the quantities of all order lines."""
+    lines = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet").selectExpr("*", "CAST(CAST(l_quantity AS INT) AS STRING) AS q")
+    note = F.col("note")
+    return lines.selectExpr("l_orderkey", f"{_EDGE_TEXT} AS note").select(
+        "l_orderkey", "note", casts.safe_int(note).alias("as_int"),
+        casts.safe_double(note).alias("as_double"), casts.safe_date(note).alias("as_date"),
+    )
+
+
 @query(
     "load_row_counts",
     """

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustline.operators.calendar import high_water_mark
-from trustline.operators.mart import clean_orders
+from trustline.operators.mart import clean_orders, dirty_orders
+from trustline.operators.quality import PipelineGateError, Unique
+from trustline.plans import oracle as o
 from trustline.plans import pipeline as pl
 from trustline.plans.catalog import FEED_SQL, Tables, query, rounded
 from trustline.plans.feed import load_feed
@@ -29,7 +31,6 @@ from trustline.sources.tables import (
 from trustline.streaming import load as ld
 
 SECOND_HALF = "2024-01-16"
-EVENTS_END = "2024-01-30"
 BROKEN_EVERY = 10
 
 
@@ -62,6 +63,17 @@ _EVENT_ORDERS = """
     FROM events"""
 
 
+def _landed_broken(t: Tables, root: str) -> str:
+    """The events as landing files in which each tenth line has two fields only."""
+    landing = f"{root}/landing"
+    values = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_ORDERS.names])
+    broken = F.col("order_id").cast("bigint") % BROKEN_EVERY == 0
+    line = F.when(broken, F.concat_ws(",", "order_id", "customer_id")).otherwise(values)
+    lines = t.events.select(line.alias(",".join(RAW_ORDERS.names)), "batch_date")
+    write_daily(lines, f"{landing}/orders", "csv", cluster=True, header="true", sep="\u0001")
+    return landing
+
+
 @query("csv_landing_scan", _EVENT_ORDERS)
 def _scan(t: Tables) -> DataFrame:
     landing = _landed(t, scratch_folder(t.spark, "scan"))
@@ -72,51 +84,97 @@ def _scan(t: Tables) -> DataFrame:
 @query(
     "malformed_quarantine",
     f"""
+    SELECT *, CAST(NULL AS VARCHAR) AS malformed_record FROM ({_EVENT_ORDERS}) WHERE CAST(order_id AS BIGINT) % {BROKEN_EVERY} <> 0
+    UNION ALL BY NAME
     SELECT concat(event_id, ',', user_id) AS malformed_record, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date
     FROM events WHERE event_id % {BROKEN_EVERY} = 0
     """,
 )
 def _malformed(t: Tables) -> DataFrame:
-    landing = f"{scratch_folder(t.spark, 'malformed')}/landing"
-    values = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_ORDERS.names])
-    broken = F.col("order_id").cast("bigint") % BROKEN_EVERY == 0
-    line = F.when(broken, F.concat_ws(",", "order_id", "customer_id")).otherwise(values)
-    lines = t.events.select(line.alias(",".join(RAW_ORDERS.names)), "batch_date")
-    write_daily(lines, f"{landing}/orders", "csv", cluster=True, header="true", sep="\u0001")
-    return lz.malformed_rows(lz.scan_batches(t.spark, landing)).drop("source_file")
+    """Good rows and the broken lines kept beside them."""
+    scanned = lz.scan_batches(t.spark, _landed_broken(t, scratch_folder(t.spark, "malformed")))
+    bad = lz.malformed_rows(scanned).drop("source_file")
+    return lz.good_rows(scanned).unionByName(bad, allowMissingColumns=True)
 
 
-_DAYS = "SELECT DISTINCT CAST(batch_date AS VARCHAR) AS batch_date FROM event_orders"
+@query(
+    "load_report",
+    f"""
+    SELECT 'orders' AS entity, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date,
+           count(*) FILTER (WHERE event_id % {BROKEN_EVERY} <> 0) AS row_count,
+           count(*) FILTER (WHERE event_id % {BROKEN_EVERY} = 0) AS rejected,
+           min(concat(event_id, ',', user_id)) FILTER (WHERE event_id % {BROKEN_EVERY} = 0) AS first_error
+    FROM events GROUP BY CAST(ts AS DATE)
+    UNION ALL SELECT 'customers', NULL, count(*), 0, NULL FROM raw_customers
+    UNION ALL SELECT 'products', NULL, 0, count(*), min(product_id) FROM raw_products
+    """,
+)
+def _load_report(t: Tables) -> DataFrame:
+    """What a load took and rejected, its files summed up by day: their names differ by run."""
+    root = scratch_folder(t.spark, "report")
+    landing, house = _landed_broken(t, root), ld.Warehouse(f"{root}/warehouse")
+    lz.land_dimension(t.raw_customers, landing, "customers")
+    t.raw_products.select("product_id").write.option("header", True).csv(f"{landing}/products")
+    ld.run_load(t.spark, landing, house)
+    sums = [F.sum(c).alias(c) for c in ("row_count", "rejected")]
+    return ld.load_report(t.spark, house).groupBy("entity", "batch_date").agg(*sums, F.min("first_error").alias("first_error"))
+
+
+@query(
+    "csv_hostile_roundtrip",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS order_id, source AS customer_id, lang AS product_id,
+           CAST(n_chars AS VARCHAR) AS quantity, CAST(NULL AS VARCHAR) AS total_amount,
+           CAST(NULL AS VARCHAR) AS order_date, CASE WHEN text NOT IN ('NULL', 'null', '') THEN text END AS status,
+           CAST(CAST(DATE '2024-01-01' + CAST(doc_id % 3 AS INTEGER) AS DATE) AS VARCHAR) AS batch_date
+    FROM documents
+    """,
+)
+def _hostile(t: Tables) -> DataFrame:
+    """Whole texts through the landing zone; those with line breaks come from its quarantine."""
+    landing = f"{scratch_folder(t.spark, 'hostile')}/landing"
+    rows = t.spark.read.parquet(f"{t.sf_dir}/documents.parquet").selectExpr(
+        "CAST(doc_id AS STRING) AS order_id", "source AS customer_id", "lang AS product_id",
+        "CAST(n_chars AS STRING) AS quantity", "CAST(NULL AS STRING) AS total_amount",
+        "CAST(NULL AS STRING) AS order_date", "text AS status",
+        "date_add(DATE '2024-01-01', CAST(doc_id % 3 AS INT)) AS batch_date",
+    )
+    lz.land_batches(rows, landing)
+    return lz.good_rows(lz.scan_batches(t.spark, landing)).unionByName(lz.unlandable_rows(t.spark, landing))
+
 
+# Bytes of a day's lines, without the header that each of its files has.
+_BYTES = f"""
+    SELECT batch_date, CAST(sum(strlen(concat_ws(',', order_id, customer_id, coalesce(product_id, ''), quantity,
+                                                 total_amount, order_date, status)) + 1) AS BIGINT) AS line_bytes
+    FROM ({_EVENT_ORDERS}) GROUP BY batch_date"""
+_HEADER_BYTES = len(",".join(RAW_ORDERS.names)) + 1
 
-@query("landing_file_inventory", _DAYS)
+
+def _line_bytes(files: DataFrame) -> DataFrame:
+    return files.groupBy("batch_date").agg(F.sum(F.col("length") - _HEADER_BYTES).alias("line_bytes"))
+
+
+@query("landing_file_inventory", _BYTES)
 def _inventory(t: Tables) -> DataFrame:
     landing = _landed(t, scratch_folder(t.spark, "inventory"))
-    return lz.file_inventory(t.spark, landing).select("batch_date").distinct()
+    return _line_bytes(lz.file_inventory(t.spark, landing))
 
 
-@query("new_files", f"{_DAYS} WHERE batch_date >= DATE '{SECOND_HALF}'")
+@query("new_files", f"SELECT * FROM ({_BYTES}) WHERE batch_date >= '{SECOND_HALF}'")
 def _new_files(t: Tables) -> DataFrame:
     root = scratch_folder(t.spark, "new-files")
     landing = _landed(t, root, _first_half(t))
     ledger = materialise(lz.file_inventory(t.spark, landing), f"{root}/ledger")
     _landed(t, root, _second_half(t))
-    unseen = lz.new_files(lz.file_inventory(t.spark, landing), ledger)
-    return unseen.select("batch_date").distinct()
-
-
-_LOADED = """
-    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date, count(*) AS row_count,
-           round(sum(round(value, 2)), 2) AS total
-    FROM events GROUP BY CAST(ts AS DATE)"""
+    return _line_bytes(lz.new_files(lz.file_inventory(t.spark, landing), ledger))
 
 
 def _loaded(t: Tables, house: ld.Warehouse) -> DataFrame:
-    total = F.round(F.sum(F.col("total_amount").cast("double")), 2).alias("total")
-    return ld.raw_orders(t.spark, house).groupBy("batch_date").agg(F.count("*").alias("row_count"), total)
+    return ld.raw_orders(t.spark, house).drop("row_id")
 
 
-@query("incremental_load", _LOADED)
+@query("incremental_load", _EVENT_ORDERS)
 def _incremental(t: Tables) -> DataFrame:
     """Half the days, the other half, and a day that is landed a second time."""
     root = scratch_folder(t.spark, "incremental")
@@ -130,7 +188,7 @@ def _incremental(t: Tables) -> DataFrame:
     return _loaded(t, house)
 
 
-@query("full_load", _LOADED)
+@query("full_load", _EVENT_ORDERS)
 def _full(t: Tables) -> DataFrame:
     """A full load over a warehouse that already holds everything."""
     root = scratch_folder(t.spark, "full")
@@ -141,15 +199,13 @@ def _full(t: Tables) -> DataFrame:
     return _loaded(t, house)
 
 
-@query("daily_partition_write", _LOADED)
+@query("daily_partition_write", _EVENT_ORDERS)
 def _daily_write(t: Tables) -> DataFrame:
     """The second write replaces the days it holds and leaves the others."""
     path = f"{scratch_folder(t.spark, 'daily')}/orders"
     write_daily(t.events, path, cluster=True)
     write_daily(_second_half(t), path, cluster=True)
-    stored = t.spark.read.schema(t.events.schema).parquet(path)
-    total = F.round(F.sum(F.col("total_amount").cast("double")), 2).alias("total")
-    return stored.groupBy("batch_date").agg(F.count("*").alias("row_count"), total)
+    return t.spark.read.schema(t.events.schema).parquet(path)
 
 
 @query(
@@ -165,10 +221,12 @@ def _dimension(t: Tables) -> DataFrame:
 
 @query(
     "materialise_mart",
-    "SELECT * EXCLUDE (dirty) REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM marked WHERE NOT dirty",
+    "SELECT * EXCLUDE (dirty) REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM marked",
 )
 def _mart(t: Tables) -> DataFrame:
-    return clean_orders(materialise(t.fct, f"{scratch_folder(t.spark, 'mart')}/fct_orders"))
+    """The clean and the dirty half of the stored mart."""
+    mart = materialise(t.fct, f"{scratch_folder(t.spark, 'mart')}/fct_orders")
+    return clean_orders(mart).unionByName(dirty_orders(mart))
 
 
 @query("snapshot_roundtrip", FEED_SQL.format("feed"))
@@ -185,6 +243,16 @@ def _fallback(t: Tables) -> DataFrame:
     return rounded(load_feed(t.spark, f"{root}/no_mart", f"{root}/feed"))
 
 
+@query("feed_fallback_unreadable", FEED_SQL.format("feed"))
+def _unreadable(t: Tables) -> DataFrame:
+    """A mart with a file that is no Parquet: the rollup fails while it runs."""
+    root = scratch_folder(t.spark, "unreadable")
+    materialise(t.fct, f"{root}/mart")
+    t.fct.select("order_id").write.mode("append").text(f"{root}/mart")
+    export_snapshot(t.feed, f"{root}/feed")
+    return rounded(load_feed(t.spark, f"{root}/mart", f"{root}/feed"))
+
+
 @query("commit_high_water", "SELECT CAST(max(batch_date) AS VARCHAR) AS high_water FROM event_orders")
 def _commit(t: Tables) -> DataFrame:
     house = ld.Warehouse(scratch_folder(t.spark, "marks"))
@@ -194,24 +262,63 @@ def _commit(t: Tables) -> DataFrame:
     return pl.read_high_water(t.spark, house, td.EVENTS_AS_OF)
 
 
-@query(
-    "backfill_then_daily",
-    """
-    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS order_date, upper(event_type) AS status,
-           count(*) AS order_count, round(sum(round(value, 2)), 2) AS total_revenue,
-           0.0::DOUBLE AS clean_revenue,
-           count(*) FILTER (WHERE c.customer_id IS NULL) AS orphan_orders,
-           count(*) FILTER (WHERE round(value, 2) < 0) AS negative_amount_orders,
-           CAST(0 AS BIGINT) AS duplicate_orders, CAST(0 AS BIGINT) AS future_orders,
-           CAST(0 AS BIGINT) AS math_errors, count(*) AS bad_status_orders
-    FROM events LEFT JOIN stg_customers c ON c.customer_id = CAST(user_id AS VARCHAR)
-    GROUP BY CAST(ts AS DATE), upper(event_type)
-    """,
-)
+# Raw orders over 28 daily batches; the rows of one order are on different days.
+LAST_OF_FIRST = "2001-01-14"
+
+
+def _dated(t: Tables) -> DataFrame:
+    day = F.date_add(F.lit("2001-01-01").cast("date"), F.col("quantity").cast("int") % 28)
+    return t.raw_orders.select(*RAW_ORDERS.names, day.alias("batch_date"))
+
+
+def _until(orders: DataFrame, day: str = LAST_OF_FIRST) -> DataFrame:
+    return orders.where(F.col("batch_date") <= F.lit(day).cast("date"))
+
+
+def _chain(t: Tables, name: str, rate: float | None = None) -> pl.Config:
+    root = scratch_folder(t.spark, name)
+    return pl.Config(f"{root}/landing", f"{root}/warehouse", f"{root}/feed", rate)
+
+
+@query("backfill_then_daily", FEED_SQL.format("feed"))
 def _chains(t: Tables) -> DataFrame:
     """Both chains in turn, without seeding; returns the snapshot they leave."""
-    root = scratch_folder(t.spark, "chains")
-    config = pl.Config(f"{root}/landing", f"{root}/warehouse", f"{root}/feed", rate=None)
-    pl.run_backfill(t.spark, config, t.events, t.raw_customers, t.raw_products, SECOND_HALF)
-    pl.run_daily(t.spark, config, t.events, EVENTS_END)
+    config, orders = _chain(t, "chains"), _dated(t)
+    pl.run_backfill(t.spark, config, orders, t.raw_customers, t.raw_products, LAST_OF_FIRST)
+    pl.run_daily(t.spark, config, orders, td.AS_OF)
     return rounded(read_snapshot(t.spark, config.snapshot))
+
+
+_FEED_OF = f"""
+    SELECT CAST(order_date AS VARCHAR) AS order_date, status, count(*) AS order_count,
+           round(sum(total_amount), 2) AS total_revenue,
+           round(sum(CASE WHEN is_orphan_order OR has_negative_amount OR is_duplicate OR is_future_order
+                            OR has_math_error OR has_bad_status THEN 0 ELSE total_amount END), 2) AS clean_revenue,
+           count(*) FILTER (WHERE is_orphan_order) AS orphan_orders,
+           count(*) FILTER (WHERE has_negative_amount) AS negative_amount_orders,
+           count(*) FILTER (WHERE is_duplicate) AS duplicate_orders,
+           count(*) FILTER (WHERE is_future_order) AS future_orders,
+           count(*) FILTER (WHERE has_math_error) AS math_errors,
+           count(*) FILTER (WHERE has_bad_status) AS bad_status_orders
+    FROM ({o.flags("part_orders")}) GROUP BY order_date, status"""
+
+
+@query(
+    "pipeline_gate",
+    _FEED_OF.replace(
+        "part_orders o",
+        f"""(SELECT s.* FROM stg_orders s
+             WHERE CAST(DATE '2001-01-01' + s.quantity % 28 AS DATE) <= DATE '{LAST_OF_FIRST}') o""",
+    ),
+)
+def _gate(t: Tables) -> DataFrame:
+    """New rows, then a test of severity ``error`` that fails: the old snapshot stays."""
+    config, orders = _chain(t, "gate"), _dated(t)
+    pl.run_backfill(t.spark, config, _until(orders), t.raw_customers, t.raw_products, td.AS_OF)
+    lz.land_batches(orders, config.landing)
+    ld.run_load(t.spark, config.landing, config.warehouse)
+    try:
+        pl.transform_and_report(t.spark, config, td.AS_OF, specs=[Unique("fct_orders", "status")])
+    except PipelineGateError:
+        return rounded(read_snapshot(t.spark, config.snapshot))
+    raise AssertionError("the gate let a failing test pass")

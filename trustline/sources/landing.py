@@ -95,13 +95,6 @@ def new_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     return inventory.join(ledger.select("path", "modificationTime"), ["path", "modificationTime"], "left_anti")
 
 
-def changed_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files of the inventory that were rewritten under their name since the ledger saw them."""
-    seen = ledger.groupBy("path").agg(F.max("modificationTime").alias("_seen"))
-    newer = F.col("modificationTime") > F.col("_seen")
-    return inventory.join(seen, "path").where(newer).drop("_seen")
-
-
 def land_batches(orders: DataFrame, landing: str) -> None:
     """Write order rows as CSV, one directory per ``batch_date``; a rerun replaces its days.
 

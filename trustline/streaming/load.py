@@ -13,14 +13,17 @@ landing files with a dynamic partition overwrite.  So
 The landing zone is the record of a day: keep a day's files there as long as more may
 come for it.
 
-A file source takes each name once.  Files rewritten under the same name are found by
-their modification time, which is kept per file beside the checkpoint.
+A file source takes each name once and forgets names older than ``MAX_FILE_AGE``, so that
+what it holds on the driver is bounded.  Files rewritten under the same name and files that
+come later than that are found by a join with the versions noted beside the checkpoint; of
+them only their days reach the driver.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +36,7 @@ from trustline.sources.tables import (
     MissingDimensionError,
     exists,
     hadoop_path,
+    materialise,
     read_table,
     row_identity,
     write_daily,
@@ -59,6 +63,10 @@ _RAW_BATCHES = T.StructType(
 
 
 DIMENSIONS = ("customers", "products")
+# Age against the newest file; older ones are left to the join with the ledger.
+MAX_FILE_AGE = "14d"
+# Folders of notes the ledger may have before they are merged into one.
+MAX_NOTES = 64
 
 
 class UndatedFileError(ValueError):
@@ -120,8 +128,7 @@ def landed_dimensions(spark: SparkSession, landing: str) -> list[str]:
 def load_dimensions(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
     """Replace the dimension tables from their landing files; one that is not landed stays."""
     for entity in landed_dimensions(spark, landing):
-        scanned = lz.scan_landing(spark, landing, entity)
-        write_dimension(scanned.drop("source_file"), warehouse.dimension(entity))
+        write_dimension(lz.scan_landing(spark, landing, entity), warehouse.dimension(entity))
 
 
 def rebuild_days(spark: SparkSession, landing: str, warehouse: Warehouse, days: list[dt.date]) -> None:
@@ -169,7 +176,7 @@ def load_new_orders(
         spark.readStream.format("binaryFile")
         .schema(_BINARY_FILE)
         .options(recursiveFileLookup=True, pathGlobFilter="*.csv")
-        .option("maxFileAge", "36500d")  # take late files however old they are
+        .option("maxFileAge", MAX_FILE_AGE)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -184,18 +191,41 @@ def load_new_orders(
     query.awaitTermination()
 
 
-def reload_changed_orders(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
-    """Rebuild the days of files that were rewritten under their name since they were loaded."""
+def load_missed_orders(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
+    """Rebuild the days of files that the ledger lacks or holds in another version.
+
+    These are the files rewritten under their name and those too old for the stream.
+    """
     if not exists(spark, f"{landing}/orders"):
         return
     ledger = read_table(spark, warehouse.files, _LEDGER)
-    changed = lz.changed_files(lz.file_inventory(spark, landing), ledger)
-    # Names and times as of now, one row per rewritten file, before any of them is read.
-    seen = spark.createDataFrame(changed.collect(), T.StructType(_LEDGER.fields[:-1]))
-    days = _days(seen)
+    # Names and times as of now, stored before any of the files is read.
+    missed = lz.new_files(lz.file_inventory(spark, landing), ledger)
+    missed = materialise(missed, f"{warehouse.ledger}/missed")
+    days = _days(missed)
     if days:
         rebuild_days(spark, landing, warehouse, days)
-        _record(seen, warehouse, f"change-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}")
+        _record(missed, warehouse, f"change-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}")
+
+
+def compact_ledger(spark: SparkSession, warehouse: Warehouse, max_notes: int = MAX_NOTES) -> bool:
+    """Merge the ledger's notes into one folder with the last version of each file.
+
+    The merged notes are written before the others go; a crash in between leaves notes twice,
+    which changes nothing.
+    """
+    if not exists(spark, warehouse.files):
+        return False
+    fs, root = hadoop_path(spark, warehouse.files)
+    old = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("load_id=")]
+    if len(old) <= max_notes:
+        return False
+    notes = read_table(spark, warehouse.files, _LEDGER)
+    latest = notes.groupBy("path").agg(F.max_by(F.struct("modificationTime", "length", "batch_date"), "modificationTime").alias("_v"))
+    _record(latest.select("path", "_v.*"), warehouse, f"merged-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}")
+    for path in old:
+        fs.delete(path, True)
+    return True
 
 
 def run_load(spark: SparkSession, landing: str, warehouse: Warehouse | str, mode: str = "incremental") -> None:
@@ -216,7 +246,8 @@ def run_load(spark: SparkSession, landing: str, warehouse: Warehouse | str, mode
         _delete(spark, warehouse.orders)
     load_dimensions(spark, landing, warehouse)
     load_new_orders(spark, landing, warehouse)
-    reload_changed_orders(spark, landing, warehouse)
+    load_missed_orders(spark, landing, warehouse)
+    compact_ledger(spark, warehouse)
 
 
 def raw_order_batches(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
@@ -233,10 +264,14 @@ def raw_orders(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     return good.select(*RAW_ORDERS.names, "batch_date", row_identity())
 
 
+def raw_dimension_lines(spark: SparkSession, warehouse: Warehouse, entity: str) -> DataFrame:
+    """A dimension as loaded: good and malformed rows with source file."""
+    lines = [T.StructField(c, T.StringType()) for c in (lz.MALFORMED, "source_file")]
+    return read_table(spark, warehouse.dimension(entity), T.StructType([*RAW[entity].fields, *lines]))
+
+
 def raw_dimension(spark: SparkSession, warehouse: Warehouse, entity: str) -> DataFrame:
-    schema = T.StructType([*RAW[entity].fields, T.StructField(lz.MALFORMED, T.StringType())])
-    stored = read_table(spark, warehouse.dimension(entity), schema)
-    return stored.where(F.col(lz.MALFORMED).isNull()).select(*RAW[entity].names)
+    return lz.good_rows(raw_dimension_lines(spark, warehouse, entity))
 
 
 def loaded_counts(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
@@ -250,6 +285,31 @@ def loaded_counts(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     )
 
 
+def _loaded_lines(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """(entity, source_file, batch_date, malformed_record) of every line of the three raw tables."""
+    orders = raw_order_batches(spark, warehouse).select("source_file", "batch_date", lz.MALFORMED)
+    parts = [orders.select(F.lit("orders").alias("entity"), "*")]
+    for entity in DIMENSIONS:
+        lines = raw_dimension_lines(spark, warehouse, entity)
+        undated = F.lit(None).cast("date").alias("batch_date")
+        parts.append(lines.select(F.lit(entity).alias("entity"), "source_file", undated, lz.MALFORMED))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def quarantined_lines(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
-    """Malformed order lines with their file and batch date."""
-    return lz.malformed_rows(raw_order_batches(spark, warehouse))
+    """Malformed lines of all entities with their file and, for orders, batch date."""
+    return _loaded_lines(spark, warehouse).where(F.col(lz.MALFORMED).isNotNull())
+
+
+def load_report(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """Per loaded file: lines that parsed, lines rejected, and a rejected line (the smallest as text)."""
+    rejected = F.col(lz.MALFORMED).isNotNull()
+    return (
+        _loaded_lines(spark, warehouse)
+        .groupBy("entity", "source_file", "batch_date")
+        .agg(
+            F.count_if(~rejected).alias("row_count"),
+            F.count_if(rejected).alias("rejected"),
+            F.min(lz.MALFORMED).alias("first_error"),
+        )
+    )
