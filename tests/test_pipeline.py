@@ -1,6 +1,7 @@
 """Both chains end to end."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,11 +9,12 @@ from pyspark.sql import functions as F
 from trustline.operators import quality
 from trustline.operators.defects import DETECTED_BY
 from trustline.plans import pipeline as pl
-from trustline.plans.feed import load_feed
+from trustline.plans.feed import live_feed, load_feed
+from trustline.plans.mart_table import read_mart
 from trustline.sources import landing as lz
 from trustline.sources import schemas
-from trustline.sources.tables import MissingDimensionError, read_snapshot
-from trustline.streaming.load import raw_orders
+from trustline.sources.tables import MissingDimensionError, read_snapshot, write_daily
+from trustline.streaming.load import raw_orders, run_load
 
 START = dt.date(2024, 1, 1)
 
@@ -141,3 +143,86 @@ def test_ingest_window_and_mark(spark, source, tmp_path):
     assert pl.ingest(spark, cfg, source, day(5)) == 2
     pl.commit_high_water(spark, cfg.warehouse, day(1))  # an older mark never wins
     assert pl.read_high_water(spark, cfg.warehouse).first().high_water == day(5)
+
+
+def files(spark, cfg):
+    """Files of the stored mart by day."""
+    found = {}
+    for path in spark.read.parquet(cfg.warehouse.mart).inputFiles():
+        found.setdefault(lz_day(path), set()).add(path)
+    return found
+
+
+def lz_day(path):
+    return dt.date.fromisoformat(path.split("batch_date=")[1][:10])
+
+
+def rows_of(df):
+    return sorted(df.collect(), key=repr)
+
+
+def rebuilt(spark, cfg, as_of):
+    """The days of the mart that a build touches; its rows must equal those of a full rebuild."""
+    before = files(spark, cfg)
+    pl.build_models(spark, cfg.warehouse, as_of)
+    after, rows = files(spark, cfg), rows_of(read_mart(spark, cfg.warehouse))
+    feed = rows_of(live_feed(spark, cfg.warehouse.mart))
+    pl.build_models(spark, cfg.warehouse, as_of, full=True)
+    assert rows == rows_of(read_mart(spark, cfg.warehouse))
+    assert feed == rows_of(live_feed(spark, cfg.warehouse.mart))
+    return {d for d in before.keys() | after.keys() if before.get(d) != after.get(d)}
+
+
+def test_only_touched_days_of_the_mart_are_rebuilt(spark, customers, products, source, tmp_path):
+    cfg = config(tmp_path, None)
+    ahead = F.when(F.col("order_id") == "o70", F.lit(str(day(20)))).otherwise(F.col("order_date"))
+    source = source.withColumn("order_date", ahead)
+    pl.run_backfill(spark, cfg, source, customers, products, day(5))
+    assert rebuilt(spark, cfg, day(5)) == set()
+    # A new day with a copy of an order of day 2.
+    copy = source.where("order_id = 'o130'").withColumn("batch_date", F.lit(day(6)))
+    lz.land_batches(source.where(F.col("batch_date") == day(6)).unionByName(copy), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+    assert rebuilt(spark, cfg, day(6)) == {day(2), day(6)}
+    assert read_mart(spark, cfg.warehouse).where("is_duplicate").count() == 1
+    # The copy goes again, and the day keeps its others.
+    lz.land_batches(source.where(F.col("batch_date") == day(6)), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+    assert rebuilt(spark, cfg, day(6)) == {day(2), day(6)}
+    assert read_mart(spark, cfg.warehouse).where("is_duplicate").count() == 0
+    # Time passes: the order dated ahead is no longer in the future.
+    assert rebuilt(spark, cfg, day(20)) == {day(1)}
+    # A customer that only one day knows is added.
+    stranger = source.where("order_id = 'o200'").withColumn("customer_id", F.lit("c9"))
+    lz.land_batches(source.where(f"batch_date = '{day(3)}' and order_id <> 'o200'").unionByName(stranger), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+    assert rebuilt(spark, cfg, day(20)) == {day(3)}
+    lz.land_dimension(customers.union(spark.createDataFrame([("c9", "n9", "e9", "2024-01-01", "EU")], customers.schema)), cfg.landing, "customers")
+    run_load(spark, cfg.landing, cfg.warehouse)
+    assert rebuilt(spark, cfg, day(20)) == {day(3)}
+    assert read_mart(spark, cfg.warehouse).where("is_orphan_order").count() == 0
+
+
+def test_rows_without_an_order_id_and_days_without_rows(spark, customers, products, source, tmp_path):
+    cfg = config(tmp_path, None)
+    bare = F.when(F.col("order_id").isin("o10", "o70"), F.lit(None)).otherwise(F.col("order_id"))
+    source = source.withColumn("order_id", bare)
+    with pytest.raises(quality.PipelineGateError, match="not_null"):
+        pl.run_backfill(spark, cfg, source.where(F.col("batch_date") != day(0)), customers, products, day(3))
+    lz.land_batches(source.where(F.col("batch_date") == day(0)), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+    assert rebuilt(spark, cfg, day(3)) == {day(0), day(1)}
+    assert read_mart(spark, cfg.warehouse).where("order_id is null and is_duplicate").count() == 1
+    # All lines of a day turn bad.
+    broken = spark.createDataFrame([("x", day(2))], "order_id string, batch_date date")
+    write_daily(broken, f"{cfg.landing}/orders", "csv", cluster=True, header="true")
+    run_load(spark, cfg.landing, cfg.warehouse)
+    assert rebuilt(spark, cfg, day(3)) == {day(2)}
+    assert read_mart(spark, cfg.warehouse).where(F.col("batch_date") == day(2)).count() == 0
+
+
+def test_a_build_that_died_is_followed_by_a_full_one(spark, customers, products, source, tmp_path):
+    cfg = config(tmp_path, None)
+    pl.run_backfill(spark, cfg, source, customers, products, day(2))
+    shutil.rmtree(f"{cfg.warehouse.mart_state}/days")
+    assert rebuilt(spark, cfg, day(2)) == {day(0), day(1), day(2)}

@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 
 from trustline.operators import calendar, monitors, quality
 from trustline.operators.defects import seed_all
-from trustline.operators.mart import as_of_date, fct_orders
-from trustline.operators.rollup import daily_status_rollup
+from trustline.operators.mart import as_of_date
 from trustline.operators.staging import stg_customers, stg_orders, stg_products
+from trustline.plans.mart_table import build_mart, read_mart
 from trustline.sources import landing as lz
-from trustline.sources.schemas import DQ_RESULTS, FCT_ORDERS, RAW_ORDERS
+from trustline.sources.schemas import DQ_RESULTS, FCT_ORDERS, FEED, RAW_ORDERS
 from trustline.sources.tables import (
     create_views,
     exists,
@@ -25,7 +25,7 @@ from trustline.sources.tables import (
     read_table,
     require_dimensions,
 )
-from trustline.streaming.load import Warehouse, raw_dimension, raw_orders, run_load
+from trustline.streaming.load import Warehouse, raw_dimension, raw_order_ids, raw_orders, run_load
 
 _MARKS = T.StructType([T.StructField("batch_date", T.DateType())])
 
@@ -126,19 +126,19 @@ def ingest(
 
 
 def build_models(
-    spark: SparkSession, warehouse: Warehouse, as_of: dt.date | str | None = None
+    spark: SparkSession, warehouse: Warehouse, as_of: dt.date | str | None = None, full: bool = False
 ) -> dict[str, DataFrame]:
-    """Stage the raw tables as views and rebuild the stored mart."""
+    """Stage the raw tables as views and bring the stored mart and its feed up to them."""
     require_dimensions(spark, {e: warehouse.dimension(e) for e in ("customers", "products")})
     orders = stg_orders(raw_orders(spark, warehouse))
     customers = stg_customers(raw_dimension(spark, warehouse, "customers"))
     products = stg_products(raw_dimension(spark, warehouse, "products"))
-    mart = materialise(fct_orders(orders, customers, products, as_of), warehouse.mart)
+    build_mart(spark, warehouse, orders, customers, products, as_of, full, raw_order_ids(spark, warehouse))
     models = {
         "stg_orders": orders,
         "stg_customers": customers,
         "stg_products": products,
-        "fct_orders": mart,
+        "fct_orders": read_mart(spark, warehouse).select(*FCT_ORDERS.names),
     }
     create_views(models)
     return models
@@ -170,13 +170,14 @@ def transform_and_report(
     as_of: dt.date | str | None = None,
     run_at: dt.datetime | None = None,
     specs: list[quality.ColumnTest] | None = None,
+    full: bool = False,
 ) -> DataFrame:
-    """Rebuild the mart, store what the monitors find, test, log the results and, if no test failed, refresh the snapshot."""
-    models = build_models(spark, config.warehouse, as_of)
+    """Bring the mart up to date, store what the monitors find, test, log the results and, if no test failed, refresh the snapshot."""
+    models = build_models(spark, config.warehouse, as_of, full)
     store_monitors(config.warehouse, models, as_of)
     results = quality.log_results(quality.run_tests(models, specs, run_at), config.warehouse.results)
     quality.require_no_failures(results)
-    export_snapshot(daily_status_rollup(models["fct_orders"]), config.snapshot)
+    export_snapshot(read_table(spark, config.warehouse.mart_feed, FEED), config.snapshot)
     return results
 
 
@@ -215,4 +216,4 @@ def run_backfill(
     land_window(spark, config, source, start, end, as_of)
     commit_high_water(spark, config.warehouse, end)
     run_load(spark, config.landing, config.warehouse, "full")
-    return transform_and_report(spark, config, as_of, run_at)
+    return transform_and_report(spark, config, as_of, run_at, full=True)

@@ -103,6 +103,16 @@ class Warehouse:
     def mart(self) -> str:
         return f"{self.root}/fct_orders"
 
+    @property
+    def mart_feed(self) -> str:
+        """The rollup of the mart as it is now."""
+        return f"{self.mart}_feed"
+
+    @property
+    def mart_state(self) -> str:
+        """What the mart was built from."""
+        return f"{self.mart}_state"
+
     @property
     def results(self) -> str:
         return f"{self.root}/dq_results"
@@ -264,6 +274,11 @@ def raw_orders(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     return good.select(*RAW_ORDERS.names, "batch_date", row_identity())
 
 
+def raw_order_ids(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """The order ids of the good rows alone, without the columns that tell rows apart."""
+    return raw_order_batches(spark, warehouse).where(F.col(lz.MALFORMED).isNull()).select("order_id")
+
+
 def raw_dimension_lines(spark: SparkSession, warehouse: Warehouse, entity: str) -> DataFrame:
     """A dimension as loaded: good and malformed rows with source file."""
     lines = [T.StructField(c, T.StringType()) for c in (lz.MALFORMED, "source_file")]
