@@ -266,7 +266,8 @@ def _commit(t: Tables) -> DataFrame:
 LAST_OF_FIRST = "2001-01-14"
 
 
-def _dated(t: Tables) -> DataFrame:
+def dated(t: Tables) -> DataFrame:
+    """The raw orders with the daily batch each belongs to."""
     day = F.date_add(F.lit("2001-01-01").cast("date"), F.col("quantity").cast("int") % 28)
     return t.raw_orders.select(*RAW_ORDERS.names, day.alias("batch_date"))
 
@@ -283,7 +284,7 @@ def _chain(t: Tables, name: str, rate: float | None = None) -> pl.Config:
 @query("backfill_then_daily", FEED_SQL.format("feed"))
 def _chains(t: Tables) -> DataFrame:
     """Both chains in turn, without seeding; returns the snapshot they leave."""
-    config, orders = _chain(t, "chains"), _dated(t)
+    config, orders = _chain(t, "chains"), dated(t)
     pl.run_backfill(t.spark, config, orders, t.raw_customers, t.raw_products, LAST_OF_FIRST)
     pl.run_daily(t.spark, config, orders, td.AS_OF)
     return rounded(read_snapshot(t.spark, config.snapshot))
@@ -313,7 +314,7 @@ _FEED_OF = f"""
 )
 def _gate(t: Tables) -> DataFrame:
     """New rows, then a test of severity ``error`` that fails: the old snapshot stays."""
-    config, orders = _chain(t, "gate"), _dated(t)
+    config, orders = _chain(t, "gate"), dated(t)
     pl.run_backfill(t.spark, config, _until(orders), t.raw_customers, t.raw_products, td.AS_OF)
     lz.land_batches(orders, config.landing)
     ld.run_load(t.spark, config.landing, config.warehouse)
@@ -328,7 +329,7 @@ def _gate(t: Tables) -> DataFrame:
 def _incremental_mart(t: Tables) -> DataFrame:
     """A mart of half the days, an earlier date and other dimensions, then brought up to all of it."""
     root = scratch_folder(t.spark, "incremental-mart")
-    house, landing, orders = ld.Warehouse(f"{root}/warehouse"), f"{root}/landing", _dated(t)
+    house, landing, orders = ld.Warehouse(f"{root}/warehouse"), f"{root}/landing", dated(t)
     odd = F.col("customer_id").cast("bigint") % 40
     customers = t.raw_customers.where(odd != 0).withColumn("region", F.when(odd > 1, F.col("region")))
     lz.land_batches(_until(orders), landing)
