@@ -1,21 +1,24 @@
 """Main text of web pages by site style trees.
 
-The pages of a host are merged into one style tree.  Its nodes are the structural elements
-and those that carry a style (class, id or role), by the path that leads to them; plain
-paragraphs, headings and lists belong to the node around them.  A node's importance, over the
-distinct pages of the host that have it, is
+The pages of a host are merged into one style tree of all that they show.  Its nodes are the
+structural elements and those that carry a style (class, id or role), by the path that leads to
+them; paragraphs, headings, whole lists and tables are the leaves of the node around them.  A
+node's importance, over the distinct pages of the host that have it, is
 
-    (1 - G) * entropy of its layouts  +  G * (1 - mean over its texts of log(pages with it) / log(pages))
+    (1 - G) * entropy of its layouts  +  G * (1 - mean over its leaves of log(pages with it) / log(pages))
 
-so a branch that looks and reads the same on page after page comes out near 0 and is removed
-from each page, while one that a few pages share stays.  What a page marks as its article is
-not judged itself, only the styled branches in it.  Branches whose element, role or style
-name says what they are (menus, forms, notices, comments ...) have no importance on any host,
-also where there are too few pages to compare.  Of what is left the article is taken if the
-page marks one, else the body without blocks that are mostly links.
+and a leaf's is 1 - log(pages with it) / log(pages with its node).  So what looks and reads the
+same on page after page comes out near 0 and is removed from each page, while what a few pages
+share stays.  Of what a page marks as its article the leaves are judged and the branches in it;
+it stays whole where most of it would go, as a copy of another page.  A heading stays with what
+it heads.  Of what is left the article is taken if the page marks one, else the body without
+blocks that are mostly links.
 
-Nothing of a host meets in one task: layouts and texts are counted by (host, node, text), with
-identical pages counted once.
+Branches whose element, role or style name says what they are (menus, forms, notices, comments
+...) have no importance on any host, also where there are too few pages to compare.
+
+Nothing of a host meets in one task: layouts and leaves are counted by (host, node, leaf), with
+pages of equal main text counted once.
 
 Defined cases: a NULL or empty page has the empty text; unclosed and misnested elements are
 closed as browsers do; a page without a host name belongs to the host ''.  Repeated rows give
@@ -27,6 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +67,9 @@ SILENT_STYLES = set(
 )
 #: What also an element marked as article can be.
 SILENT_ARTICLES = set(_WORDS("ad ads advert advertisement comment comments promo promoted related reply sponsored teaser"))
+HEADINGS = set(_WORDS("h1 h2 h3 h4 h5 h6"))
+#: Elements that are one content node with all plain elements in them.
+UNITS = BLOCKS - STRUCTURE - set(_WORDS("br center fieldset head hr html title")) | {"table"}
 #: Elements that end when one of the others starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = BLOCKS - {"br", "head", "html", "body", "title", "option", "legend", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
@@ -167,8 +174,21 @@ def _silent(node: Node, holds_article: bool, in_article: bool, holds_title: bool
     return node.tag in MARGIN or (attrs.get("role") or "").lower() in SILENT_ROLES or bool(styles & SILENT_STYLES)
 
 
+class Block(NamedTuple):
+    node: int  # style node
+    inside: bool  # of a marked article
+    text: str
+    linked: int  # characters in links
+    tag: str
+    unit: int
+
+    @property
+    def chars(self) -> int:
+        return len("".join(self.text.split()))
+
+
 class Page:
-    """A page's candidate branches: for each style node its blocks of text, in page order."""
+    """A page's whole tree: for each style node its blocks of text, in page order."""
 
     def __init__(self, html: str) -> None:
         root = parse(html)
@@ -179,19 +199,23 @@ class Page:
                 while up is not None and id(up) not in found:
                     found.add(id(up))
                     up = up.parent
-        #: (style node, inside a marked article, text, characters in links, tag of the block)
-        self.blocks: list[tuple[int, bool, str, int, str]] = []
-        #: Nodes that the page itself marks as its article; these are not up for removal.
+        self.blocks: list[Block] = []
+        #: Nodes that the page itself marks as its article; of these only the leaves are judged.
         self.marked: set[int] = set()
+        self.parent: dict[int, int] = {}
+        self.has_article = bool(holds)
         path, inside, links, texts, linked = [(0, {})], 0, 0, [], 0
         skipped: Node | None = None
         block_tag = ""
+        units, unit = [0], 0
 
         def flush() -> None:
-            nonlocal texts, linked
+            nonlocal texts, linked, unit
             text = " ".join("".join(texts).split())
             if text:
-                self.blocks.append((path[-1][0], inside > 0, text, linked, block_tag))
+                if not units[-1]:
+                    unit += 1
+                self.blocks.append(Block(path[-1][0], inside > 0, text, linked, block_tag, units[-1] or unit))
             texts, linked = [], 0
 
         for node, begins in _walk(root):
@@ -214,37 +238,76 @@ class Page:
                     continue
                 inside += _marked(node)
                 links += node.tag == "a"
+                if node.tag in BLOCKS:
+                    if node.tag in UNITS and not units[-1] and (node.tag == "table" or not styled):
+                        unit += 1
+                        units.append(unit)
+                    else:
+                        units.append(0 if styled else units[-1])
                 if styled:
                     name = ".".join([node.tag, *sorted(_style(node))])
                     seen = path[-1][1]
                     seen[name] = seen.get(name, 0) + 1
                     nth = min(seen[name], 3) if name == node.tag else 0
-                    path.append((xxhash.xxh64_intdigest(f"{path[-1][0]}/{name}/{nth}") >> 1, {}))
+                    own = xxhash.xxh64_intdigest(f"{path[-1][0]}/{name}/{nth}") >> 1
+                    self.parent[own] = path[-1][0]
+                    path.append((own, {}))
                     if _marked(node):
-                        self.marked.add(path[-1][0])
+                        self.marked.add(own)
             else:
                 inside -= _marked(node)
                 links -= node.tag == "a"
+                if node.tag in BLOCKS:
+                    units.pop()
                 if styled:
                     path.pop()
         flush()
-        if any(b[1] for b in self.blocks) or holds:
-            self.blocks = [b for b in self.blocks if b[1]]
+        together: dict[tuple[int, int], list[str]] = {}
+        for b in self.blocks:
+            together.setdefault((b.node, b.unit), []).append(b.text)
+        #: The content node that each block belongs to.
+        self.leaves = {at: xxhash.xxh64_intdigest(f"{at[0]}/{chr(10).join(t)}") >> 1 for at, t in together.items()}
+
+    def _leaf(self, block: Block) -> int:
+        return self.leaves[block.node, block.unit]
+
+    def _under(self, node: int, top: int) -> bool:
+        while node != top and node:
+            node = self.parent[node]
+        return node == top
+
+    def text(self, low: set[int]) -> str:
+        """The main text without the style nodes and leaves in ``low``."""
+        if self.has_article:
+            blocks = [b for b in self.blocks if b.inside]
         else:
-            self.blocks = [b for b in self.blocks if b[3] < LINKS * len("".join(b[2].split()))]
-
-    def text(self, without: set[int]) -> str:
-        return " ".join(b[2] for b in self.blocks if b[0] not in without)
-
-    def nodes(self) -> Iterator[tuple[int, int, list[int]]]:
-        """(style node, hash of its layout, hashes of its distinct texts)."""
-        own: dict[int, list] = {}
+            blocks = [b for b in self.blocks if b.linked < LINKS * b.chars]
+        total = sum(b.chars for b in blocks)
+        gone = [b.node in low and b.node not in self.marked for b in blocks]
+        leaf = [not out and self._leaf(b) in low for b, out in zip(blocks, gone, strict=True)]
+        # A heading stays with what it heads.
+        for i in reversed(range(len(blocks))):
+            if leaf[i] and blocks[i].tag in HEADINGS:
+                for j in range(i + 1, len(blocks)):
+                    if (blocks[j].tag in HEADINGS and blocks[j].tag <= blocks[i].tag) or not self._under(blocks[j].node, blocks[i].node):
+                        break
+                    if not (gone[j] or leaf[j]):
+                        leaf[i] = False
+                        break
+        # An article that is mostly repeated is a copy of another page's, not its frame.
+        own = [at and b.node in self.marked for b, at in zip(blocks, leaf, strict=True)]
+        if 2 * sum(b.chars for b, at in zip(blocks, own, strict=True) if at) > total:
+            leaf = [at and not o for at, o in zip(leaf, own, strict=True)]
+        return " ".join(b.text for b, *out in zip(blocks, gone, leaf, strict=True) if not any(out))
+
+    def nodes(self) -> Iterator[tuple[int, int, list[int], bool]]:
+        """(style node, hash of its layout, its distinct leaves, whether it is an article)."""
+        own: dict[int, list[Block]] = {}
         for b in self.blocks:
-            if b[0] not in self.marked:
-                own.setdefault(b[0], []).append(b)
+            own.setdefault(b.node, []).append(b)
         for node, blocks in own.items():
-            layout = xxhash.xxh64_intdigest(" ".join(b[4] for b in blocks))
-            yield node, layout >> 1, sorted({xxhash.xxh64_intdigest(b[2]) >> 1 for b in blocks})
+            layout = xxhash.xxh64_intdigest(" ".join(b.tag for b in blocks))
+            yield node, layout >> 1, sorted({self._leaf(b) for b in blocks}), node in self.marked
 
 
 def host_of(url: str | None) -> str:
@@ -260,29 +323,33 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = Page(html)
             host, digest = host_of(url), xxhash.xxh64_intdigest(page.text(set())) >> 1
             rows.extend((key, host, digest, *node) for node in page.nodes())
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "host", "digest", "node", "layout", "texts"])
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_())
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "host", "digest", "node", "layout", "leaves", "article"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns in: id, url, html, low (style nodes to remove)."""
+    """Columns in: id, url, html, low (style nodes and leaves to remove)."""
     for batch in batches:
         texts = [Page(html).text(set(low or ())) for html, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "url", "text"])
 
 
-def unimportant(features: DataFrame, min_pages: int = MIN_PAGES, important: float = IMPORTANT) -> DataFrame:
-    """(host, node) of the branches of low importance in their host's style tree."""
-    once = features.dropDuplicates(["host", "node", "digest"])
-    pages = once.groupBy("host", "node").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    layouts = once.groupBy("host", "node", "layout").agg(F.count("*").alias("n")).join(pages, ["host", "node"])
-    share = F.col("n") / F.col("pages")
-    layouts = layouts.groupBy("host", "node").agg(F.sum(-share * F.log(share) / F.log("pages")).alias("presentation"))
-    texts = once.select("host", "node", F.explode("texts").alias("text")).groupBy("host", "node", "text").agg(F.count("*").alias("n")).join(pages, ["host", "node"])
-    texts = texts.groupBy("host", "node").agg((1 - F.avg(F.log("n") / F.log("pages"))).alias("content"))
-    importance = (1 - G) * F.col("presentation") + G * F.col("content")
-    return layouts.join(texts, ["host", "node"]).where(importance < important).select("host", "node")
+def judged(features: DataFrame, min_pages: int = MIN_PAGES, important: float = IMPORTANT) -> tuple[DataFrame, DataFrame]:
+    """(host, node, low) of the branches in their host's style tree and (host, node, leaf) of the leaves of low importance."""
+    # Of pages with equal main texts one counts, the same one on every run.
+    once = features.groupBy("host", "node", "digest").agg(F.min(F.struct("layout", "leaves")).alias("f")).select("host", "node", "f.*")
+    layouts = once.groupBy("host", "node", "layout").agg(F.count("*").alias("n"))
+    pages = layouts.groupBy("host", "node").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("of_layouts")).where(F.col("pages") >= min_pages)
+    leaves = once.select("host", "node", F.explode("leaves").alias("leaf")).groupBy("host", "node", "leaf").agg(F.count("*").alias("n"))
+    texts = leaves.groupBy("host", "node").agg(F.avg(F.log("n")).alias("of_texts"))
+    presentation = 1 - F.col("of_layouts") / (F.col("pages") * F.log("pages"))
+    content = 1 - F.col("of_texts") / F.log("pages")
+    nodes = pages.join(texts, ["host", "node"]).select("host", "node", ((1 - G) * presentation + G * content < important).alias("low"))
+    # A leaf that can be low is on so many pages; this keeps the large branches of a host out of the join.
+    often = leaves.where(F.col("n") >= max(2, min_pages ** (1 - important)))
+    low = often.join(pages, ["host", "node"]).where(1 - F.log("n") / F.log("pages") < important).select("host", "node", "leaf")
+    return nodes, low
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", **options) -> DataFrame:
@@ -290,8 +357,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
     source = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), html.alias("html"))
     source = source.withColumn("key", F.xxhash64("id", "url", "html"))
-    features = stored(source.select("key", "url", "html").mapInArrow(_features, "key long, host string, digest long, node long, layout long, texts array<long>"), "branches")
-    low = features.join(unimportant(features, **options), ["host", "node"]).groupBy("key").agg(F.collect_set("node").alias("low"))
-    judged = source.join(low, "key", "left").select("id", "url", "html", "low")
+    kinds = "key long, host string, digest long, node long, layout long, leaves array<long>, article boolean"
+    features = stored(source.select("key", "url", "html").mapInArrow(_features, kinds), "branches")
+    nodes, leaves = judged(features, **options)
+    of_nodes = features.join(nodes.where("low"), ["host", "node"]).where("not article").select("key", F.col("node").alias("item"))
+    of_leaves = features.select("key", "host", "node", F.explode("leaves").alias("leaf")).join(leaves, ["host", "node", "leaf"]).select("key", F.col("leaf").alias("item"))
+    low = of_nodes.unionByName(of_leaves).groupBy("key").agg(F.collect_set("item").alias("low"))
+    found = source.join(low, "key", "left").select("id", "url", "html", "low")
     kind = source.schema["id"].dataType.simpleString()
-    return judged.mapInArrow(_extract, f"id {kind}, url string, text string")
+    return found.mapInArrow(_extract, f"id {kind}, url string, text string")
