@@ -14,8 +14,11 @@ it stays whole where most of it would go, as a copy of another page.  A heading
 it heads.  Of what is left the article is taken if the page marks one, else the body without
 blocks that are mostly links.
 
-Branches whose element, role or style name says what they are (menus, forms, notices, comments
-...) have no importance on any host, also where there are too few pages to compare.
+Elements and roles that say what they are (menus, forms ...) and hidden ones go on any host.  A
+name that says so goes only as a whole (a class or the id, all its words), never from a heading,
+a paragraph, a branch with the page's h1 or one with most of its text; in an article, words that
+can be a subject don't count.  Where enough pages have the style node, its importance must
+confirm the name.
 
 Nothing of a host meets in one task: layouts and leaves are counted by (host, node, leaf), with
 pages of equal main text counted once.
@@ -67,6 +70,15 @@ SILENT_STYLES = set(
 )
 #: What also an element marked as article can be.
 SILENT_ARTICLES = set(_WORDS("ad ads advert advertisement comment comments promo promoted related reply sponsored teaser"))
+#: Of these words those that also name a part or a subject of a text; in an article they don't count.
+TOPICS = set(
+    _WORDS(
+        "alert banner comment consent cookie cookies copyright disclaimer discussion header hidden legal login menu navigation newsletter notice notices "
+        "notification promotion recommended related replies reply respond search share sharing skip social sponsor subscription teaser"
+    )
+)
+#: Words that add nothing to such a name.
+HOLDERS = set(_WORDS("area bar block box button buttons container form group icons inner link links list outer panel site slot unit wrap wrapper"))
 HEADINGS = set(_WORDS("h1 h2 h3 h4 h5 h6"))
 #: Elements that are one content node with all plain elements in them.
 UNITS = BLOCKS - STRUCTURE - set(_WORDS("br center fieldset head hr html title")) | {"table"}
@@ -141,6 +153,12 @@ def _style(node: Node) -> list[str]:
     return re.findall(r"[a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower())
 
 
+def _names(node: Node) -> list[list[str]]:
+    """The words of each class and of the id."""
+    names = f"{node.attrs.get('class') or ''} {node.attrs.get('id') or ''}"
+    return [re.findall(r"[a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()) for name in names.split()]
+
+
 def _walk(root: Node) -> Iterator[tuple[Node, bool]]:
     """Nodes and texts in order; each node once as it begins and once as it ends."""
     stack: list = [(root, True)]
@@ -156,22 +174,33 @@ def _marked(node: Node) -> bool:
     return node.tag in ("article", "main") or node.attrs.get("role") in ("main", "article") or node.attrs.get("itemprop") == "articleBody"
 
 
+def _article(node: Node) -> bool:
+    """Whether the page marks it as its article, not as a comment or a teaser."""
+    return _marked(node) and not any(words and set(words) <= SILENT_ARTICLES | HOLDERS and set(words) & SILENT_ARTICLES for words in _names(node))
+
+
 def _silent(node: Node, holds_article: bool, in_article: bool, holds_title: bool) -> bool:
-    """Whether its element, role or style name says that a branch is not main text."""
+    """Whether its element or role says that a branch is not main text, or the page hides it."""
     if node.tag in SILENT:
         return True
-    attrs, styles = node.attrs, set(_style(node))
+    attrs = node.attrs
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style") or ""):
         return True
-    if node.tag in ("", "html", "body"):
+    if node.tag in ("", "html", "body") or _marked(node) or holds_article:
         return False
-    if _marked(node):
-        return bool(styles & SILENT_ARTICLES)
-    if holds_article:
+    if in_article and holds_title and node.tag == "header":
         return False
-    if in_article and holds_title and (node.tag == "header" or "header" in styles):
+    return node.tag in MARGIN or (attrs.get("role") or "").lower() in SILENT_ROLES
+
+
+def _named(node: Node, holds_article: bool, in_article: bool, holds_title: bool) -> bool:
+    """Whether one of its names as a whole says that a branch is not main text; only its host's pages or their lack confirm it."""
+    if _marked(node):
+        return not _article(node)
+    if node.tag in ("", "html", "body", "p") or node.tag in HEADINGS or holds_article or holds_title:
         return False
-    return node.tag in MARGIN or (attrs.get("role") or "").lower() in SILENT_ROLES or bool(styles & SILENT_STYLES)
+    says = SILENT_STYLES - TOPICS if in_article else SILENT_STYLES
+    return any(set(words) & says and set(words) <= SILENT_STYLES | HOLDERS for words in _names(node))
 
 
 class Block(NamedTuple):
@@ -181,6 +210,7 @@ class Block(NamedTuple):
     linked: int  # characters in links
     tag: str
     unit: int
+    names: tuple[int, ...]  # branches around it whose name speaks against them
 
     @property
     def chars(self) -> int:
@@ -194,8 +224,8 @@ class Page:
         root = parse(html)
         holds, titled = set(), set()
         for node, begins in _walk(root):
-            if begins and isinstance(node, Node) and (_marked(node) or node.tag == "h1"):
-                found, up = holds if _marked(node) else titled, node.parent
+            if begins and isinstance(node, Node) and (_article(node) or node.tag == "h1"):
+                found, up = holds if _article(node) else titled, node.parent
                 while up is not None and id(up) not in found:
                     found.add(id(up))
                     up = up.parent
@@ -207,7 +237,7 @@ class Page:
         path, inside, links, texts, linked = [(0, {})], 0, 0, [], 0
         skipped: Node | None = None
         block_tag = ""
-        units, unit = [0], 0
+        units, unit, names, named = [0], 0, [], 0
 
         def flush() -> None:
             nonlocal texts, linked, unit
@@ -215,7 +245,7 @@ class Page:
             if text:
                 if not units[-1]:
                     unit += 1
-                self.blocks.append(Block(path[-1][0], inside > 0, text, linked, block_tag, units[-1] or unit))
+                self.blocks.append(Block(path[-1][0], inside > 0, text, linked, block_tag, units[-1] or unit, tuple(n for _, n in names)))
             texts, linked = [], 0
 
         for node, begins in _walk(root):
@@ -233,10 +263,14 @@ class Page:
                 block_tag = node.tag if begins else ""
             styled = node.tag in STRUCTURE or (node.tag in BLOCKS and any(node.attrs.get(a) for a in ("class", "id", "role")))
             if begins:
-                if _silent(node, id(node) in holds, inside > 0, id(node) in titled):
+                where = id(node) in holds, inside > 0, id(node) in titled
+                if _silent(node, *where):
                     skipped = node
                     continue
-                inside += _marked(node)
+                if node.tag in BLOCKS and _named(node, *where):
+                    named += 1
+                    names.append((node, named))
+                inside += _article(node)
                 links += node.tag == "a"
                 if node.tag in BLOCKS:
                     if node.tag in UNITS and not units[-1] and (node.tag == "table" or not styled):
@@ -252,10 +286,12 @@ class Page:
                     own = xxhash.xxh64_intdigest(f"{path[-1][0]}/{name}/{nth}") >> 1
                     self.parent[own] = path[-1][0]
                     path.append((own, {}))
-                    if _marked(node):
+                    if _article(node):
                         self.marked.add(own)
             else:
-                inside -= _marked(node)
+                if names and names[-1][0] is node:
+                    names.pop()
+                inside -= _article(node)
                 links -= node.tag == "a"
                 if node.tag in BLOCKS:
                     units.pop()
@@ -276,14 +312,20 @@ class Page:
             node = self.parent[node]
         return node == top
 
-    def text(self, low: set[int]) -> str:
-        """The main text without the style nodes and leaves in ``low``."""
+    def text(self, low: set[int], high: set[int] | frozenset = frozenset()) -> str:
+        """The main text without the style nodes and leaves in ``low``; names don't remove nodes in ``high``."""
         if self.has_article:
             blocks = [b for b in self.blocks if b.inside]
         else:
             blocks = [b for b in self.blocks if b.linked < LINKS * b.chars]
-        total = sum(b.chars for b in blocks)
-        gone = [b.node in low and b.node not in self.marked for b in blocks]
+        total, held = sum(b.chars for b in blocks), {}
+        for b in blocks:
+            for n in b.names:
+                held[n] = held.get(n, 0) + b.chars
+        most = {n for n, chars in held.items() if 2 * chars > total}
+        gone = [
+            (b.node in low and b.node not in self.marked) or (b.node not in high and any(n not in most for n in b.names)) for b in blocks
+        ]
         leaf = [not out and self._leaf(b) in low for b, out in zip(blocks, gone, strict=True)]
         # A heading stays with what it heads.
         for i in reversed(range(len(blocks))):
@@ -300,14 +342,15 @@ class Page:
             leaf = [at and not o for at, o in zip(leaf, own, strict=True)]
         return " ".join(b.text for b, *out in zip(blocks, gone, leaf, strict=True) if not any(out))
 
-    def nodes(self) -> Iterator[tuple[int, int, list[int], bool]]:
-        """(style node, hash of its layout, its distinct leaves, whether it is an article)."""
+    def nodes(self) -> Iterator[tuple[int, int, list[int], bool, bool, bool]]:
+        """(style node, hash of its layout, its distinct leaves, whether it is an article, can be in the text, and there has a name against it)."""
         own: dict[int, list[Block]] = {}
         for b in self.blocks:
             own.setdefault(b.node, []).append(b)
         for node, blocks in own.items():
             layout = xxhash.xxh64_intdigest(" ".join(b.tag for b in blocks))
-            yield node, layout >> 1, sorted({self._leaf(b) for b in blocks}), node in self.marked
+            shown = [b for b in blocks if b.inside or not self.has_article]
+            yield node, layout >> 1, sorted({self._leaf(b) for b in blocks}), node in self.marked, bool(shown), any(b.names for b in shown)
 
 
 def host_of(url: str | None) -> str:
@@ -323,15 +366,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = Page(html)
             host, digest = host_of(url), xxhash.xxh64_intdigest(page.text(set())) >> 1
             rows.extend((key, host, digest, *node) for node in page.nodes())
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_())
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.bool_(), pa.bool_())
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "host", "digest", "node", "layout", "leaves", "article"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "host", "digest", "node", "layout", "leaves", "article", "shown", "named"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns in: id, url, html, low (style nodes and leaves to remove)."""
+    """Columns in: id, url, html, low (style nodes and leaves to remove), high (named style nodes to keep)."""
     for batch in batches:
-        texts = [Page(html).text(set(low or ())) for html, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        texts = [Page(html).text(set(low or ()), set(high or ())) for html, low, high in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "url", "text"])
 
 
@@ -357,12 +400,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
     source = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), html.alias("html"))
     source = source.withColumn("key", F.xxhash64("id", "url", "html"))
-    kinds = "key long, host string, digest long, node long, layout long, leaves array<long>, article boolean"
+    kinds = "key long, host string, digest long, node long, layout long, leaves array<long>, article boolean, shown boolean, named boolean"
     features = stored(source.select("key", "url", "html").mapInArrow(_features, kinds), "branches")
     nodes, leaves = judged(features, **options)
-    of_nodes = features.join(nodes.where("low"), ["host", "node"]).where("not article").select("key", F.col("node").alias("item"))
-    of_leaves = features.select("key", "host", "node", F.explode("leaves").alias("leaf")).join(leaves, ["host", "node", "leaf"]).select("key", F.col("leaf").alias("item"))
-    low = of_nodes.unionByName(of_leaves).groupBy("key").agg(F.collect_set("item").alias("low"))
-    found = source.join(low, "key", "left").select("id", "url", "html", "low")
+    nodes = stored(nodes, "judged")
+    of_nodes = features.join(nodes, ["host", "node"]).where("if(low, shown and not article, named)").select("key", F.col("node").alias("item"), "low")
+    of_leaves = features.where("shown").select("key", "host", "node", F.explode("leaves").alias("leaf")).join(leaves, ["host", "node", "leaf"]).select("key", F.col("leaf").alias("item"), F.lit(True).alias("low"))
+    items = of_nodes.unionByName(of_leaves).groupBy("key").agg(F.collect_set(F.when(F.col("low"), F.col("item"))).alias("low"), F.collect_set(F.when(~F.col("low"), F.col("item"))).alias("high"))
+    # Its size is known once it is stored: where few pages lose anything the pages aren't shuffled.
+    found = source.join(stored(items, "removed"), "key", "left").select("id", "url", "html", "low", "high")
     kind = source.schema["id"].dataType.simpleString()
     return found.mapInArrow(_extract, f"id {kind}, url string, text string")
