@@ -15,7 +15,8 @@ into blocks of a fixed size, and no task holds more than two.
 
 Defined cases: NULL and empty texts have no shingles and stay alone; a text with fewer words
 than a shingle is one shingle.  Rows with equal ids may be in different components if their
-texts differ.  A NULL id never becomes a component's id while another id is there.
+texts differ.  A NULL id never becomes a component's id while another id is there; dropping goes
+by components apart from ids, so one row of each stays also without ids or with repeated ones.
 """
 
 from __future__ import annotations
@@ -349,6 +350,13 @@ def find_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = BLOCK
 ) -> DataFrame:
     """One row per document: id, key, text_hash, n_shingles, component (the smallest id it is linked to, over any number of links)."""
+    return _grouped(docs, id_col, text_col, threshold, shingle, block).drop("group")
+
+
+def _grouped(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = BLOCK
+) -> DataFrame:
+    """``find_groups`` with the component's own number, group, that needs no ids; NULL for texts without shingles."""
     spark = docs.sparkSession
     n, floor = partitions(spark), floor_of(threshold)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -397,11 +405,11 @@ def find_groups(
 
     of_node = label.join(first.select("node", "id"), "node")
     least = of_node.groupBy("component").agg(F.min("id").alias("least"))
-    linked = of_node.join(least, "component").select("node", "least")
-    alone = first.join(linked.select("node"), "node", "left_anti").select("node", F.col("id").alias("least"))
+    linked = of_node.join(least, "component").select("node", "least", F.col("component").alias("group"))
+    alone = first.join(linked.select("node"), "node", "left_anti").select("node", F.col("id").alias("least"), F.col("node").alias("group"))
     named = linked.unionByName(alone)
-    lone = base.where("n_shingles = 0").select("id", "key", "text_hash", "n_shingles", F.col("id").alias("component"))
-    grouped = base.where("n_shingles > 0").join(named, "node").select("id", "key", "text_hash", "n_shingles", F.col("least").alias("component"))
+    lone = base.where("n_shingles = 0").select("id", "key", "text_hash", "n_shingles", F.col("id").alias("component"), F.lit(None).cast("long").alias("group"))
+    grouped = base.where("n_shingles > 0").join(named, "node").select("id", "key", "text_hash", "n_shingles", F.col("least").alias("component"), "group")
     return grouped.unionByName(lone)
 
 
@@ -411,8 +419,20 @@ def keeps(ident: Column, component: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each component, whole and with all its columns; rows without id stay unless one with an id is like them."""
-    gone = find_groups(docs, id_col, text_col, **options).where(~keeps(F.col("id"), F.col("component"))).select("key", "text_hash").distinct()
-    text_hash = F.xxhash64(F.coalesce(docs[f"`{text_col}`"], F.lit("")))
-    key = F.coalesce(docs[f"`{id_col}`"].cast("long"), text_hash)
-    return docs.join(gone, (key == gone["key"]) & (text_hash == gone["text_hash"]), "left_anti")
+    """One document of each component, whole and with all its columns: the one with the smallest id (NULL last), then text hash.
+
+    Of rows alike in id and text one stays; texts without shingles all stay.
+    """
+    same = ["no_id", "key", "text_hash"]
+    alike = _grouped(docs, id_col, text_col, **options).where("group is not null").groupBy("group", F.col("id").isNull().alias("no_id"), "key", "text_hash").agg(F.count("*").alias("n"))
+    first = alike.groupBy("group").agg(F.min(F.struct(*same)).alias("first")).select("first.*").withColumn("stays", F.lit(True))
+    # Not as they are in the result: rows that go, and those of which one stays.
+    other = stored(alike.join(first, same, "left").select(*same, F.coalesce("stays", F.lit(False)).alias("stays"), "n").where("n > 1 or not stays"), "gone")
+    ident, text_hash = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    columns = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(*columns, ident.isNull().alias("no_id"), F.coalesce(ident, text_hash).alias("key"), text_hash.alias("text_hash"))
+    values = [f"k{i}" for i in range(len(columns))]
+    single = rows.join(other.select(*same), same, "left_anti").select(*values)
+    repeated = rows.join(other.where("stays").select(*same), same)
+    least = repeated.groupBy(*same).agg(F.min_by(F.struct(*values), F.xxhash64(*values)).alias("row")).select("row.*")
+    return single.unionByName(least).toDF(*docs.columns)
