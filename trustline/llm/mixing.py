@@ -149,10 +149,26 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
     """The mix as whole documents with all their columns, each as often as its words are taken; only a source's last may round."""
     documents, pieces = schedule(docs, text_col, source_col, id_col, **options)
     ident, text = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    often = taken(documents, pieces).select("id", "text_hash", copies(F.col("taken"), F.col("size")).alias("often"))
-    # Rows that are alike in id and text are alike in the mix: each is repeated as often as they are on average.
-    often = often.groupBy("id", "text_hash").agg((F.sum("often") / F.count("*")).cast("int").alias("often")).where("often > 0")
-    often = often.select(F.coalesce("id", "text_hash").alias("key"), "text_hash", "often")
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(docs.columns)], F.coalesce(ident, F.xxhash64(text)).alias("key"), F.xxhash64(text).alias("text_hash"))
-    mixed = rows.join(often, ["key", "text_hash"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "often")))
-    return mixed.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
+    same = ["key", "text_hash", "no_id", "group"]
+    group = F.xxhash64("key", "text_hash", "no_id", "source").alias("group")
+    often = taken(documents, pieces).select(F.coalesce("id", "text_hash").alias("key"), "text_hash", F.col("id").isNull().alias("no_id"), "source", copies(F.col("taken"), F.col("size")).alias("often"))
+    # Rows alike in id, text and source are alike in the mix: their sum is dealt to them, the first get what doesn't divide.
+    often = often.select("often", "key", "text_hash", "no_id", group).groupBy(*same).agg(F.sum("often").alias("sum"), F.count("*").alias("n")).where("sum > 0")
+    often = stored(often.select(*same, F.floor(F.col("sum") / F.col("n")).cast("int").alias("often"), (F.col("sum") % F.col("n")).alias("more")), "often")
+    keyed = docs.select(
+        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(docs.columns)],
+        F.coalesce(ident, F.xxhash64(text)).alias("key"),
+        F.xxhash64(text).alias("text_hash"),
+        ident.isNull().alias("no_id"),
+        F.col(f"`{source_col}`").cast("string").alias("source"),
+    )
+    rows = keyed.withColumn("group", group)
+    values = [f"k{i}" for i in range(len(docs.columns))]
+    even = rows.join(often.where("more = 0"), same).select(*values, "often")
+    # Few have a rest, as alike rows are neighbours in their source: those at its end.
+    uneven = stored(rows.join(often.where("more > 0"), same).select("group", *values, "often", "more", F.monotonically_increasing_id().alias("nr")), "uneven")
+    uneven = uneven.withColumn("one", F.lit(1)).withColumn("bucket", F.floor(F.col("nr") / BUCKET_ROWS))
+    ranks = _running(uneven.select("group", "nr", "bucket", "one"), "group", "one", "rank", ["nr"]).select("nr", "rank")
+    uneven = uneven.join(ranks, "nr").select(*values, (F.col("often") + (F.col("rank") < F.col("more")).cast("int")).alias("often")).where("often > 0")
+    mixed = even.unionByName(uneven).withColumn("copy", F.explode(F.sequence(F.lit(1), "often")))
+    return mixed.select(*values).toDF(*docs.columns)
