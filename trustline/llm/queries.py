@@ -13,6 +13,7 @@ from trustline.llm.html import extract
 from trustline.llm.mixing import schedule, taken
 from trustline.llm.neardup import find_groups, keeps
 from trustline.llm.order import materialise
+from trustline.llm.packing import pack_documents
 from trustline.llm.passages import find_repeats
 from trustline.llm.quality import TAIL, grade, train
 from trustline.llm.shared import table
@@ -93,6 +94,12 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op13_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence of at most 2,048 tokens and its place there."""
+    found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
@@ -104,4 +111,5 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_training_order": op10_training_order,
+    "op13_bestfit_packing": op13_bestfit_packing,
 }
