@@ -78,4 +78,24 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS compon
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON node = d.doc_id
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op3_decontaminate": OP3, "op5_chat_format": OP5, "op9_minhash_dedup": OP9}
+OP11 = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+pos AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT pos.a AS anchor_id, pos.b AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+  s.b AS negative_id, pos.score AS positive_score, s.score AS negative_score
+FROM pos JOIN s ON s.a = pos.a AND NOT s.same AND 50 * pos.score <= 100 * s.score AND 100 * s.score <= 95 * pos.score
+WINDOW w AS (PARTITION BY pos.a, pos.b ORDER BY s.score DESC, s.b)
+QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op3_decontaminate": OP3, "op5_chat_format": OP5, "op9_minhash_dedup": OP9, "op11_hard_negatives": OP11}

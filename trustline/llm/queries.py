@@ -12,6 +12,7 @@ from trustline.llm.fingerprints import compare_edits
 from trustline.llm.html import extract
 from trustline.llm.mixing import schedule, taken
 from trustline.llm.neardup import find_groups, keeps
+from trustline.llm.negatives import mine
 from trustline.llm.order import materialise
 from trustline.llm.packing import pack_documents
 from trustline.llm.passages import find_repeats
@@ -94,6 +95,13 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three hard negatives of each of the first five positives of every anchor."""
+    ident, label = F.col("vec_id"), F.col("label")
+    moved = F.when(ident % 7 == 0, (label + 1) % 10).otherwise(label)
+    return mine(table(spark, sf_dir, "embeddings"), ident % 50 == 0, label=moved)
+
+
 def op13_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence of at most 2,048 tokens and its place there."""
     found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -111,5 +119,6 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_training_order": op10_training_order,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_bestfit_packing": op13_bestfit_packing,
 }
