@@ -17,10 +17,12 @@ has there is at most as good as the k-th best of all.  Then they go to the leave
 and are compared with each row in them.  Nothing is approximate; the sample and the tree
 decide the cost alone.
 
-A leaf may hold a third of all rows, and be asked by all anchors: its rows are dealt to blocks
-of about BLOCK rows and its anchors to slots of as many, and each pair of block and slot is one
-group.  The best of a group go on, and the best of these are found by rank, cut on both sides
-of the shuffle.
+Neighbouring leaves with few rows are read together, as one shelf of up to BLOCK rows.  A leaf
+may also hold a third of all rows, and be asked by all anchors: a shelf's rows are dealt to
+blocks of about BLOCK and its anchors to slots of as many, and each pair of block and slot is
+one group.  The best of a group go on, and the best of these are found by rank, cut on both
+sides of the shuffle.  Where vectors have no structure the ranges eliminate little, and the
+cost is that of comparing every anchor with every row.
 
 Defined cases: rows with a NULL label, a NULL vector, or a NULL or non-finite component take no
 part.  A NULL id is larger than any other and is no anchor's.  Rows equal in all columns are
@@ -32,7 +34,7 @@ Scores that may reach 2^55 raise an OverflowError.  An empty table gives no rows
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -228,8 +230,9 @@ class Index:
     least: list[np.ndarray]
     most: list[np.ndarray]
     sample: dict[str, np.ndarray]
-    rows: DataFrame
-    sizes: DataFrame  # leaf, n: one row for each leaf
+    shelf: np.ndarray  # of each leaf
+    blocks: np.ndarray  # of each shelf
+    rows: DataFrame | None
 
     def remaining(self, anchors: np.ndarray, near: np.ndarray, far: np.ndarray) -> list[np.ndarray]:
         """For each anchor the leaves that may have rows in one of its annuli (``near`` and ``far``: anchors by windows)."""
@@ -255,7 +258,18 @@ class Index:
         return [np.array(f, np.int64) for f in found]
 
 
-def index(vectors: DataFrame, factor: int, sample: int = SAMPLE) -> Index | None:
+def shelves(sizes: list[int], block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shelf of each leaf, blocks of each shelf): runs of leaves with at most ``block`` rows, or one larger leaf."""
+    shelf, held = [], []
+    for n in sizes:
+        if not held or held[-1] + n > block:
+            held.append(0)
+        held[-1] += n
+        shelf.append(len(held) - 1)
+    return np.array(shelf, np.int64), np.array([max(1, -(-n // block)) for n in held], np.int64)
+
+
+def index(vectors: DataFrame, factor: int, sample: int = SAMPLE, block: int = BLOCK) -> Index | None:
     """All usable rows (id, label, vector, anchor) by leaf of a tree that is fitted on about ``sample`` of them; None without any."""
     scale = scale_of(vectors, factor)
     if not scale.rows:
@@ -273,7 +287,9 @@ def index(vectors: DataFrame, factor: int, sample: int = SAMPLE) -> Index | None
     for r in ranges.groupBy("node", "i", "j").agg(F.min("least").alias("least"), F.max("most").alias("most")).collect():  # a number for each pair of siblings
         least[r.node][r.i, r.j], most[r.node][r.i, r.j] = r.least, r.most
     known = {"row": columns["row"].to_numpy(), "label": columns["label"].to_numpy(), "v": values}
-    return Index(tree, scale, least, most, known, routed, routed.groupBy("leaf").agg(F.count("*").alias("n")))
+    sizes = dict(routed.groupBy("leaf").agg(F.count("*")).collect())  # a number for each leaf
+    shelf, blocks = shelves([sizes.get(leaf, 0) for leaf in range(tree.leaves)], block)
+    return Index(tree, scale, least, most, known, shelf, blocks, routed)
 
 
 def _whole(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -281,8 +297,8 @@ def _whole(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _asked(found: Index, same: bool, keep: int, sample_rows: int = 512):
-    """Columns in: row, id, label, v, low, high (lists). Out: these, low raised by what the sample has, and the leaves that remain."""
-    tree_only = Index(found.tree, found.scale, found.least, found.most, found.sample, None, None)
+    """Columns in: row, id, label, v, low, high (lists). Out: these, low raised by what the sample has, and the shelves of the leaves that remain."""
+    tree_only = replace(found, rows=None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scale, known = tree_only.scale, tree_only.sample
@@ -305,10 +321,10 @@ def _asked(found: Index, same: bool, keep: int, sample_rows: int = 512):
                 edge = square  # no score is beyond half of this
                 near, far = (np.sqrt(np.maximum(square - 2 * np.clip(s.astype(np.float64), -edge, edge), 0)) for s in (high, low))
                 far[low > high] = -1  # nothing to look for
-                leaves = tree_only.remaining(lifted, near, far)
+                asked = [np.unique(tree_only.shelf[leaves]) for leaves in tree_only.remaining(lifted, near, far)]
                 lists = pa.list_(pa.int64())
-                columns = [*batch.columns[:4], pa.array(list(low), lists), batch.column(5), pa.array(leaves, lists)]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "label", "v", "low", "high", "leaves"])
+                columns = [*batch.columns[:4], pa.array(list(low), lists), batch.column(5), pa.array(asked, lists)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "label", "v", "low", "high", "shelves"])
 
     return run
 
@@ -350,24 +366,25 @@ def search(found: Index, anchors: DataFrame, same: bool, keep: int, block: int =
     """
     asked = stored(
         anchors.select("row", "id", "label", "v", "low", "high").mapInArrow(
-            lean(_asked(found, same, keep)), "row long, id long, label long, v binary, low array<long>, high array<long>, leaves array<long>"
+            lean(_asked(found, same, keep)), "row long, id long, label long, v binary, low array<long>, high array<long>, shelves array<long>"
         ),
         "asked",
     )
-    asking = asked.withColumn("leaf", F.explode("leaves")).drop("leaves", "id").withColumn("leaf", F.col("leaf").cast("int"))
-    # A row for each leaf of the tree, whose size the sample bounds.
-    grid = found.sizes.join(asking.groupBy("leaf").agg(F.count("*").alias("asked")), "leaf").select(
-        "leaf", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("asked") / block).cast("int").alias("slots")
-    )
-    grid = F.broadcast(stored(grid, "grid"))
-    key = ["leaf", "block", "slot"]
+    asking = asked.withColumn("shelf", F.explode("shelves")).drop("shelves", "id")
+    # One row for each leaf and each shelf of the tree; the sample bounds their number.
+    spark = anchors.sparkSession
+    leaves = F.broadcast(spark.createDataFrame(list(enumerate(found.shelf.tolist())), "leaf int, shelf long"))
+    blocks = spark.createDataFrame(list(enumerate(found.blocks.tolist())), "shelf long, blocks int")
+    counted = asking.groupBy("shelf").agg(F.ceil(F.count("*") / block).cast("int").alias("slots"))
+    grid = F.broadcast(stored(blocks.join(counted, "shelf"), "grid"))
+    key = ["shelf", "block", "slot"]
 
     def spread(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    rows = found.rows.select("row", "id", "label", "v", "leaf").join(grid, "leaf")
-    rows = rows.withColumns({"block": F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"), "slot": spread("slots")}).drop("blocks", "slots")
-    asking = asking.join(grid, "leaf")
+    rows = found.rows.select("row", "id", "label", "v", "leaf").join(leaves, "leaf").join(grid, "shelf")
+    rows = rows.withColumns({"block": F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"), "slot": spread("slots")}).drop("leaf", "blocks", "slots")
+    asking = asking.join(grid, "shelf")
     asking = asking.withColumns({"slot": F.pmod(F.xxhash64("row"), F.col("slots")).cast("int"), "block": spread("blocks")}).drop("blocks", "slots")
     best = (
         rows.groupBy(*key)
@@ -404,7 +421,7 @@ def mine(
     source = vectors.where(usable(label, vector)).select(
         F.col(f"`{id_col}`").cast("long").alias("id"), label.cast("long").alias("label"), vector.alias("vector"), F.coalesce(is_anchor, F.lit(False)).alias("anchor")
     )
-    found = index(source, factor, sample)
+    found = index(source, factor, sample, block)
     if found is None:
         return vectors.sparkSession.createDataFrame([], RESULT)
     anchors = found.rows.where("anchor").drop("leaf", "anchor")
