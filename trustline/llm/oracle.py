@@ -98,4 +98,41 @@ WINDOW w AS (PARTITION BY pos.a, pos.b ORDER BY s.score DESC, s.b)
 QUALIFY row_number() OVER w <= 3
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op3_decontaminate": OP3, "op5_chat_format": OP5, "op9_minhash_dedup": OP9, "op11_hard_negatives": OP11}
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+info AS (
+  SELECT n.c, n.n, c - c % 5 AS base, xor(list_reduce(
+    [4294967295] || flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: [ascii(d), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda crc, e: CASE WHEN e >= 0 THEN xor(crc, e) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295) % 9 AS h
+  FROM n
+),
+full_info AS (SELECT info.*, least(h, coalesce(b.n, 0)) AS given FROM info LEFT JOIN n b ON b.c = info.base),
+rebuilt AS (
+  SELECT f.c, t.i, t.r, t.x FROM full_info f JOIN t ON t.c = f.base AND t.i <= f.h
+  UNION ALL SELECT f.c, t.i - f.h + f.given, t.r, t.x FROM full_info f JOIN t ON t.c = f.c AND t.i > f.h
+),
+p AS (SELECT c, i AS d, octet_length(encode(x)) AS bytes, string_agg(md5(r) || md5(x), '') OVER (PARTITION BY c ORDER BY i) AS k FROM rebuilt),
+longest AS (SELECT c, max(d) AS d, max_by(k, d) AS k FROM p GROUP BY c),
+ends AS (
+  SELECT coalesce(k, '') AS k, sha256(string_agg(CAST(n.c AS VARCHAR), ',' ORDER BY n.c)) AS ends FROM n LEFT JOIN longest ON longest.c = n.c GROUP BY 1
+),
+node AS (
+  SELECT '' AS k, 0 AS d, min(c) AS conv_id, count(*) AS n_convs, 0 AS bytes FROM n HAVING count(*) > 0
+  UNION ALL SELECT k, d, min(c), count(*), any_value(bytes) FROM p GROUP BY k, d
+),
+kids AS (SELECT substr(k, 1, 64 * (d - 1)) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+value AS (SELECT node.k, d, CAST(kids.n IS NULL AS INTEGER) AS leaf, (n_convs - 1) * bytes AS saved FROM node LEFT JOIN kids ON kids.k = node.k),
+below AS (SELECT substr(k, 1, 64 * j) AS k, sum(leaf) AS n_leaves, sum(saved) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM value) GROUP BY 1)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(node.n_convs AS BIGINT) AS n_convs,
+  CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children, CAST(below.n_leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens,
+  coalesce(ends.ends, sha256('')) AS ends_sha256
+FROM node JOIN below ON below.k = node.k LEFT JOIN kids ON kids.k = node.k LEFT JOIN ends ON ends.k = node.k
+  LEFT JOIN node up ON node.d > 0 AND up.k = substr(node.k, 1, 64 * (node.d - 1))
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op3_decontaminate": OP3, "op5_chat_format": OP5, "op9_minhash_dedup": OP9, "op11_hard_negatives": OP11, "op12_prefix_trie": OP12}

@@ -19,6 +19,7 @@ from trustline.llm.passages import find_repeats
 from trustline.llm.quality import TAIL, grade, train
 from trustline.llm.shared import table
 from trustline.llm.tokens import count_tokens
+from trustline.llm.trie import prefix_trie
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +103,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings"), ident % 50 == 0, label=moved)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence of at most 2,048 tokens and its place there."""
     found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -120,5 +126,6 @@ QUERIES = {
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_training_order": op10_training_order,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_bestfit_packing": op13_bestfit_packing,
 }
