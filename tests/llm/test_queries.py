@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, duck, sf, name):
 
 def test_all_operators_and_the_pipeline_are_registered():
     found = sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op"))
-    assert found == list(range(1, 11)) and "pipeline" in queries()
+    assert found == list(range(1, 14)) and "pipeline" in queries()
 
 
 def test_stages_match_brute_force(spark, sf):
