@@ -1,5 +1,7 @@
 """Hard negatives, prefix trie and packing: edge cases, skew, and results by their definitions."""
 
+import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -10,7 +12,7 @@ from brute import sha
 from pyspark.sql import functions as F
 
 from trustline.llm.negatives import fit, index, mine, shelves
-from trustline.llm.packing import Packer, pack, pack_documents, parts, pieces, sequences, token_ids
+from trustline.llm.packing import LATIN, Packer, pack, pack_documents, parts, pieces, sequences, token_ids, tokenizer, words
 from trustline.llm.queries import QUERIES
 from trustline.llm.trie import prefix_trie
 
@@ -158,11 +160,35 @@ def test_trie_without_turns(spark):
 # Packing
 
 
+def library(text):
+    return tokenizer(WORDS).encode(text or "", add_special_tokens=False).ids
+
+
+def with_end(text):
+    return np.array([*library(text), 0], "<u4")
+
+
+def ids_of(text, **options):
+    return np.frombuffer(token_ids(WORDS, text.encode(), **options), "<u4").tolist()
+
+
+def test_ids_of_words_are_the_librarys():
+    letters = [chr(c) for c in range(0x250) if re.fullmatch(f"[\x21-\x7e{LATIN}]", chr(c))]
+    for text in [*letters, *(f"x{c}y{c}" for c in letters), *(f"{c}'s{c}'" for c in letters), " ".join(letters), "".join(letters)]:
+        assert ids_of(text) == library(text), text
+    rng = random.Random(3)
+    alphabet = [*"aeinoÉßſǅst  \n\t.,!?'19é漢 \u0085\u00a0\x1c\u0301\u0130Σς", "'ll", "ing", "The", "<|endoftext|>", "<|", "|>", "\u1100\u1161", "\x0b", "\u3000"]
+    for _ in range(3000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
+        assert ids_of(text) == library(text), repr(text)
+    assert words(WORDS).splits and not words(public_tokenizers.path("byte_bpe_50k.json")).splits
+
+
 def test_pieces_are_the_librarys_ids(spark):
     texts = ["", None, "Ein Wort", "a " * 3000, "Σίσυφος ΣΑΣ ﬁ é  x　y", "<|endoftext|> <|startoftext|>x", "x" * 5000, "line\r\n\ttab z"] * 2
     docs = spark.createDataFrame([(None if i == 3 else i, t, 0, "", "") for i, t in enumerate(texts)], DOCS)
     rows = pack_documents(docs, WORDS, size=64, keep_ids=True).collect()
-    plain = [np.append(ids, np.array([0], "<u4")) for ids in token_ids(WORDS, [t or "" for t in texts])]
+    plain = [with_end(t) for t in texts]
     held = defaultdict(list)
     for r in rows:
         own = plain[3 if r.id is None else r.id][r.start : r.start + 64].tobytes()
@@ -177,8 +203,8 @@ def test_pieces_are_the_librarys_ids(spark):
 
 def test_long_texts_are_encoded_in_parts():
     text = " ".join(["Word", "naïve", "x" * 70, "<|endoftext|>", "é", "\n\n", "12'll"] * 40)
-    assert "".join(parts(text, 50)) == text and len(list(parts(text, 50))) > 20
-    assert next(token_ids(WORDS, [text], long=50)).tolist() == next(token_ids(WORDS, [text])).tolist()
+    assert b"".join(parts(text.encode(), 50)).decode() == text and len(list(parts(text.encode(), 50))) > 20
+    assert ids_of(text, long=50) == library(text)
 
 
 def best_fit(lengths, size, most):
@@ -222,7 +248,7 @@ def test_packed_sequences_hold_their_parts(spark, sf):
 
 def test_registered_packing_of_the_whole_table(spark, sf):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    plain = {i: np.append(ids, np.array([0], "<u4")) for i, ids in zip(texts, token_ids(WORDS, list(texts.values())))}
+    plain = {i: with_end(text) for i, text in texts.items()}
     rows = QUERIES["op13_bestfit_packing"](spark, sf).collect()
     expected = sorted((i, k, 2048 * k, len(own[2048 * k : 2048 * (k + 1)]), zlib.crc32(own[2048 * k : 2048 * (k + 1)].tobytes())) for i, own in plain.items() for k in range(-(-len(own) // 2048)))
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected

@@ -14,8 +14,12 @@ first, which leaves the short ones to fill the gaps.  A packer that is run again
 pieces in the same order.  Only lengths are needed for that; the ids travel with the pieces
 where they are asked for.
 
-Texts of more than LONG characters are encoded in parts cut after ASCII white space, which the
-tokenizer's pre-splitter drops and no normal form joins with a neighbour, so ids are the same.
+ASCII white space never reaches the merges and no normal form joins it with a neighbour, so a
+text's ids are those of its words.  Stretches of words of ASCII and Latin letters are lower-cased
+and split by the tokenizer file's own pattern, and their parts go to the library's model; every
+other word goes to the library as it is.  A worker keeps the ids of parts it has seen.  That
+holds for files with the normalizer and splitter that ``Words`` names; with another file whole
+texts go to the library.
 
 Defined cases: a NULL or empty text is one piece that holds the end id alone; a NULL id stays
 NULL; repeated rows are packed each; an empty table gives no rows.
@@ -23,11 +27,13 @@ NULL; repeated rows are packed each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +43,30 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trustline.llm.shared import lean, stored
+from trustline.llm.tokens import byte_letters
 
 SEQUENCE = 2048
 END = 0
 OPEN_BINS = 1024
 PACKER = 1 << 16  # pieces that one packer gets, give or take chance
 BATCH = 1 << 11  # pieces that arrive together, likewise
-SLICE = 1 << 19  # characters encoded at once
-LONG = 1 << 20
+LONG = 1 << 20  # bytes split into words at once
+BATCH_BYTES = 4 << 20  # of ids handed on at once
+HELD = 500_000  # parts of words, and odd words, whose ids a worker keeps
 
-_CUT = re.compile(r"[\x20\x09-\x0D][^\x20\x09-\x0D]*\Z")
+# The parts of a tokenizer file for which a text's ids are those of its words.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+#: Latin letters that are their own normal form and whose lower case is one letter.
+LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_ODD = re.compile(f"[^\x20-\x7e{LATIN}]").finditer
+_PARTS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[a-z{LATIN}]+|[0-9]|[^ a-z0-9{LATIN}]+").findall
+_SPACES = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
+_CUT = re.compile(rb"[\x20\x09-\x0D]")
 
 
 @lru_cache(maxsize=2)
@@ -56,73 +76,104 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-def parts(text: str, long: int = LONG) -> Iterator[str]:
-    """A text in parts of at most ``long`` characters that end before white space, or longer ones without any."""
+def _ids(found: list[int]) -> bytes:
+    return pack_ids(f"<{len(found)}I", *found)
+
+
+class Held(dict):
+    """Results of ``find``, kept until there are too many."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= HELD:
+            self.clear()
+        known = self[key] = self.find(key)
+        return known
+
+
+class Words:
+    """The ids of words between ASCII white space, as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        own = tokenizer(path)
+        self.encode, self.model = own.encode, own.model.tokenize
+        self.letters = {b: c for c, b in byte_letters().items()}
+        special = [t["content"] for t in spec["added_tokens"]]
+        self.at_special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
+        splitter = (spec["pre_tokenizer"] or {}).get("pretokenizers")
+        # Special strings are looked for before a text is split, so they must not span words.
+        self.splits = spec["normalizer"] == NORMALIZER and splitter == SPLITTER and spec["post_processor"] is None and not any(re.search(r"\s", t) for t in special)
+        self.parts, self.odd = Held(self._part), Held(self.whole)
+
+    def _part(self, part: str) -> bytes:
+        return _ids([t.id for t in self.model(part if part.isascii() else part.encode().decode("latin-1").translate(self.letters))])
+
+    def whole(self, text: str) -> bytes:
+        return _ids(self.encode(text, add_special_tokens=False).ids)
+
+    def _plain(self, stretch: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, _PARTS(stretch.lower())))
+
+    def ids(self, raw: bytes) -> bytes:
+        """The ids of a text that is split word by word."""
+        text = raw.translate(_SPACES).decode()
+        if self.at_special(text):
+            return b"".join(map(self.odd.__getitem__, text.split(" ")))
+        out, at = [], 0
+        for found in _ODD(text):
+            i = found.start()
+            if i >= at:
+                begin, end = max(at, text.rfind(" ", at, i) + 1), text.find(" ", i)
+                end = end if end >= 0 else len(text)
+                out += (self._plain(text[at:begin]), self.odd[text[begin:end]])
+                at = end
+        out.append(self._plain(text[at:]))
+        return b"".join(out)
+
+
+@lru_cache(maxsize=2)
+def words(path: str) -> Words:
+    return Words(path)
+
+
+def parts(raw: bytes, long: int = LONG) -> Iterator[bytes]:
+    """A text in parts of at least ``long`` bytes that end before ASCII white space."""
     at = 0
-    while len(text) - at > long:
-        cut = _CUT.search(text, at, at + long)
-        to = cut.start() if cut and cut.start() > at else at + long
-        if to == at + long:
-            further = re.compile(r"[\x20\x09-\x0D]").search(text, to)
-            to = further.start() if further else len(text)
-        yield text[at:to]
+    while at < len(raw):
+        cut = _CUT.search(raw, at + long)
+        to = cut.start() if cut else len(raw)
+        yield raw[at:to]
         at = to
-    if at < len(text) or not text:
-        yield text[at:]
-
-
-def token_ids(path: str, texts: list[str], long: int = LONG) -> Iterator[np.ndarray]:
-    """The ids of each text, as little-endian unsigned 32-bit integers."""
-    encode = tokenizer(path).encode_batch_fast
-    for text in texts:
-        if len(text) > long:
-            break
-    else:
-        for found in encode(texts, add_special_tokens=False):
-            yield np.array(found.ids, "<u4")
-        return
-    for text in texts:
-        own = [np.array(encode([p], add_special_tokens=False)[0].ids, "<u4") for p in parts(text, long)]
-        yield np.concatenate(own)
-
-
-def _runs(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of rows with about SLICE characters together; a longer text is alone."""
-    first, run, size = 0, [], 0
-    for row, text in enumerate(texts):
-        text = text.as_py() or ""
-        if run and size + len(text) > SLICE:
-            yield first, run
-            first, run, size = row, [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield first, run
+
+
+def token_ids(path: str, raw: bytes, long: int = LONG) -> bytes:
+    """The ids of a UTF-8 text, as little-endian unsigned 32-bit integers."""
+    known = words(path)
+    if not known.splits:
+        return known.whole(raw.decode())
+    return b"".join(map(known.ids, parts(raw, long)))
 
 
 def _cut(path: str, size: int, end: int, keep_ids: bool):
     """Columns in: id, text. Out: a row for each piece."""
 
+    last = _ids([end])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for first, texts in _runs(batch.column(1)):
-                row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, own in enumerate(token_ids(path, texts)):
-                    own = np.append(own, np.array([end], "<u4"))
-                    raw = own.tobytes()
-                    for k, begin in enumerate(range(0, len(own), size)):
-                        part = raw[4 * begin : 4 * (begin + size)]
-                        row.append(first + i)
-                        piece.append(k)
-                        start.append(begin)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if keep_ids:
-                            ids.append(part)
+            found, held = [], 0
+
+            def told() -> pa.RecordBatch:
+                nonlocal at
+                row, piece, start, length, crc, ids = zip(*found, strict=True)
                 columns = {
                     "at": pa.array(np.arange(at, at + len(row)), pa.int64()),
-                    "id": batch.column(0).take(pa.array(row, pa.int64())),
+                    "id": batch.column(0).take(pa.array(row, pa.int64())),  # noqa: B023
                     "piece": pa.array(piece, pa.int32()),
                     "start": pa.array(start, pa.int64()),
                     "length": pa.array(length, pa.int64()),
@@ -131,7 +182,19 @@ def _cut(path: str, size: int, end: int, keep_ids: bool):
                 if keep_ids:
                     columns["ids"] = pa.array(ids, pa.binary())
                 at += len(row)
-                yield pa.RecordBatch.from_pydict(columns)
+                return pa.RecordBatch.from_pydict(columns)
+
+            for row, text in enumerate(batch.column(1).cast(pa.binary())):
+                raw = token_ids(path, text.as_py() or b"") + last
+                for k, begin in enumerate(range(0, len(raw), 4 * size)):
+                    part = raw[begin : begin + 4 * size]
+                    found.append((row, k, begin // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
+                held += len(raw)
+                if held > BATCH_BYTES:
+                    yield told()
+                    found, held = [], 0
+            if found:
+                yield told()
 
     return run
 
