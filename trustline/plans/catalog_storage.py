@@ -6,7 +6,7 @@ and returns what it reads back.  ``events`` supplies daily batches, one order pe
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustline.operators.calendar import high_water_mark
@@ -131,7 +131,7 @@ def _load_report(t: Tables) -> DataFrame:
     """,
 )
 def _hostile(t: Tables) -> DataFrame:
-    """Whole texts through the landing zone; those with line breaks come from its quarantine."""
+    """Whole texts through the landing zone, line breaks and all."""
     landing = f"{scratch_folder(t.spark, 'hostile')}/landing"
     rows = t.spark.read.parquet(f"{t.sf_dir}/documents.parquet").selectExpr(
         "CAST(doc_id AS STRING) AS order_id", "source AS customer_id", "lang AS product_id",
@@ -140,7 +140,50 @@ def _hostile(t: Tables) -> DataFrame:
         "date_add(DATE '2024-01-01', CAST(doc_id % 3 AS INT)) AS batch_date",
     )
     lz.land_batches(rows, landing)
-    return lz.good_rows(lz.scan_batches(t.spark, landing)).unionByName(lz.unlandable_rows(t.spark, landing))
+    return lz.good_rows(lz.scan_batches(t.spark, landing))
+
+
+def _lines_landed(t: Tables, root: str, status: Column, malformed: Column) -> str:
+    """The events as landing files whose last field is written as it stands."""
+    landing = f"{root}/landing"
+    values = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_ORDERS.names[:-1]], F.when(malformed, status).otherwise(F.col("status")))
+    lines = t.events.select(values.alias(",".join(RAW_ORDERS.names)), "batch_date")
+    write_daily(lines, f"{landing}/orders", "csv", cluster=True, header="true", sep="\u0001", quote="")
+    return landing
+
+
+@query(
+    "csv_unclosed_quotes",
+    f"""
+    SELECT *, CAST(NULL AS VARCHAR) AS malformed_record FROM ({_EVENT_ORDERS}) WHERE CAST(order_id AS BIGINT) % {BROKEN_EVERY} <> 0
+    UNION ALL BY NAME
+    SELECT concat_ws(',', order_id, customer_id, '', quantity, total_amount, order_date, '"' || status) AS malformed_record, batch_date
+    FROM ({_EVENT_ORDERS}) WHERE CAST(order_id AS BIGINT) % {BROKEN_EVERY} = 0
+    """,
+)
+def _unclosed(t: Tables) -> DataFrame:
+    """Each tenth line opens a quote that nothing closes: it is malformed as a whole, and only it."""
+    tenth = F.col("order_id").cast("bigint") % BROKEN_EVERY == 0
+    landing = _lines_landed(t, scratch_folder(t.spark, "unclosed"), F.concat(F.lit('"'), "status"), tenth)
+    scanned = lz.scan_batches(t.spark, landing)
+    return lz.good_rows(scanned).unionByName(lz.malformed_rows(scanned).drop("source_file"), allowMissingColumns=True)
+
+
+@query(
+    "line_breaks_daily",
+    f"""
+    SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN status || chr(10) || '"then", so' ELSE status END AS status)
+    FROM ({_EVENT_ORDERS})
+    """,
+)
+def _line_breaks(t: Tables) -> DataFrame:
+    """Both chains over orders of which each third has a line break in its status: all are in the raw table."""
+    config = _chain(t, "line-breaks")
+    broken = F.when(F.col("order_id").cast("bigint") % 3 == 0, F.concat("status", F.lit('\n"then", so'))).otherwise(F.col("status"))
+    orders = t.events.withColumn("status", broken)
+    pl.run_backfill(t.spark, config, orders, t.raw_customers, t.raw_products, "2024-01-15")
+    pl.run_daily(t.spark, config, orders, td.EVENTS_AS_OF)
+    return _loaded(t, config.warehouse)
 
 
 # Bytes of a day's lines, without the header that each of its files has.

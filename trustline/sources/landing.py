@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trustline.functions.casts import normalise_null_markers
+from trustline.sources import records
 from trustline.sources.schemas import RAW
 from trustline.sources.tables import CSV, exists, hadoop_path, write_daily
 
 MALFORMED = "malformed_record"
-UNLANDABLE = "quarantine"
+# Names of files with open lines that are broadcast; more of them are joined.
+FEW_FILES = 10_000
 BATCH_DATE = r"(?:orders_|batch_date=)(\d{4}-\d{2}-\d{2})"
 
 
@@ -27,35 +29,59 @@ def batch_date(path: Column) -> Column:
     return F.when(found != "", found.try_cast("date"))
 
 
-def scan_landing(spark: SparkSession, landing: str, entity: str, quote: str = '"') -> DataFrame:
-    """All rows of an entity's files: text columns, the malformed line if any, source file.
+def scan_landing(spark: SparkSession, landing: str, entity: str, quote: str = '"', days: list[dt.date] | None = None) -> DataFrame:
+    """All rows of an entity's files: text columns, the malformed record if any, source file.
 
-    Columns bind by position.  A line with too few or too many fields is kept whole in
-    ``malformed_record`` instead of failing the load.  ``quote=""`` turns quoting off.
+    Columns bind by position.  A record with too few or too many fields, or with a quote that is
+    never closed, is kept whole in ``malformed_record`` instead of failing the load.  ``quote=""``
+    turns quoting off; else a first pass looks for files in which a quoted field goes on after a
+    line's end, and these are put together from their lines (:mod:`records`).  With ``days`` only
+    files whose path names one of them are opened.
     """
     names = RAW[entity].names
-    schema = T.StructType([*RAW[entity].fields, T.StructField(MALFORMED, T.StringType())])
+    path = f"{landing}/{entity}"
+    rows = _single_lines(spark, path, entity, quote)
+    wanted = None if days is None else lambda file: batch_date(file).isin(days)
+    if wanted:
+        rows = rows.where(wanted(F.col("source_file")))
+    if quote:
+        lines = records.read_lines(spark, path, wanted)
+        open_files = records.files_with_open_lines(lines, quote)
+        found = [tuple(r) for r in open_files.limit(FEW_FILES + 1).collect()]
+        if found:
+            few = len(found) <= FEW_FILES
+            files = F.broadcast(spark.createDataFrame(found, "file string")) if few else open_files
+            rows = rows.join(files, F.col("source_file") == F.col("file"), "left_anti")
+            rows = rows.unionByName(_assembled(lines.join(files, "file", "left_semi"), entity, quote))
+    return normalise_null_markers(rows, names)
+
+
+def _schema_of(entity: str) -> T.StructType:
+    return T.StructType([*RAW[entity].fields, T.StructField(MALFORMED, T.StringType())])
+
+
+def _options(quote: str) -> dict[str, str]:
+    # Fields of a line are counted whatever columns are used.
+    return {"quote": quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false", **CSV}
+
+
+def _single_lines(spark: SparkSession, path: str, entity: str, quote: str) -> DataFrame:
+    names = RAW[entity].names
     # Spark refuses a scan of nothing but the malformed line, so let it depend on one more
     # column; the condition always holds.
     always = F.coalesce(F.length(names[0]), F.lit(0)) >= 0
     malformed = F.when(always, F.col(MALFORMED))
-    rows = (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            enforceSchema=True,
-            quote=quote,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=MALFORMED,
-            recursiveFileLookup=True,
-            pathGlobFilter="*.csv",
-            **CSV,
-            columnPruning=False,  # count the fields of a line whatever columns are used
-        )
-        .csv(f"{landing}/{entity}")
-        .select(*names, malformed.alias(MALFORMED), F.col("_metadata.file_path").alias("source_file"))
-    )
-    return normalise_null_markers(rows, names)
+    files = spark.read.schema(_schema_of(entity)).options(header=True, enforceSchema=True, recursiveFileLookup=True, pathGlobFilter="*.csv", **_options(quote))
+    return files.csv(path).select(*names, malformed.alias(MALFORMED), F.col("_metadata.file_path").alias("source_file"))
+
+
+def _assembled(lines: DataFrame, entity: str, quote: str) -> DataFrame:
+    names = RAW[entity].names
+    found = records.assemble(lines, quote).where((F.col("record") > 1) & (F.trim("value") != ""))
+    fields = F.from_csv("value", _schema_of(entity).simpleString()[len("struct<") : -1].replace(":", " "), {**_options(quote), "multiLine": "true"})
+    read = found.withColumn("fields", F.when(~F.col("unclosed"), fields))
+    bad = F.when(F.col("unclosed"), F.col("value")).otherwise(F.col(f"fields.{MALFORMED}"))
+    return read.select(*[F.col(f"fields.{c}").alias(c) for c in names], bad.alias(MALFORMED), F.col("file").alias("source_file"))
 
 
 def good_rows(scanned: DataFrame) -> DataFrame:
@@ -75,8 +101,7 @@ def scan_batches(spark: SparkSession, landing: str, days: list[dt.date] | None =
     The day filter is on the file path, so files of other days are not opened.
     """
     day = batch_date(F.col("source_file"))
-    rows = scan_landing(spark, landing, "orders").withColumn("batch_date", day)
-    return rows if days is None else rows.where(F.col("batch_date").isin(days))
+    return scan_landing(spark, landing, "orders", days=days).withColumn("batch_date", day)
 
 
 def file_inventory(spark: SparkSession, landing: str, entity: str = "orders") -> DataFrame:
@@ -98,33 +123,15 @@ def new_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
 def land_batches(orders: DataFrame, landing: str) -> None:
     """Write order rows as CSV, one directory per ``batch_date``; a rerun replaces its days.
 
-    The files are read line by line, so that they can be split.  A row with a line break in a
-    field goes whole to the quarantine of the landing zone instead (:func:`unlandable_rows`).
+    Line breaks in fields are written as they are, in quotes; the scan puts such rows together.
     """
-    names = RAW["orders"].names
-    rows = orders.select(*names, "batch_date")
-    broken = _has_line_break(names)
-    write_daily(rows.where(~broken), f"{landing}/orders", "csv", cluster=True, header="true", **CSV)
-    write_daily(rows.where(broken), f"{landing}/{UNLANDABLE}/orders", cluster=True)
-
-
-def _has_line_break(names: list[str]) -> Column:
-    return F.coalesce(F.concat_ws("", *[F.col(c).cast("string") for c in names]).rlike("[\r\n]"), F.lit(False))
-
-
-def unlandable_rows(spark: SparkSession, landing: str) -> DataFrame:
-    """Whole order rows that a line of CSV can't hold, by ``batch_date``."""
-    schema = T.StructType([*RAW["orders"].fields, T.StructField("batch_date", T.DateType())])
-    path = f"{landing}/{UNLANDABLE}/orders"
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    rows = orders.select(*RAW["orders"].names, "batch_date")
+    write_daily(rows, f"{landing}/orders", "csv", cluster=True, header="true", **CSV)
 
 
 def land_dimension(df: DataFrame, landing: str, entity: str) -> None:
     """Replace a dimension's landing files."""
-    names = RAW[entity].names
-    rows, broken = df.select(*names), _has_line_break(names)
-    rows.where(~broken).write.mode("overwrite").options(header=True, **CSV).csv(f"{landing}/{entity}")
-    rows.where(broken).write.mode("overwrite").parquet(f"{landing}/{UNLANDABLE}/{entity}")
+    df.select(*RAW[entity].names).write.mode("overwrite").options(header=True, **CSV).csv(f"{landing}/{entity}")
 
 
 def reset_landing(spark: SparkSession, path: str) -> bool:
