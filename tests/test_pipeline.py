@@ -10,10 +10,12 @@ from trustline.operators import quality
 from trustline.operators.defects import DETECTED_BY
 from trustline.plans import pipeline as pl
 from trustline.plans.feed import live_feed, load_feed
-from trustline.plans.mart_table import read_mart
+from trustline.operators.rollup import daily_status_rollup
+from trustline.plans.mart_table import mart_versions, read_feed, read_mart
 from trustline.sources import landing as lz
 from trustline.sources import schemas
 from trustline.sources.tables import MissingDimensionError, read_snapshot, write_daily
+from trustline.sources.versions import Versions
 from trustline.streaming.load import raw_orders, run_load
 
 START = dt.date(2024, 1, 1)
@@ -73,7 +75,7 @@ def test_seeded_backfill_shows_every_defect(spark, customers, products, source,
     assert results["between_fct_orders_total_amount"].status == "warn"
     assert results["relationships_fct_orders_customer_id"].status == "warn"
     assert results["unique_stg_orders_order_id"].status == "warn"
-    mart = spark.read.parquet(cfg.warehouse.mart)
+    mart = read_mart(spark, cfg.warehouse)
     assert spark.sql("select count(*) from fct_orders").first()[0] == mart.count()
     assert spark.sql("select count(*) from stg_orders").first()[0] == mart.count()
     found = mart.agg(*[F.count_if(f).alias(f) for f in set(DETECTED_BY.values())]).first().asDict()
@@ -97,7 +99,7 @@ def test_build_stores_monitors_and_quarantine(spark, customers, products, source
     pl.run_backfill(spark, cfg, source, customers, products, day(11))
     stored = pl.monitor_tables(spark, cfg.warehouse)
     assert set(stored) == {"quarantine", "freshness", "volume", "schema"}
-    mart = spark.read.parquet(cfg.warehouse.mart)
+    mart = read_mart(spark, cfg.warehouse)
     dirty = mart.where(" or ".join(c for c in mart.columns if c.startswith(("is_", "has_")))).count()
     assert stored["quarantine"].count() == dirty > 0
     assert stored["quarantine"].where("size(reasons) = 0").isEmpty()
@@ -148,7 +150,7 @@ def test_ingest_window_and_mark(spark, source, tmp_path):
 def files(spark, cfg):
     """Files of the stored mart by day."""
     found = {}
-    for path in spark.read.parquet(cfg.warehouse.mart).inputFiles():
+    for path in read_mart(spark, cfg.warehouse).inputFiles():
         found.setdefault(lz_day(path), set()).add(path)
     return found
 
@@ -224,8 +226,80 @@ def test_rows_without_an_order_id_and_days_without_rows(spark, customers, produc
     assert read_mart(spark, cfg.warehouse).where(F.col("batch_date") == day(2)).count() == 0
 
 
-def test_a_build_that_died_is_followed_by_a_full_one(spark, customers, products, source, tmp_path):
+class Died(Exception):
+    pass
+
+
+def test_a_build_that_dies_changes_nothing(spark, customers, products, source, tmp_path, monkeypatch):
+    """In whatever step it dies, readers have the old version, and the next build makes up for it."""
+    cfg = config(tmp_path, None)
+    pl.run_backfill(spark, cfg, source, customers, products, day(2))
+    old, feed = rows_of(read_mart(spark, cfg.warehouse)), rows_of(read_feed(spark, cfg.warehouse))
+    copy = source.where("order_id = 'o130'").withColumn("batch_date", F.lit(day(3)))
+    lz.land_batches(source.where(F.col("batch_date") == day(3)).unionByName(copy), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+    write, steps = Versions.write, []
+
+    for dies_at in range(6):
+        steps.clear()
+
+        def failing(self, rows, table, *rest):
+            if len(steps) == dies_at:  # noqa: B023
+                raise Died(table)
+            steps.append(table)
+            return write(self, rows, table, *rest)
+
+        def unpublished(self, spark, manifest):
+            raise Died("publish")
+
+        monkeypatch.setattr(Versions, "write", failing)
+        if dies_at == 5:
+            monkeypatch.setattr(Versions, "publish", unpublished)
+        with pytest.raises(Died):
+            pl.build_models(spark, cfg.warehouse, day(3))
+        monkeypatch.undo()
+        assert rows_of(read_mart(spark, cfg.warehouse)) == old and rows_of(read_feed(spark, cfg.warehouse)) == feed
+    assert steps == ["rows", "cells", "feed", "customers", "products"]
+    assert rebuilt(spark, cfg, day(3)) == {day(2), day(3)}
+    assert mart_versions(cfg.warehouse).vacuum(spark, 1, orphans=True) > 0
+    assert read_mart(spark, cfg.warehouse).count() == 241 and read_mart(spark, cfg.warehouse).where("is_duplicate").count() == 1
+
+
+def test_a_reader_keeps_its_version_while_builds_go_on(spark, customers, products, source, tmp_path):
     cfg = config(tmp_path, None)
     pl.run_backfill(spark, cfg, source, customers, products, day(2))
-    shutil.rmtree(f"{cfg.warehouse.mart_state}/days")
-    assert rebuilt(spark, cfg, day(2)) == {day(0), day(1), day(2)}
+    pinned = mart_versions(cfg.warehouse).numbers(spark)[-1]
+    mart, feed = read_mart(spark, cfg.warehouse, pinned), read_feed(spark, cfg.warehouse, pinned)
+    before = rows_of(mart), rows_of(feed)
+    # All of day 1 goes, day 2 is another one, day 3 is new: its folders stay for the reader.
+    changed = source.where(F.col("batch_date") == day(2)).withColumn("status", F.lit("SHIPPED"))
+    lz.land_batches(changed.unionByName(source.where(F.col("batch_date") == day(3))), cfg.landing)
+    shutil.rmtree(f"{cfg.landing}/orders/batch_date={day(1)}")
+    shutil.rmtree(f"{cfg.warehouse.orders}/batch_date={day(1)}")
+    run_load(spark, cfg.landing, cfg.warehouse)
+    pl.build_models(spark, cfg.warehouse, day(3))
+    assert (rows_of(mart), rows_of(feed)) == before
+    now = read_mart(spark, cfg.warehouse)
+    assert {r.batch_date for r in now.select("batch_date").distinct().collect()} == {day(0), day(2), day(3)}
+    assert rows_of(live_feed(spark, cfg.warehouse.mart)) == rows_of(daily_status_rollup(now))
+
+
+def test_a_day_is_merged_from_the_cells_of_all(spark, customers, products, source, tmp_path, monkeypatch):
+    """One more day: the rows of that day alone are written, and read for the feed."""
+    cfg = config(tmp_path, None)
+    pl.run_backfill(spark, cfg, source, customers, products, day(4))
+    lz.land_batches(source.where(F.col("batch_date") == day(5)), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+    seen, read = [], Versions.read
+
+    def noted(self, spark, manifest, table, *rest):
+        seen.append((table, len(manifest.folders.get(table, []))))
+        return read(self, spark, manifest, table, *rest)
+
+    monkeypatch.setattr(Versions, "read", noted)
+    pl.build_models(spark, cfg.warehouse, day(5))
+    monkeypatch.undo()
+    # The rows of the old version are opened by the days that changed in it; of the new one, its own day's.
+    assert [n for table, n in seen if table == "rows"][:2] == [5, 1]
+    assert [n for table, n in seen if table == "cells"] == [5, 6]
+    assert rows_of(read_feed(spark, cfg.warehouse)) == rows_of(daily_status_rollup(read_mart(spark, cfg.warehouse)))

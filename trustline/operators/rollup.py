@@ -27,9 +27,9 @@ def defect_count_columns() -> list[Column]:
     return [F.count_if(F.col(flag)).alias(name) for name, flag in DEFECT_MEASURES.items()]
 
 
-def daily_status_rollup(fct: DataFrame) -> DataFrame:
-    """Counts, reported and clean revenue and six defect counts per (order_date, status)."""
-    return fct.groupBy("order_date", "status").agg(
+def daily_status_rollup(fct: DataFrame, *also: str) -> DataFrame:
+    """Counts, reported and clean revenue and six defect counts per (order_date, status), and ``also`` by more columns."""
+    return fct.groupBy(*also, "order_date", "status").agg(
         F.count("*").alias("order_count"),
         F.sum("total_amount").alias("total_revenue"),
         F.sum(clean_amount()).alias("clean_revenue"),
@@ -37,6 +37,12 @@ def daily_status_rollup(fct: DataFrame) -> DataFrame:
     )
 
 
+def merge_rollups(cells: DataFrame) -> DataFrame:
+    """The rollup of a table from the rollups of its parts; sums of nothing but unknown amounts stay unknown."""
+    sums = ["order_count", "total_revenue", "clean_revenue", *DEFECT_MEASURES]
+    return cells.groupBy("order_date", "status").agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def clean_revenue_by_date(fct: DataFrame) -> DataFrame:
     return fct.groupBy("order_date").agg(F.sum(clean_amount()).alias("clean_revenue"))
 

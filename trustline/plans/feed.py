@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trustline.functions.casts import lowercase_columns
 from trustline.operators.rollup import daily_status_rollup
-from trustline.sources.tables import exists, materialise, read_snapshot, scratch_folder
+from trustline.sources.schemas import FEED
+from trustline.sources.tables import materialise, read_snapshot, scratch_folder
+from trustline.sources.versions import Versions
 
 log = logging.getLogger(__name__)
 
@@ -18,10 +20,11 @@ log = logging.getLogger(__name__)
 def live_feed(spark: SparkSession, mart: str) -> DataFrame:
     """The rollup of the stored mart, named as a table or as a Parquet path.
 
-    A build stores the rollup beside its mart, and it is read where it is there.
+    A build stores the rollup with its mart, and that of the last version is read where there are versions.
     """
-    if "/" in mart and exists(spark, f"{mart}_feed/_SUCCESS"):
-        return spark.read.parquet(f"{mart}_feed")
+    versions = Versions(mart)
+    if "/" in mart and versions.numbers(spark):
+        return versions.read(spark, versions.manifest(spark), "feed", FEED)
     stored = spark.read.parquet(mart) if "/" in mart else spark.table(mart)
     feed = daily_status_rollup(stored)
     feed.schema  # analysed now, so that a mart that is missing or unfit shows here

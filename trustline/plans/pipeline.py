@@ -14,9 +14,9 @@ from trustline.operators import calendar, monitors, quality
 from trustline.operators.defects import seed_all
 from trustline.operators.mart import as_of_date
 from trustline.operators.staging import stg_customers, stg_orders, stg_products
-from trustline.plans.mart_table import build_mart, read_mart
+from trustline.plans.mart_table import build_mart, read_feed, read_mart
 from trustline.sources import landing as lz
-from trustline.sources.schemas import DQ_RESULTS, FCT_ORDERS, FEED, RAW_ORDERS
+from trustline.sources.schemas import DQ_RESULTS, FCT_ORDERS, RAW_ORDERS
 from trustline.sources.tables import (
     create_views,
     exists,
@@ -177,7 +177,7 @@ def transform_and_report(
     store_monitors(config.warehouse, models, as_of)
     results = quality.log_results(quality.run_tests(models, specs, run_at), config.warehouse.results)
     quality.require_no_failures(results)
-    export_snapshot(read_table(spark, config.warehouse.mart_feed, FEED), config.snapshot)
+    export_snapshot(read_feed(spark, config.warehouse), config.snapshot)
     return results
 
 

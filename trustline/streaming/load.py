@@ -101,18 +101,9 @@ class Warehouse:
 
     @property
     def mart(self) -> str:
+        """The versions of the mart and of what is stored with it."""
         return f"{self.root}/fct_orders"
 
-    @property
-    def mart_feed(self) -> str:
-        """The rollup of the mart as it is now."""
-        return f"{self.mart}_feed"
-
-    @property
-    def mart_state(self) -> str:
-        """What the mart was built from."""
-        return f"{self.mart}_state"
-
     @property
     def results(self) -> str:
         return f"{self.root}/dq_results"
