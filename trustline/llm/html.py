@@ -20,7 +20,8 @@ a paragraph, a branch with the page's h1 or one with most of its text; in an art
 can be a subject don't count.  Where enough pages have the style node, its importance must
 confirm the name.
 
-Nothing of a host meets in one task: layouts and leaves are counted by (host, node, leaf), with
+A page is parsed once: its blocks with their nodes are stored as a draft, and texts are put
+together from drafts.  Nothing of a host meets in one task: layouts and leaves are counted by (host, node, leaf), with
 pages of equal main text counted once.
 
 Defined cases: a NULL or empty page has the empty text; unclosed and misnested elements are
@@ -30,6 +31,7 @@ repeated results; other columns stay out.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -41,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustline.llm.shared import stored
+from trustline.llm.shared import lean, stored
 
 MIN_PAGES = 5  # distinct pages of a host that a node needs before it can be judged
 IMPORTANT = 0.2
@@ -99,11 +101,19 @@ class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)
+        self.opened: dict[str, int] = {}  # elements of each tag that are open
 
     def _close(self, node: Node) -> None:
+        while self.at is not node:
+            self.opened[self.at.tag] -= 1
+            self.at = self.at.parent
+        self.opened[node.tag] -= 1
         self.at = node.parent
 
     def _open(self, tags: set[str], within: set[str]) -> Node | None:
+        # Most of the time there is none, and no way up to be gone.
+        if not any(self.opened.get(tag) for tag in tags):
+            return None
         node = self.at
         while node.parent is not None:
             if node.tag in tags:
@@ -125,6 +135,7 @@ class _Tree(HTMLParser):
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.opened[tag] = self.opened.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -217,10 +228,82 @@ class Block(NamedTuple):
         return len("".join(self.text.split()))
 
 
-class Page:
-    """A page's whole tree: for each style node its blocks of text, in page order."""
+class Draft:
+    """What is left of a parsed page: for each style node its blocks of text, in page order."""
+
+    def __init__(self, blocks: list[Block], marked: set[int], parent: dict[int, int], has_article: bool, leaves: dict[tuple[int, int], int]) -> None:
+        self.blocks = blocks
+        #: Nodes that the page itself marks as its article; of these only the leaves are judged.
+        self.marked = marked
+        self.parent = parent
+        self.has_article = has_article
+        #: The content node that each block belongs to.
+        self.leaves = leaves
+
+    def stored(self) -> bytes:
+        """Everything as one value; the last names of nodes are enough to find their parents."""
+        text = json.dumps([self.blocks, sorted(self.marked), list(self.parent.items()), self.has_article, [(*at, leaf) for at, leaf in self.leaves.items()]], ensure_ascii=False, separators=(",", ":"))
+        return text.encode("utf-8", "surrogatepass")
+
+    @classmethod
+    def restored(cls, raw: bytes) -> Draft:
+        blocks, marked, parent, has_article, leaves = json.loads(raw.decode("utf-8", "surrogatepass"))
+        return cls([Block(*b) for b in blocks], set(marked), dict(map(tuple, parent)), has_article, {(n, u): leaf for n, u, leaf in leaves})
+
+    def _leaf(self, block: Block) -> int:
+        return self.leaves[block.node, block.unit]
+
+    def _under(self, node: int, top: int) -> bool:
+        while node != top and node:
+            node = self.parent[node]
+        return node == top
+
+    def text(self, low: set[int], high: set[int] | frozenset = frozenset()) -> str:
+        """The main text without the style nodes and leaves in ``low``; names don't remove nodes in ``high``."""
+        if self.has_article:
+            blocks = [b for b in self.blocks if b.inside]
+        else:
+            blocks = [b for b in self.blocks if b.linked < LINKS * b.chars]
+        total, held = sum(b.chars for b in blocks), {}
+        for b in blocks:
+            for n in b.names:
+                held[n] = held.get(n, 0) + b.chars
+        most = {n for n, chars in held.items() if 2 * chars > total}
+        gone = [
+            (b.node in low and b.node not in self.marked) or (b.node not in high and any(n not in most for n in b.names)) for b in blocks
+        ]
+        leaf = [not out and self._leaf(b) in low for b, out in zip(blocks, gone, strict=True)]
+        # A heading stays with what it heads.
+        for i in reversed(range(len(blocks))):
+            if leaf[i] and blocks[i].tag in HEADINGS:
+                for j in range(i + 1, len(blocks)):
+                    if (blocks[j].tag in HEADINGS and blocks[j].tag <= blocks[i].tag) or not self._under(blocks[j].node, blocks[i].node):
+                        break
+                    if not (gone[j] or leaf[j]):
+                        leaf[i] = False
+                        break
+        # An article that is mostly repeated is a copy of another page's, not its frame.
+        own = [at and b.node in self.marked for b, at in zip(blocks, leaf, strict=True)]
+        if 2 * sum(b.chars for b, at in zip(blocks, own, strict=True) if at) > total:
+            leaf = [at and not o for at, o in zip(leaf, own, strict=True)]
+        return " ".join(b.text for b, *out in zip(blocks, gone, leaf, strict=True) if not any(out))
+
+    def nodes(self) -> Iterator[tuple[int, int, list[int], bool, bool, bool]]:
+        """(style node, hash of its layout, its distinct leaves, whether it is an article, can be in the text, and there has a name against it)."""
+        own: dict[int, list[Block]] = {}
+        for b in self.blocks:
+            own.setdefault(b.node, []).append(b)
+        for node, blocks in own.items():
+            layout = xxhash.xxh64_intdigest(" ".join(b.tag for b in blocks))
+            shown = [b for b in blocks if b.inside or not self.has_article]
+            yield node, layout >> 1, sorted({self._leaf(b) for b in blocks}), node in self.marked, bool(shown), any(b.names for b in shown)
+
+
+class Page(Draft):
+    """A page as it is parsed."""
 
     def __init__(self, html: str) -> None:
+        super().__init__([], set(), {}, False, {})
         root = parse(html)
         holds, titled = set(), set()
         for node, begins in _walk(root):
@@ -229,10 +312,6 @@ class Page:
                 while up is not None and id(up) not in found:
                     found.add(id(up))
                     up = up.parent
-        self.blocks: list[Block] = []
-        #: Nodes that the page itself marks as its article; of these only the leaves are judged.
-        self.marked: set[int] = set()
-        self.parent: dict[int, int] = {}
         self.has_article = bool(holds)
         path, inside, links, texts, linked = [(0, {})], 0, 0, [], 0
         skipped: Node | None = None
@@ -301,80 +380,35 @@ class Page:
         together: dict[tuple[int, int], list[str]] = {}
         for b in self.blocks:
             together.setdefault((b.node, b.unit), []).append(b.text)
-        #: The content node that each block belongs to.
         self.leaves = {at: xxhash.xxh64_intdigest(f"{at[0]}/{chr(10).join(t)}") >> 1 for at, t in together.items()}
 
-    def _leaf(self, block: Block) -> int:
-        return self.leaves[block.node, block.unit]
-
-    def _under(self, node: int, top: int) -> bool:
-        while node != top and node:
-            node = self.parent[node]
-        return node == top
-
-    def text(self, low: set[int], high: set[int] | frozenset = frozenset()) -> str:
-        """The main text without the style nodes and leaves in ``low``; names don't remove nodes in ``high``."""
-        if self.has_article:
-            blocks = [b for b in self.blocks if b.inside]
-        else:
-            blocks = [b for b in self.blocks if b.linked < LINKS * b.chars]
-        total, held = sum(b.chars for b in blocks), {}
-        for b in blocks:
-            for n in b.names:
-                held[n] = held.get(n, 0) + b.chars
-        most = {n for n, chars in held.items() if 2 * chars > total}
-        gone = [
-            (b.node in low and b.node not in self.marked) or (b.node not in high and any(n not in most for n in b.names)) for b in blocks
-        ]
-        leaf = [not out and self._leaf(b) in low for b, out in zip(blocks, gone, strict=True)]
-        # A heading stays with what it heads.
-        for i in reversed(range(len(blocks))):
-            if leaf[i] and blocks[i].tag in HEADINGS:
-                for j in range(i + 1, len(blocks)):
-                    if (blocks[j].tag in HEADINGS and blocks[j].tag <= blocks[i].tag) or not self._under(blocks[j].node, blocks[i].node):
-                        break
-                    if not (gone[j] or leaf[j]):
-                        leaf[i] = False
-                        break
-        # An article that is mostly repeated is a copy of another page's, not its frame.
-        own = [at and b.node in self.marked for b, at in zip(blocks, leaf, strict=True)]
-        if 2 * sum(b.chars for b, at in zip(blocks, own, strict=True) if at) > total:
-            leaf = [at and not o for at, o in zip(leaf, own, strict=True)]
-        return " ".join(b.text for b, *out in zip(blocks, gone, leaf, strict=True) if not any(out))
-
-    def nodes(self) -> Iterator[tuple[int, int, list[int], bool, bool, bool]]:
-        """(style node, hash of its layout, its distinct leaves, whether it is an article, can be in the text, and there has a name against it)."""
-        own: dict[int, list[Block]] = {}
-        for b in self.blocks:
-            own.setdefault(b.node, []).append(b)
-        for node, blocks in own.items():
-            layout = xxhash.xxh64_intdigest(" ".join(b.tag for b in blocks))
-            shown = [b for b in blocks if b.inside or not self.has_article]
-            yield node, layout >> 1, sorted({self._leaf(b) for b in blocks}), node in self.marked, bool(shown), any(b.names for b in shown)
-
 
 def host_of(url: str | None) -> str:
     found = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", url or "")
     return found[1].rpartition("@")[2].lower() if found else ""
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns in: key, url, html. Out: a row for each page and style node."""
+_NODE = pa.struct([("node", pa.int64()), ("layout", pa.int64()), ("leaves", pa.list_(pa.int64())), ("article", pa.bool_()), ("shown", pa.bool_()), ("named", pa.bool_())])
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns in: key, id, url, html. Out: key, id, url, host, a digest of the text, the page's style nodes, and its draft."""
     for batch in batches:
-        rows = []
-        for key, url, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        hosts, digests, nodes, drafts = [], [], [], []
+        for url, html in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             page = Page(html)
-            host, digest = host_of(url), xxhash.xxh64_intdigest(page.text(set())) >> 1
-            rows.extend((key, host, digest, *node) for node in page.nodes())
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.bool_(), pa.bool_())
-        columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "host", "digest", "node", "layout", "leaves", "article", "shown", "named"])
+            hosts.append(host_of(url))
+            digests.append(xxhash.xxh64_intdigest(page.text(set())) >> 1)
+            nodes.append([dict(zip(_NODE.names, node, strict=True)) for node in page.nodes()])
+            drafts.append(page.stored())
+        columns = [*batch.columns[:3], pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(nodes, pa.list_(_NODE)), pa.array(drafts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "id", "url", "host", "digest", "nodes", "draft"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns in: id, url, html, low (style nodes and leaves to remove), high (named style nodes to keep)."""
+    """Columns in: id, url, draft, low (style nodes and leaves to remove), high (named style nodes to keep)."""
     for batch in batches:
-        texts = [Page(html).text(set(low or ()), set(high or ())) for html, low, high in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+        texts = [Draft.restored(raw).text(set(low or ()), set(high or ())) for raw, low, high in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "url", "text"])
 
 
@@ -399,15 +433,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """Per page: id, url, and the main text."""
     html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
     source = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), html.alias("html"))
-    source = source.withColumn("key", F.xxhash64("id", "url", "html"))
-    kinds = "key long, host string, digest long, node long, layout long, leaves array<long>, article boolean, shown boolean, named boolean"
-    features = stored(source.select("key", "url", "html").mapInArrow(_features, kinds), "branches")
+    source = source.select(F.xxhash64("id", "url", "html").alias("key"), "*")
+    kind = source.schema["id"].dataType.simpleString()
+    node = "node long, layout long, leaves array<long>, article boolean, shown boolean, named boolean"
+    kinds = f"key long, id {kind}, url string, host string, digest long, nodes array<struct<{node.replace(' ', ':').replace(',:', ', ')}>>, draft binary"
+    parsed = stored(source.mapInArrow(lean(_parsed), kinds), "parsed")
+    features = parsed.select("key", "host", "digest", F.inline("nodes"))
     nodes, leaves = judged(features, **options)
     nodes = stored(nodes, "judged")
     of_nodes = features.join(nodes, ["host", "node"]).where("if(low, shown and not article, named)").select("key", F.col("node").alias("item"), "low")
     of_leaves = features.where("shown").select("key", "host", "node", F.explode("leaves").alias("leaf")).join(leaves, ["host", "node", "leaf"]).select("key", F.col("leaf").alias("item"), F.lit(True).alias("low"))
     items = of_nodes.unionByName(of_leaves).groupBy("key").agg(F.collect_set(F.when(F.col("low"), F.col("item"))).alias("low"), F.collect_set(F.when(~F.col("low"), F.col("item"))).alias("high"))
     # Its size is known once it is stored: where few pages lose anything the pages aren't shuffled.
-    found = source.join(stored(items, "removed"), "key", "left").select("id", "url", "html", "low", "high")
-    kind = source.schema["id"].dataType.simpleString()
-    return found.mapInArrow(_extract, f"id {kind}, url string, text string")
+    found = parsed.join(stored(items, "removed"), "key", "left").select("id", "url", "draft", "low", "high")
+    return found.mapInArrow(lean(_extract), f"id {kind}, url string, text string")

@@ -7,10 +7,12 @@ are dealt to shards by range, each shard is one binary file of records with a fi
 so slot s is at byte (s mod per_shard) * stride of shard s / per_shard: a reader goes through
 the files in order and resumes anywhere.
 
-Sequences are numbered as they lie in the input: one pass counts them by partition, the next
-encodes again and numbers on from there, and fails if a partition has changed meanwhile; so
-neither texts nor numbers are shuffled, only packed tokens.  Files are written by Spark's own
-commit protocol: a record ends with a line feed, the line separator of the text sink.
+Texts are encoded once: each task stores its sequences in packs, numbered from the task's first
+one, and one number for each task turns these into places in the whole.  Then slots are written
+in PASSES ranges, one after another: a pass reads the packs, shuffles the sequences whose slots
+it covers, several shards to a task, and its shuffle files go before the next begins; so there
+is never more than a part of the corpus in them.  Files are written by Spark's own commit
+protocol: a record ends with a line feed, the line separator of the text sink.
 
 Record, little-endian: doc_id int64, sequence within the document int32, tokens int16, the
 token ids (uint16, or uint32 for vocabularies that need it), padding, a line feed.
@@ -25,6 +27,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -35,15 +38,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustline.llm.shared import lean, work_folder
+from trustline.llm.shared import lean, partitions, stored, work_folder
 from trustline.llm.tokens import PIECES
 from trustline.llm.words import mix
+from trustline.sources.tables import exists
 
 SEQUENCE = 256
 SHARD_BYTES = 16 << 20
 KEY = 20_240_229
 ROUNDS = 6
 HEAD = 14
+PACK_BYTES = 1 << 20  # of ids in a pack
+PASSES = 4
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -79,56 +86,78 @@ def stride_of(length: int, kind: np.dtype) -> int:
     return HEAD + length * kind.itemsize + 2
 
 
-def _count(path: str, length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = encoder(path)[0].encode_ordinary, 0
-        for batch in batches:
-            for text in batch.column(1):
-                total += len(encode(text.as_py() or "")) // length + 1
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total], pa.int64())], ["part", "n"])
-
-    return run
+def _packs(path: str, length: int):
+    """Columns in: id, text. Out: part, before (sequences of the task so far), n, size and blob of each pack."""
 
-
-def _deal(path: str, length: int, first: dict[int, int], expected: dict[int, int], n: int, key: int, per_shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, end = encoder(path)
         encode, kind = encoding.encode_ordinary, _kind(end)
         code = "H" if kind.itemsize == 2 else "I"
-        part = TaskContext.get().partitionId()
-        at = first.get(part, 0)
+        part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = batch.column(0).fill_null(NO_ID).to_numpy()
-            tokens, sizes = [], []
-            for text in batch.column(1):
+            tokens, sizes, held, first = [], [], 0, 0
+
+            def packed(rows: slice) -> pa.RecordBatch:
+                nonlocal before
+                own = np.array(sizes)
+                count = -(-own // length)
+                doc = np.repeat(np.arange(len(own)), count)
+                nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                size = np.minimum(length, np.repeat(own, count) - nth * length)
+                heads = (ids[rows][doc], nth.astype(np.int32), size.astype(np.int16))  # noqa: B023
+                blob = b"".join([*(x.tobytes() for x in heads), *tokens])
+                columns = [[part], [before], [len(doc)], [len(blob)], [pa.compress(blob, codec="zstd", asbytes=True)]]
+                before += len(doc)
+                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _PACK_KINDS, strict=True)], _PACK_NAMES)
+
+            for row, text in enumerate(batch.column(1)):
                 own = array(code, encode(text.as_py() or ""))
                 own.append(end)
                 tokens.append(own.tobytes())
                 sizes.append(len(own))
-            if not sizes:
-                continue
-            flat, sizes = b"".join(tokens), np.array(sizes)
-            count = -(-sizes // length)
-            doc = np.repeat(np.arange(len(sizes)), count)
-            nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-            begin = np.repeat(np.cumsum(sizes) - sizes, count) + nth * length
-            size = np.minimum(length, np.repeat(sizes, count) - nth * length)
-            first_byte, last_byte = begin * kind.itemsize, (begin + size) * kind.itemsize
-            slot = permute(np.arange(at, at + len(doc)), n, key)
-            at += len(doc)
-            order = np.argsort(slot)
-            shard = slot[order] // per_shard
-            edge = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-            rows = []
-            for a, b in zip(edge.tolist(), np.append(edge[1:], len(shard)).tolist(), strict=True):
-                own = order[a:b]
-                heads = (slot[own], ids[doc[own]], nth[own].astype(np.int32), size[own].astype(np.int16))
-                blob = b"".join([*(x.tobytes() for x in heads), *(flat[i:j] for i, j in zip(first_byte[own].tolist(), last_byte[own].tolist(), strict=True))])
-                rows.append((int(shard[a]), b - a, len(blob), pa.compress(blob, codec="zstd", asbytes=True)))
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["shard", "n", "size", "blob"])
-        if at != first.get(part, 0) + expected.get(part, 0):
-            raise RuntimeError(f"partition {part} has not the sequences that were counted")
+                held += len(tokens[-1])
+                if held >= PACK_BYTES:
+                    yield packed(slice(first, row + 1))
+                    tokens, sizes, held, first = [], [], 0, row + 1
+            if sizes:
+                yield packed(slice(first, None))
+
+    return run
+
+
+_PACK_NAMES = ["part", "before", "n", "size", "blob"]
+_PACK_KINDS = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+_PACK = "part int, before long, n int, size long, blob binary"
+
+
+def _deal(first: dict[int, int], n: int, key: int, per_shard: int, low: int, high: int, kind: np.dtype):
+    """Packs in; out: shard, n, size and blob of those of their sequences whose slots are in [low, high)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, before, count, size, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
+                a, b, c = 8 * count, 12 * count, 14 * count
+                ids, nth, sizes = np.frombuffer(raw[:a], np.int64), np.frombuffer(raw[a:b], np.int32), np.frombuffer(raw[b:c], np.int16)
+                last_byte = c + np.cumsum(sizes.astype(np.int64)) * kind.itemsize
+                first_byte = last_byte - sizes.astype(np.int64) * kind.itemsize
+                at = first[part] + before
+                slot = permute(np.arange(at, at + count), n, key)
+                order = np.argsort(slot)
+                order = order[(slot[order] >= low) & (slot[order] < high)]
+                if not len(order):
+                    continue
+                shard = slot[order] // per_shard
+                edge = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+                rows = []
+                for i, j in zip(edge.tolist(), np.append(edge[1:], len(shard)).tolist(), strict=True):
+                    own = order[i:j]
+                    heads = (slot[own], ids[own], nth[own], sizes[own])
+                    out = b"".join([*(x.tobytes() for x in heads), *(raw[x:y] for x, y in zip(first_byte[own].tolist(), last_byte[own].tolist(), strict=True))])
+                    rows.append((int(shard[i]), j - i, len(out), pa.compress(out, codec="zstd", asbytes=True)))
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["shard", "n", "size", "blob"])
 
     return run
 
@@ -185,19 +214,40 @@ def write_sequences(
     stride = stride_of(length, kind)
     per_shard = max(1, shard_bytes // stride)
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    counts = {r.part: r.n for r in source.mapInArrow(lean(_count(path, length)), "part int, n long").collect()}  # a number for each partition
+    if exists(docs.sparkSession, folder):
+        raise FileExistsError(folder)
+    packs = stored(source.mapInArrow(lean(_packs(path, length)), _PACK), "tokens")
+    counts = dict(packs.groupBy("part").agg(F.sum("n")).collect())  # a number for each partition
     first, n = {}, 0
     for part in sorted(counts):
         first[part], n = n, n + counts[part]
     layout = {"folder": folder, "sequences": n, "length": length, "stride": stride, "per_shard": per_shard, "ids": kind.str, "end": end}
-    if n:
-        shards = -(-n // per_shard)
-        dealt = source.mapInArrow(lean(_deal(path, length, first, counts, n, key, per_shard)), "shard int, n int, size long, blob binary")
-        records = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(lean(_records(length, kind, end)), "shard int, record binary")
-        records.select("shard", F.col("record").cast("string").alias("record")).write.partitionBy("shard").option("lineSep", "\n").text(folder)
+    shards = -(-n // per_shard)
+    step = -(-shards // PASSES)
+    for low in range(0, shards, step or 1):
+        own = min(step, shards - low)
+        deal = _deal(first, n, key, per_shard, low * per_shard, (low + own) * per_shard, kind)
+        dealt = packs.mapInArrow(lean(deal), "shard int, n int, size long, blob binary")
+        tasks = min(own, max(partitions(docs.sparkSession), 1))
+        # Neighbouring shards to one task, which writes them one after another.
+        sent = dealt.repartitionById(tasks, F.floor((F.col("shard") - low) * tasks / own).cast("int")).sortWithinPartitions("shard")
+        records = sent.mapInArrow(lean(_records(length, kind, end)), "shard int, record binary")
+        with _files_dropped_after(docs.sparkSession):
+            records.select("shard", F.col("record").cast("string").alias("record")).write.mode("append").partitionBy("shard").option("lineSep", "\n").text(folder)
     return layout
 
 
+@contextmanager
+def _files_dropped_after(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the query that wrote them, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def _listed(layout: dict):
     stride, per_shard, length, kind = layout["stride"], layout["per_shard"], layout["length"], np.dtype(layout["ids"])
 
