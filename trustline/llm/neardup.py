@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustline.llm.passages import pack_text, unpack_text
-from trustline.llm.shared import partitions, stored
+from trustline.llm.shared import partitions, stored, tidy
 from trustline.llm.words import SPACED_FOLDED, mix, raw_texts, rolling, scan, slices, whole
 
 SHINGLE = 5
@@ -338,6 +338,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = stored(moved.select("e.*").where("u <> v").distinct(), "edges")
+        tidy(edges.sparkSession)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -379,6 +380,7 @@ def _grouped(
         ),
         "members",
     )
+    tidy(spark)
     wanted = member.select("node").distinct().join(first, "node").select("node", "key")
     texts = stored(source.mapInArrow(_texts, "key long, node long, packed binary").join(wanted, ["key", "node"]).select("node", "packed").dropDuplicates(["node"]), "texts")
 
@@ -390,6 +392,7 @@ def _grouped(
 
     stars = member.select("band", "block", "node", "bits").repartition(n, "band", "block").sortWithinPartitions("band", "block")
     links = stored(confirmed(stars.mapInArrow(_stars(floor), "a long, b long")), "links")
+    tidy(spark)
     label = components(links)
 
     # Groups that still span components: every pair of their blocks meets once.
@@ -400,6 +403,7 @@ def _grouped(
     spread = spread.select("band", *pair, "nth", "block", "node", "component", "bits", F.col("bands"), "packed")
     spread = spread.repartition(n, "band", "low", "high").sortWithinPartitions("band", "low", "high")
     rest = stored(spread.mapInArrow(_crossing(shingle, floor, threshold), "a long, b long"), "links")
+    tidy(spark)
     if not rest.isEmpty():
         label = components(links.unionByName(rest))
 

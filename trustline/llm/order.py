@@ -136,8 +136,8 @@ def _deal(first: dict[int, int], n: int, key: int, per_shard: int, low: int, hig
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, before, count, size, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
+            for part, before, count, size, blob in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4), strict=True):
+                raw = pa.decompress(blob.as_buffer(), decompressed_size=size, codec="zstd", asbytes=True)
                 a, b, c = 8 * count, 12 * count, 14 * count
                 ids, nth, sizes = np.frombuffer(raw[:a], np.int64), np.frombuffer(raw[a:b], np.int32), np.frombuffer(raw[b:c], np.int16)
                 last_byte = c + np.cumsum(sizes.astype(np.int64)) * kind.itemsize
@@ -193,12 +193,12 @@ def _records(length: int, kind: np.dtype, pad: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts = None, []
         for batch in batches:
-            for own, n, size, blob in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for own, n, size, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
                 if own != shard and parts:
                     yield from emit(shard, parts)
                     parts = []
                 shard = own
-                parts.append((n, pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)))
+                parts.append((n, pa.decompress(blob.as_buffer(), decompressed_size=size, codec="zstd", asbytes=True)))
         if parts:
             yield from emit(shard, parts)
 

@@ -161,7 +161,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lists = table["buckets"].combine_chunks()
     size = np.diff(lists.offsets.to_numpy())
     row = np.repeat(np.arange(len(grade), dtype=np.int32), size)
-    return fit(row, lists.flatten().to_numpy(), table["values"].combine_chunks().flatten().to_numpy(), grade)
+    bucket, value = lists.flatten().to_numpy(), table["values"].combine_chunks().flatten().to_numpy()
+    del table, texts, lists
+    tidy(docs.sparkSession)
+    model = fit(row, bucket, value, grade)
+    # The sample goes before scoring is planned.
+    del row, bucket, value
+    tidy(docs.sparkSession)
+    return model
 
 
 _WEIGHTS: dict[int, np.ndarray] = {}

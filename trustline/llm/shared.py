@@ -32,6 +32,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _trim() -> None:
+    """Give freed memory back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Between the steps of a long chain: the driver collects its garbage now.
+
+    Plans, task results, broadcasts and shuffle files of finished steps go, and the heap shrinks
+    before the next step's plans are made, instead of growing to its limit first.
+    """
+    spark.sparkContext._jvm.System.gc()
+    _trim()
+
+
 def partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle has; the user sets it to suit the input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -59,9 +77,6 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            _trim()
 
     return lean_run
