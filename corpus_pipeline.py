@@ -15,7 +15,7 @@ from trustline.llm.mixing import mix
 from trustline.llm.neardup import drop_near_duplicates
 from trustline.llm.order import materialise
 from trustline.llm.quality import select_good, train
-from trustline.llm.shared import stored, table
+from trustline.llm.shared import stored, table, tidy
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,4 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        tidy(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
