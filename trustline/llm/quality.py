@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trustline.llm.shared import tidy
 from trustline.llm.words import ALPHANUMERIC_FOLDED, Slice, alphabet, mix, scan, slices
 
 SAMPLE = 8_000
