@@ -6,21 +6,26 @@ and returns what it reads back.  ``events`` supplies daily batches, one order pe
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustline.operators.calendar import high_water_mark
 from trustline.operators.mart import clean_orders, dirty_orders
 from trustline.operators.quality import PipelineGateError, Unique
+from trustline.plans import marks
 from trustline.plans import oracle as o
 from trustline.plans import pipeline as pl
 from trustline.plans.catalog import FEED_SQL, Tables, query, rounded
 from trustline.plans.feed import load_feed
+from trustline.plans.mart_table import mart_versions, read_feed, read_mart
 from trustline.sources import landing as lz
 from trustline.sources import testdata as td
 from trustline.sources.schemas import RAW_ORDERS
 from trustline.sources.tables import (
     export_snapshot,
+    hadoop_path,
     materialise,
     read_snapshot,
     require_dimensions,
@@ -384,3 +389,107 @@ def _incremental_mart(t: Tables) -> DataFrame:
     lz.land_dimension(t.raw_customers, landing, "customers")
     ld.run_load(t.spark, landing, house)
     return pl.build_models(t.spark, house, td.AS_OF)["fct_orders"]
+
+
+@query(
+    "pinned_mart",
+    "SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM ("
+    + o.flags(
+        f"""(SELECT s.* FROM stg_orders s
+             WHERE CAST(DATE '2001-01-01' + s.quantity % 28 AS DATE) <= DATE '{LAST_OF_FIRST}')"""
+    )
+    + ")",
+)
+def _pinned_mart(t: Tables) -> DataFrame:
+    """The mart as a reader has it who opened it before a build that changed every day of it."""
+    config, orders = _chain(t, "pinned"), dated(t)
+    pl.run_backfill(t.spark, config, _until(orders), t.raw_customers, t.raw_products, td.AS_OF)
+    pinned = read_mart(t.spark, config.warehouse, mart_versions(config.warehouse).numbers(t.spark)[-1])
+    lz.land_batches(orders.withColumn("status", F.lit("SHIPPED")), config.landing)
+    ld.run_load(t.spark, config.landing, config.warehouse)
+    pl.build_models(t.spark, config.warehouse, td.AS_OF)
+    return pinned.drop("batch_date")
+
+
+@query("merged_day_cells", FEED_SQL.format("feed"))
+def _merged(t: Tables) -> DataFrame:
+    """The feed of a mart that was built in two steps, merged from the cells of its days."""
+    config, orders = _chain(t, "merged"), dated(t)
+    pl.run_backfill(t.spark, config, _until(orders), t.raw_customers, t.raw_products, LAST_OF_FIRST)
+    lz.land_batches(orders.where(F.col("batch_date") > F.lit(LAST_OF_FIRST).cast("date")), config.landing)
+    ld.run_load(t.spark, config.landing, config.warehouse)
+    pl.build_models(t.spark, config.warehouse, td.AS_OF)
+    return rounded(read_feed(t.spark, config.warehouse))
+
+
+_ODD_DAY = "extract('day' FROM CAST(batch_date AS DATE)) % 2 = 1"
+
+
+@query(
+    "schema_drift",
+    f"""
+    SELECT DISTINCT batch_date,
+           CASE WHEN {_ODD_DAY} THEN 'customer_id,order_id,product_id,quantity,total_amount,order_date,status'
+                ELSE 'order_id,customer_id,product_id,quantity,total_amount,order_date,status' END AS header,
+           '' AS missing, '' AS extra, CASE WHEN {_ODD_DAY} THEN 'moved' ELSE 'ok' END AS status
+    FROM ({_EVENT_ORDERS})
+    """,
+)
+def _drift(t: Tables) -> DataFrame:
+    """Days with an odd number were landed with two columns exchanged; the files of a day say the same."""
+    landing = f"{scratch_folder(t.spark, 'drift')}/landing"
+    odd = F.dayofmonth("batch_date") % 2 == 1
+    names = RAW_ORDERS.names
+    write_daily(t.events.where(~odd).select(*names, "batch_date"), f"{landing}/orders", "csv", cluster=True, header="true")
+    moved = t.events.where(odd).select(names[1], names[0], *names[2:], "batch_date")
+    write_daily(moved, f"{landing}/orders", "csv", cluster=True, header="true")
+    return lz.headers(t.spark, landing, "orders").drop("source_file").distinct()
+
+
+@query("removed_files", f"SELECT * FROM ({_EVENT_ORDERS}) WHERE batch_date >= '{SECOND_HALF}' OR CAST(order_id AS BIGINT) % 2 = 0")
+def _removed(t: Tables) -> DataFrame:
+    """Each day is landed as two files; of the first half's days one goes after the load."""
+    root = scratch_folder(t.spark, "removed")
+    house, landing = ld.Warehouse(f"{root}/warehouse"), f"{root}/landing"
+    names = [*RAW_ORDERS.names, "batch_date"]
+    for rest in (0, 1):
+        half = t.events.where(F.col("order_id").cast("bigint") % 2 == rest).select(*names)
+        write_daily(half, f"{landing}/orders/part={rest}", "csv", cluster=True, header="true")
+    ld.run_load(t.spark, landing, house)
+    for day in sorted({r.batch_date for r in _first_half(t).select("batch_date").distinct().collect()}):
+        fs, path = hadoop_path(t.spark, f"{landing}/orders/part=1/batch_date={day}")
+        fs.delete(path, True)
+    ld.run_load(t.spark, landing, house)
+    return _loaded(t, house)
+
+
+@query(
+    "landing_log",
+    f"""
+    SELECT state, CAST("end" AS VARCHAR) AS "end", rows, outside, undated FROM (
+      SELECT 'landed' AS state, DATE '2024-01-15' AS "end", count(*) FILTER (WHERE batch_date < '{SECOND_HALF}') AS rows,
+             count(*) FILTER (WHERE batch_date >= '{SECOND_HALF}') AS outside, 0 AS undated FROM event_orders
+      UNION ALL
+      SELECT 'landed', DATE '{td.EVENTS_AS_OF}', count(*) FILTER (WHERE batch_date >= '{SECOND_HALF}'),
+             count(*) FILTER (WHERE batch_date < '{SECOND_HALF}'), 0 FROM event_orders
+      UNION ALL SELECT 'landing', DATE '2024-01-15', NULL, NULL, NULL
+      UNION ALL SELECT 'landing', DATE '{td.EVENTS_AS_OF}', NULL, NULL, NULL
+      UNION ALL SELECT 'landing', DATE '{td.EVENTS_AS_OF}', NULL, NULL, NULL
+      UNION ALL SELECT 'failed', DATE '{td.EVENTS_AS_OF}', NULL, NULL, NULL)
+    """,
+)
+def _landing_log(t: Tables) -> DataFrame:
+    """The log of a backfill and a daily run, which had to wait for another run that claimed its window and failed."""
+    config = _chain(t, "log")
+    pl.run_backfill(t.spark, config, t.events, t.raw_customers, t.raw_products, "2024-01-15")
+    start, end = dt.date.fromisoformat(SECOND_HALF), dt.date.fromisoformat(td.EVENTS_AS_OF)
+    try:
+        with marks.landing(t.spark, config.warehouse, start, end):
+            try:
+                pl.ingest(t.spark, config, t.events, td.EVENTS_AS_OF)
+            except marks.ConcurrentRunError:
+                raise InterruptedError from None
+    except InterruptedError:
+        pl.ingest(t.spark, config, t.events, td.EVENTS_AS_OF)
+    pl.ingest(t.spark, config, t.events, td.EVENTS_AS_OF)  # has nothing to do
+    return marks.steps(t.spark, config.warehouse).select("state", "end", "rows", "outside", "undated")

@@ -6,14 +6,14 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trustline.operators import calendar, monitors, quality
 from trustline.operators.defects import seed_all
 from trustline.operators.mart import as_of_date
 from trustline.operators.staging import stg_customers, stg_orders, stg_products
+from trustline.plans import marks
 from trustline.plans.mart_table import build_mart, read_feed, read_mart
 from trustline.sources import landing as lz
 from trustline.sources.schemas import DQ_RESULTS, FCT_ORDERS, RAW_ORDERS
@@ -27,8 +27,6 @@ from trustline.sources.tables import (
 )
 from trustline.streaming.load import Warehouse, raw_dimension, raw_order_ids, raw_orders, run_load
 
-_MARKS = T.StructType([T.StructField("batch_date", T.DateType())])
-
 
 @dataclass(frozen=True)
 class Config:
@@ -54,17 +52,12 @@ class Config:
 def read_high_water(
     spark: SparkSession, warehouse: Warehouse, as_of: dt.date | str | None = None
 ) -> DataFrame:
-    return calendar.high_water_mark(read_table(spark, warehouse.marks, _MARKS), as_of=as_of)
+    return calendar.high_water_mark(marks.landed_days(spark, warehouse), as_of=as_of)
 
 
 def commit_high_water(spark: SparkSession, warehouse: Warehouse, day: dt.date | str | None) -> None:
-    """Record that all batches up to ``day`` have landed.
-
-    Marks are appended and the latest one counts: a crash can lose the new mark, which
-    repeats days, but never the old one, which would skip some.
-    """
-    mark = spark.range(1).select(as_of_date(day).alias("batch_date"))
-    mark.coalesce(1).write.mode("append").parquet(warehouse.marks)
+    """Record that all batches up to ``day`` have landed; the latest such day counts."""
+    marks.commit(spark, warehouse, spark.range(1).select(as_of_date(day).alias("d")).first().d)
 
 
 class Landed(NamedTuple):
@@ -95,33 +88,35 @@ def land_window(
     end: dt.date,
     as_of: dt.date | str | None,
 ) -> Landed:
-    """Land the source's batches from ``start`` (None: the first) to ``end``, all days in one job."""
+    """Land the source's batches from ``start`` (None: the first) to ``end``, all days in one job.
+
+    The rows are counted as they are written; what is left out is counted by its dates alone.
+    """
     day = F.col("batch_date")
     inside = day <= F.lit(end) if start is None else day.between(start, end)
-    counts = source.agg(
-        F.count_if(inside).alias("rows"), F.count_if(~inside).alias("outside"), F.count_if(day.isNull()).alias("undated")
-    ).first()
+    left = source.agg(F.count_if(~inside).alias("outside"), F.count_if(day.isNull()).alias("undated")).first()
     batch = source.where(inside)
-    rows = counts.rows
     if config.rate is not None:
         batch = _seeded(batch, config, as_of)
     text = [F.col(c).cast("string").alias(c) for c in RAW_ORDERS.names]
-    batch = batch.select(*text, "batch_date")
-    if config.rate is not None:
-        rows = batch.count()  # with the copies
-    lz.land_batches(batch, config.landing)
-    return Landed(rows, counts.outside, counts.undated)
+    written = Observation("landed")
+    lz.land_batches(batch.select(*text, "batch_date").observe(written, F.count("*").alias("rows")), config.landing)
+    return Landed(written.get["rows"], left.outside, left.undated)
 
 
 def ingest(
     spark: SparkSession, config: Config, source: DataFrame, as_of: dt.date | str | None = None
 ) -> int:
-    """Land the days after the high-water date; returns how many days there were."""
+    """Land the days after the high-water date; returns how many days there were.
+
+    The window is claimed first, so that of two runs at once one lands it (:mod:`marks`); what was
+    landed and left out is in :func:`marks.steps`.
+    """
     mark = read_high_water(spark, config.warehouse, as_of)
     window = calendar.incremental_window(mark, as_of).first()
     if window.day_count:
-        land_window(spark, config, source, window.start_date, window.end_date, as_of)
-        commit_high_water(spark, config.warehouse, window.end_date)
+        with marks.landing(spark, config.warehouse, window.start_date, window.end_date) as counts:
+            counts |= land_window(spark, config, source, window.start_date, window.end_date, as_of)._asdict()
     return window.day_count
 
 
@@ -208,12 +203,12 @@ def run_backfill(
     run_at: dt.datetime | None = None,
 ) -> DataFrame:
     """Empty the landing zone, land dimensions and history, load in full, rebuild and test."""
-    lz.reset_landing(spark, config.landing)
-    lz.land_dimension(customers, config.landing, "customers")
-    lz.land_dimension(products, config.landing, "products")
     end = spark.range(1).select(as_of_date(as_of).alias("d")).first().d
     start = None if config.history_days is None else end - dt.timedelta(days=config.history_days)
-    land_window(spark, config, source, start, end, as_of)
-    commit_high_water(spark, config.warehouse, end)
+    with marks.landing(spark, config.warehouse, start, end) as counts:
+        lz.reset_landing(spark, config.landing)
+        lz.land_dimension(customers, config.landing, "customers")
+        lz.land_dimension(products, config.landing, "products")
+        counts |= land_window(spark, config, source, start, end, as_of)._asdict()
     run_load(spark, config.landing, config.warehouse, "full")
     return transform_and_report(spark, config, as_of, run_at, full=True)

@@ -120,6 +120,30 @@ def new_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     return inventory.join(ledger.select("path", "modificationTime"), ["path", "modificationTime"], "left_anti")
 
 
+def removed_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(path, batch_date) of files in the ledger that the inventory lacks, of days that still have files."""
+    gone = ledger.select("path", "batch_date").distinct().join(inventory.select("path"), "path", "left_anti")
+    return gone.join(inventory.select("batch_date").distinct(), "batch_date", "left_semi").select("path", "batch_date")
+
+
+def headers(spark: SparkSession, landing: str, entity: str) -> DataFrame:
+    """Per file of an entity: its header line, the columns it misses, has besides, and whether their order is another.
+
+    Columns bind by position, so a file whose header drifts may be loaded with its values exchanged.
+    """
+    declared = F.array(*[F.lit(c) for c in RAW[entity].names])
+    lines = records.read_lines(spark, f"{landing}/{entity}").where(F.col("block") == 0)
+    first = lines.groupBy(F.col("file").alias("source_file")).agg(F.min_by("value", "nth").alias("header"))
+    plain = F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), "\r$", "")
+    names = F.transform(F.split(plain, ","), lambda c: F.lower(F.trim(F.regexp_replace(c, '^"|"$', ""))))
+    found = first.select("source_file", batch_date(F.col("source_file")).alias("batch_date"), plain.alias("header"), names.alias("_found"))
+    missing, extra = F.array_except(declared, F.col("_found")), F.array_except(F.col("_found"), declared)
+    moved = (F.size(missing) == 0) & (F.size(extra) == 0) & (F.col("_found") != declared)
+    status = F.when(F.col("_found") == declared, "ok").when(moved, "moved").otherwise("renamed")
+    listed = [F.array_join(F.array_sort(c), ",").alias(n) for c, n in ((missing, "missing"), (extra, "extra"))]
+    return found.select("source_file", "batch_date", "header", *listed, status.alias("status"))
+
+
 def land_batches(orders: DataFrame, landing: str) -> None:
     """Write order rows as CSV, one directory per ``batch_date``; a rerun replaces its days.
 

@@ -114,6 +114,7 @@ class Warehouse:
 
     @property
     def marks(self) -> str:
+        """The log of landed windows."""
         return f"{self.root}/high_water"
 
 
@@ -193,24 +194,31 @@ def load_new_orders(
 
 
 def load_missed_orders(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
-    """Rebuild the days of files that the ledger lacks or holds in another version.
+    """Rebuild the days of files that the ledger lacks, holds in another version, or holds though they are gone.
 
-    These are the files rewritten under their name and those too old for the stream.
+    These are the files rewritten under their name, those too old for the stream, and those that
+    were removed or renamed.  A day none of whose files is left was moved out of the landing
+    zone as a whole, and stays as it was loaded.
     """
     if not exists(spark, f"{landing}/orders"):
         return
     ledger = read_table(spark, warehouse.files, _LEDGER)
     # Names and times as of now, stored before any of the files is read.
-    missed = lz.new_files(lz.file_inventory(spark, landing), ledger)
-    missed = materialise(missed, f"{warehouse.ledger}/missed")
-    days = _days(missed)
+    inventory = lz.file_inventory(spark, landing)
+    missed = materialise(lz.new_files(inventory, ledger), f"{warehouse.ledger}/missed")
+    gone = materialise(lz.removed_files(inventory, ledger), f"{warehouse.ledger}/removed")
+    removed = _days(gone)
+    days = sorted({*_days(missed), *removed})
     if days:
         rebuild_days(spark, landing, warehouse, days)
         _record(missed, warehouse, f"change-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}")
+    if removed:
+        # Last: a load that dies before finds them again.
+        compact_ledger(spark, warehouse, 0, gone)
 
 
-def compact_ledger(spark: SparkSession, warehouse: Warehouse, max_notes: int = MAX_NOTES) -> bool:
-    """Merge the ledger's notes into one folder with the last version of each file.
+def compact_ledger(spark: SparkSession, warehouse: Warehouse, max_notes: int = MAX_NOTES, without: DataFrame | None = None) -> bool:
+    """Merge the ledger's notes into one folder with the last version of each file, ``without`` some.
 
     The merged notes are written before the others go; a crash in between leaves notes twice,
     which changes nothing.
@@ -223,6 +231,8 @@ def compact_ledger(spark: SparkSession, warehouse: Warehouse, max_notes: int = M
         return False
     notes = read_table(spark, warehouse.files, _LEDGER)
     latest = notes.groupBy("path").agg(F.max_by(F.struct("modificationTime", "length", "batch_date"), "modificationTime").alias("_v"))
+    if without is not None:
+        latest = latest.join(without.select("path"), "path", "left_anti")
     _record(latest.select("path", "_v.*"), warehouse, f"merged-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}")
     for path in old:
         fs.delete(path, True)
