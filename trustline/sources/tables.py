@@ -45,7 +45,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     Where that is unset it is a local one, which only a local master's tasks can share.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "local")
+    if not shared and not (master == "local" or master.startswith("local[")):  # not local-cluster
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if shared:
         return f"{shared.rstrip('/')}/trustline-{name}-{uuid.uuid4().hex}"
