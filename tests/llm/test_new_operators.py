@@ -263,3 +263,39 @@ def test_registered_packing_of_the_whole_table(spark, sf):
 
 def test_packing_of_no_rows(spark):
     assert pack_documents(spark.createDataFrame([], DOCS), WORDS).collect() == []
+
+
+# Token counts from stored prefix counts
+
+
+def test_registered_token_counts_are_the_librarys_and_come_from_the_stored_counts(spark, sf, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from trustline.llm import tokens
+
+    whole, asked = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), []
+    monkeypatch.setattr(tokens, "within", lambda counts, budget, own=tokens.within: asked.append(counts.columns) or own(counts, budget))
+    rows = {r.doc_id: r for r in QUERIES["op6_token_counts"](spark, sf).collect()}
+    assert asked == [["id", "n_bytes", "changes"]]
+    for doc in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        text = doc.text or ""
+        n = len(whole.encode(text, add_special_tokens=False).ids)
+        row = rows.pop(doc.doc_id)
+        assert (row.n_bytes, row.n_tokens, row.over_limit) == (len(text.encode()), n, n > 1024)
+        text.encode()[: row.fitting_bytes].decode()
+        assert (row.fitting_bytes == row.n_bytes) == (n <= 1024)
+    assert not rows
+
+
+def test_no_answer_ends_within_a_character():
+    from trustline.llm import tokens
+
+    vocab = tokens.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "é漢😀 naïve 漢漢漢 <|endoftext|>é"
+    changes = vocab.changes(text)
+    assert len(changes) == len(text.encode())
+    for budget in range(40):
+        text.encode()[: tokens.longest_within(changes, budget)].decode()
+    for end in range(len(text) + 1):
+        cut = len(text[:end].encode())
+        assert tokens.count_within(changes, cut) >= 0 and tokens.longest_within(changes, tokens.count_within(changes, cut)) >= cut

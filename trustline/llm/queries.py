@@ -69,8 +69,8 @@ TOKEN_LIMIT = 1024
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of each document, and how many of its bytes the limit holds."""
-    found = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT, store=False)
+    """Tokens of each document, and how many of its bytes the limit holds, from the stored counts of its prefixes."""
+    found = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT)
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fitting_bytes")
 
 

@@ -8,9 +8,10 @@ prefix is enough to go on.  A piece's counts are kept, and pieces recur, so a te
 look-up for each piece.
 
 The counts of all prefixes are stored as one signed byte per byte of text, the change of the
-count.  ``count_within`` and ``longest_within`` answer how many tokens a cut text has and how
-much text a budget holds, without encoding anything again.  (A prefix is counted piece by
-piece, as the whole text is split.)
+count, and everything else is answered from them: ``count_within`` and ``longest_within`` say how
+many tokens a cut text has and how much text a budget holds, without encoding anything again.  (A
+prefix is counted piece by piece, as the whole text is split.)  Within a character the count is
+raised by MIDWAY, so no answer ends there.
 
 Defined cases: a NULL text counts as empty and has no tokens; special tokens' strings inside
 a text are one token each, as the tokenizer's default has it; other columns stay out.
@@ -19,7 +20,7 @@ a text are one token each, as the tokenizer's default has it; other columns stay
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,11 +29,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trustline.llm.shared import lean, stored
 from trustline.llm.words import raw_texts
 
 # Fixed value: the published pre-split pattern of this family of byte-level vocabularies.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 HELD_PIECES, HELD_PAIRS = 400_000, 400_000  # look-ups a worker keeps
+MIDWAY = 100  # more than the tokens of a character
 
 
 def byte_letters() -> dict[str, int]:
@@ -42,6 +45,24 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class _Changes(dict):
+    """The changes of pieces, found when first asked for."""
+
+    def __init__(self, prefixes: Callable[[bytes], list[int]]) -> None:
+        self.prefixes = prefixes
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= HELD_PIECES:
+            self.clear()
+        raw = piece.encode()
+        count = np.array(self.prefixes(raw))
+        if len(raw) > len(piece):
+            within = np.frombuffer(raw + b" ", np.uint8) & 0xC0 == 0x80
+            count[within] += MIDWAY
+        known = self[piece] = np.diff(count).astype(np.int8).tobytes()
+        return known
+
+
 class Vocabulary:
     """Byte-pair merges of a tokenizer file, and counts of all prefixes by them."""
 
@@ -63,8 +84,7 @@ class Vocabulary:
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._pairs: dict[tuple[bytes, bytes], bool] = {}
         self._whole: dict[bytes, bool] = {}
-        self._pieces: dict[str, int] = {}
-        self._changes: dict[str, bytes] = {}
+        self._changes = _Changes(self.prefixes)
 
     def merge(self, text: bytes) -> list[bytes]:
         """Byte-pair encoding as defined: the lowest-ranked pair first, from the left."""
@@ -112,70 +132,22 @@ class Vocabulary:
                 raise ValueError(f"no token for byte {piece[end - 1]}")
         return count
 
-    def pieces(self, text: str) -> Iterator[tuple[str, bool]]:
-        """(piece, whether it is a special token) in order."""
-        if self.at_special and any(s in text for s in self.special):
-            for i, part in enumerate(self.at_special.split(text)):
-                if i % 2:
-                    yield part, True
-                else:
-                    yield from ((p, False) for p in self.split(part))
-        else:
-            yield from ((p, False) for p in self.split(text))
-
-    def piece_counts(self, text: str) -> tuple[list[str], list[int]]:
-        """The pieces of a text and the tokens of each."""
-        held = self._pieces
-        if self.at_special and any(s in text for s in self.special):
-            pieces, counts = [], []
-            for piece, special in self.pieces(text):
-                pieces.append(piece)
-                counts.append(1 if special else self.prefixes(piece.encode())[-1])
-            return pieces, counts
-        pieces = self.split(text)
-        if len(held) >= HELD_PIECES:
-            held.clear()
-        counts = []
-        for piece in pieces:
-            n = held.get(piece)
-            if n is None:
-                n = held[piece] = self.prefixes(piece.encode())[-1]
-            counts.append(n)
-        return pieces, counts
-
     def changes(self, text: str) -> bytes:
         """The change of the token count with each byte of the text, a signed byte each."""
+        of_piece = self._changes.__getitem__
+        if not self.at_special or not any(s in text for s in self.special):
+            return b"".join(map(of_piece, self.split(text)))
         out = []
-        for piece, special in self.pieces(text):
-            if special:
+        for i, part in enumerate(self.at_special.split(text)):
+            if i % 2:
                 # Cut short it is ordinary text, as a whole it is one token.
-                inside = np.frombuffer(b"".join(self._plain_changes(p) for p in self.split(piece[:-1])), np.int8)
-                tail = len(piece.encode()) - len(inside)
+                inside = np.frombuffer(b"".join(map(of_piece, self.split(part[:-1]))), np.int8)
+                tail = len(part.encode()) - len(inside)
                 out.append(inside.tobytes() + np.array([0] * (tail - 1) + [1 - int(inside.sum())], np.int8).tobytes())
             else:
-                out.append(self._plain_changes(piece))
+                out += map(of_piece, self.split(part))
         return b"".join(out)
 
-    def _plain_changes(self, piece: str) -> bytes:
-        known = self._changes.get(piece)
-        if known is None:
-            if len(self._changes) >= HELD_PIECES:
-                self._changes.clear()
-            known = self._changes[piece] = np.diff(self.prefixes(piece.encode())).astype(np.int8).tobytes()
-        return known
-
-    def longest_prefix(self, pieces: list[str], counts: list[int], budget: int) -> int:
-        """Bytes of the longest prefix that has at most ``budget`` tokens, ending where a character does."""
-        total = np.cumsum(counts) if counts else np.zeros(0, np.int64)
-        n = int(np.searchsorted(total, budget, side="right"))
-        size = len("".join(pieces[:n]).encode())
-        if n < len(pieces) and pieces[n] not in self.special:
-            left = budget - (int(total[n - 1]) if n else 0)
-            raw = pieces[n].encode()
-            fits = [i for i, c in enumerate(self.prefixes(raw)) if c <= left and (i == len(raw) or raw[i] & 0xC0 != 0x80)]
-            size += fits[-1]
-        return size
-
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -194,27 +166,49 @@ def longest_within(changes: bytes, budget: int) -> int:
     return int(np.flatnonzero(total <= budget)[-1])
 
 
-def _count(path: str, budget: int, store: bool):
+def _counts(path: str):
+    """Columns in: id, text. Out: id, n_bytes and the changes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            _, at = raw_texts(batch.column(1))
-            tokens, fitting, changes = [], [], []
-            for text in batch.column(1):
-                text = text.as_py() or ""
-                pieces, counts = vocab.piece_counts(text)
-                n = sum(counts)
-                tokens.append(n)
-                fitting.append(vocab.longest_prefix(pieces, counts, budget) if n > budget else len(text.encode()))
-                changes.append(vocab.changes(text) if store else None)
-            columns = [batch.column(0), pa.array(np.diff(at), pa.int64()), pa.array(tokens, pa.int64()), pa.array(fitting, pa.int64()), pa.array(changes, pa.binary())]
+            found = [vocab.changes(text.as_py() or "") for text in batch.column(1)]
+            sizes = pa.array([len(c) for c in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(found, pa.binary())], ["id", "n_bytes", "changes"])
+
+    return run
+
+
+def _answered(budget: int):
+    """Columns in: id, n_bytes, changes. Out: these, and the tokens of the whole text and the bytes that the budget holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = raw_texts(batch.column(2))
+            tokens, fitting = [], []
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                own = raw[a:b]
+                tokens.append(count_within(own, b - a))
+                fitting.append(longest_within(own, budget) if tokens[-1] > budget else b - a)
+            columns = [batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(fitting, pa.int64()), batch.column(2)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "n_tokens", "fitting_bytes", "changes"])
 
     return run
 
 
-def count_tokens(docs: DataFrame, path: str, budget: int, id_col: str = "doc_id", text_col: str = "text", store: bool = True) -> DataFrame:
-    """Per document: id, n_bytes, n_tokens, the bytes that ``budget`` tokens hold, and with ``store`` the counts of all prefixes."""
+def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored: id, n_bytes and the counts of all prefixes (``changes``) of each document."""
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(_count(path, budget, store), f"id {kind}, n_bytes long, n_tokens long, fitting_bytes long, changes binary")
+    return stored(source.mapInArrow(lean(_counts(path)), f"id {kind}, n_bytes long, changes binary"), "prefix-counts")
+
+
+def within(counts: DataFrame, budget: int) -> DataFrame:
+    """What the stored counts say: n_tokens of each whole text, and the bytes that ``budget`` tokens hold."""
+    kind = counts.schema["id"].dataType.simpleString()
+    return counts.mapInArrow(lean(_answered(budget)), f"id {kind}, n_bytes long, n_tokens long, fitting_bytes long, changes binary")
+
+
+def count_tokens(docs: DataFrame, path: str, budget: int, **columns) -> DataFrame:
+    """Per document: id, n_bytes, n_tokens, the bytes that ``budget`` tokens hold, and the counts of all prefixes."""
+    return within(prefix_counts(docs, path, **columns), budget)
