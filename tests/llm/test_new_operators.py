@@ -299,3 +299,25 @@ def test_no_answer_ends_within_a_character():
     for end in range(len(text) + 1):
         cut = len(text[:end].encode())
         assert tokens.count_within(changes, cut) >= 0 and tokens.longest_within(changes, tokens.count_within(changes, cut)) >= cut
+
+
+def test_tokens_side_by_side_are_judged_as_by_merging_them():
+    from trustline.llm import tokens
+
+    vocab = tokens.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(9)
+    whole = [t for t in sorted(vocab.tokens) if vocab.merge(t) == [t]]
+    short = [t for t in whole if len(t) < 5]
+    seen = {True: 0, False: 0}
+    for _ in range(20_000):
+        a, b = rng.choice(short if rng.random() < 0.7 else whole), rng.choice(short if rng.random() < 0.7 else whole)
+        fits = (a, b) not in vocab.rank and vocab.merge(a + b) == [a, b]
+        assert vocab.apart(a, b) == fits, (a, b)
+        seen[fits] += 1
+    for token in rng.sample(whole, 3000):
+        cut = rng.randrange(1, len(token)) if len(token) > 1 else 0
+        a, b = token[:cut], token[cut:]
+        if cut and a in vocab.tokens and b in vocab.tokens and vocab.merge(a) == [a] and vocab.merge(b) == [b]:
+            assert not vocab.apart(a, b)
+            seen[False] += 1
+    assert min(seen.values()) > 500

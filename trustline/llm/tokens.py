@@ -35,6 +35,8 @@ from trustline.llm.words import raw_texts
 # Fixed value: the published pre-split pattern of this family of byte-level vocabularies.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 HELD_PIECES, HELD_PAIRS = 400_000, 400_000  # look-ups a worker keeps
+START = 6  # bytes by which pieces share what is known of their beginnings
+_BYTE = (-1, b"", b"")
 MIDWAY = 100  # more than the tokens of a character
 
 
@@ -55,11 +57,10 @@ class _Changes(dict):
         if len(self) >= HELD_PIECES:
             self.clear()
         raw = piece.encode()
-        count = np.array(self.prefixes(raw))
+        count = self.prefixes(raw)
         if len(raw) > len(piece):
-            within = np.frombuffer(raw + b" ", np.uint8) & 0xC0 == 0x80
-            count[within] += MIDWAY
-        known = self[piece] = np.diff(count).astype(np.int8).tobytes()
+            count = [n + MIDWAY if raw[i : i + 1] and raw[i] & 0xC0 == 0x80 else n for i, n in enumerate(count)]
+        known = self[piece] = bytes([(after - before) & 0xFF for before, after in zip(count, count[1:], strict=False)])
         return known
 
 
@@ -79,11 +80,20 @@ class Vocabulary:
         self.tokens = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in skip}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
-        self.longest = max(map(len, self.tokens))
+        #: The first merge that makes each token: its rank, and the two parts.
+        self.made: dict[bytes, tuple[int, bytes, bytes]] = {}
+        for (a, b), i in self.rank.items():
+            self.made.setdefault(a + b, (i, a, b))
+        #: The longest token with these two last bytes; any other token is a single byte.
+        self.ending: dict[bytes, int] = {}
+        for token in self.tokens:
+            if len(token) > self.ending.get(token[-2:], 1):
+                self.ending[token[-2:]] = len(token)
         self.split = regex.compile(PIECES).findall
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._pairs: dict[tuple[bytes, bytes], bool] = {}
         self._whole: dict[bytes, bool] = {}
+        self._starts: dict[bytes, tuple[list[int], list[bytes]]] = {}
         self._changes = _Changes(self.prefixes)
 
     def merge(self, text: bytes) -> list[bytes]:
@@ -96,10 +106,27 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def apart(self, a: bytes, b: bytes) -> bool:
+        """Whether two tokens side by side stay as they are: the merges that made them are undone, last first.
+
+        Had a pair across the border merged before the merge that is undone, it would have come first.
+        """
+        rank, made, limit = self.rank, self.made, len(self.rank)
+        while True:
+            if rank.get((a, b), limit) < limit:
+                return False
+            (of_a, _, right), (of_b, left, _) = made.get(a, _BYTE), made.get(b, _BYTE)
+            if of_a > of_b:
+                limit, a = of_a, right
+            elif of_b >= 0:
+                limit, b = of_b + 1, left
+            else:
+                return True
+
     def _stay_apart(self, a: bytes, b: bytes) -> bool:
         if len(self._pairs) >= HELD_PAIRS:
             self._pairs.clear()
-        known = self._pairs[a, b] = (a, b) not in self.rank and self.merge(a + b) == [a, b]
+        known = self._pairs[a, b] = self.apart(a, b)
         return known
 
     def _is_whole(self, token: bytes) -> bool:
@@ -110,10 +137,23 @@ class Vocabulary:
 
     def prefixes(self, piece: bytes) -> list[int]:
         """Token count of each prefix of a piece, from the empty one on."""
-        tokens, longest, apart = self.tokens, self.longest, self._pairs
-        count, last = [0], [b""]
-        for end in range(1, len(piece) + 1):
-            for begin in range(end - longest if end > longest else 0, end):
+        if len(piece) <= START:
+            return self._on(piece, [0], [b""])[0]
+        # Pieces often begin alike.
+        start = self._starts.get(piece[:START])
+        if start is None:
+            if len(self._starts) >= HELD_PIECES:
+                self._starts.clear()
+            start = self._starts[piece[:START]] = self._on(piece[:START], [0], [b""])
+        return self._on(piece, *map(list, start))[0]
+
+    def _on(self, piece: bytes, count: list[int], last: list[bytes]) -> tuple[list[int], list[bytes]]:
+        """The count and the last token of each prefix, where those of the first prefixes are known."""
+        tokens, ending, apart = self.tokens, self.ending, self._pairs
+        for end in range(len(count), len(piece) + 1):
+            # No token that ends like this is longer.
+            most = ending.get(piece[end - 2 : end], 1)
+            for begin in range(end - most if end > most else 0, end):
                 token = piece[begin:end]
                 if token not in tokens:
                     continue
@@ -130,7 +170,7 @@ class Vocabulary:
                     break
             else:
                 raise ValueError(f"no token for byte {piece[end - 1]}")
-        return count
+        return count, last
 
     def changes(self, text: str) -> bytes:
         """The change of the token count with each byte of the text, a signed byte each."""
