@@ -144,6 +144,8 @@ def assemble(lines: DataFrame, quote: str, sep: str = ",") -> DataFrame:
     alone = F.col("begins") & ~F.col("goes_on")
     text = F.regexp_replace("value", "\r$", "")
     single = numbered.where(alone).select("file", "record", text.alias("value"), F.col("opens").alias("unclosed"))
-    whole = numbered.where(~alone).groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("parts"))
-    joined = F.regexp_replace(F.array_join("parts.value", "\n"), "\r$", "")
+    # A record has no more lines than may lie before its quote closes.
+    record = Window.partitionBy("file", "record").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = numbered.where(~alone).withColumn("parts", F.collect_list("value").over(record)).where(F.col("line") == F.col("record"))
+    joined = F.regexp_replace(F.array_join("parts", "\n"), "\r$", "")
     return single.unionByName(whole.select("file", "record", joined.alias("value"), F.lit(False).alias("unclosed")))
