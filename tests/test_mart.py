@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trustline.functions import flags
 from trustline.operators import duplicates as dup
 from trustline.operators import mart, rollup
+from trustline.operators import ranking
 from trustline.operators.ranking import row_number_within
 from trustline.sources import schemas
 
@@ -247,3 +248,24 @@ def test_identical_rows_spread_over_their_salts(spark):
     numbers = [r.n for r in row_number_within(df, "k", dup.Ordering(("v",)), "n", hot).collect()]
     assert sorted(numbers) == list(range(1, 3001))
     assert dup.flag_repeats(df, "k", dup.Ordering(("v",)), "again", hot).where("not again").count() == 1
+
+
+def test_ranges_of_a_hot_key_are_bounded_and_in_order(spark):
+    """One key with a third of the rows, half of which are equal in the whole ordering tuple."""
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, null, id) k", "if(id % 6 = 0, 0, id) v", "id row_id")
+    order = dup.Ordering(("v",))
+    hot = dup.hot_buckets(df, "k", min_rows=500)
+    assert [r[0] for r in ranking.hot_keys(df, "k", hot).collect()] == [None]
+    ranged = ranking.in_ranges(df.where("k is null"), "k", order, 8).cache()
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("_range").collect()
+    assert len(sizes) > 4 and max(r.n for r in sizes) < 3000 / 2
+    assert all(a.high <= b.low for a, b in zip(sizes, sizes[1:], strict=False))
+    ranged.unpersist()
+    got = row_number_within(df, "k", order, "n", hot)
+    assert got.where("k is null").agg(F.countDistinct("n"), F.min("n"), F.max("n")).first()[:] == (3000, 1, 3000)
+    assert got.where("k is not null and n = 1").count() == 6000
+
+
+def test_row_numbers_of_an_empty_table(spark):
+    empty = spark.range(0).selectExpr("id k", "id v")
+    assert row_number_within(empty, "k", dup.Ordering(("v",)), "n").collect() == []

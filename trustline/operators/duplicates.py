@@ -82,6 +82,11 @@ def _filler(kind: T.DataType) -> Column:
     return F.lit(0 if isinstance(kind, T.NumericType) else _FILLERS[kind.typeName()]).cast(kind)
 
 
+def identity(df: DataFrame) -> Column:
+    """What tells rows apart that are alike: ``row_id``, else their place in the scan."""
+    return F.col("row_id") if "row_id" in df.columns else F.monotonically_increasing_id()
+
+
 def with_salt(df: DataFrame, key: str, hot: DataFrame, keep_floor: bool = False) -> DataFrame:
     """Add the grouping columns ``_key``, ``_key_null``, ``_salt`` and drop ``key``.
 
@@ -89,8 +94,7 @@ def with_salt(df: DataFrame, key: str, hot: DataFrame, keep_floor: bool = False)
     the scan does, which needs a frame that is read from storage, so that it is the same
     whenever the rows are read.
     """
-    identity = F.col("row_id") if "row_id" in df.columns else F.monotonically_increasing_id()
-    salt = F.coalesce(F.pmod(F.xxhash64(identity), F.col("_salts")), F.lit(0).cast("bigint"))
+    salt = F.coalesce(F.pmod(F.xxhash64(identity(df)), F.col("_salts")), F.lit(0).cast("bigint"))
     return (
         df.withColumn("_bucket", _bucket(key))
         .join(F.broadcast(hot), "_bucket", "left")
