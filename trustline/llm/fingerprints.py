@@ -9,12 +9,13 @@ memory for hashes doesn't grow with the text.
 Defined cases: a NULL text counts as empty and has an empty fingerprint; a text shorter than
 a run is hashed whole; two empty fingerprints are alike (1.0), an empty one is unlike any
 other (0.0).  A NULL id comes before all ids; rows with equal ids come in the order of their
-texts' hashes.  With one row in all, its next document is itself.
+texts' hashes, also where a third of all rows has one id or none.  With one row in all, its next document is itself.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,27 +99,60 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return source.mapInArrow(_fingerprints(gram, window), f"id {kind}, n_chars long, hashes array<long>, positions array<long>")
 
 
+FINER = 4
+_LOWEST = int(np.iinfo(np.int64).min)
+_PLACED = ["order", "tie", "spread"]
+
+
+def _even(m: int) -> list[float]:
+    return [j / m for j in range(1, m)]
+
+
+def _cuts(rows: DataFrame, n: int) -> list[dict[str, int]]:
+    """Where the n shares begin, at most n - 1 places in (order, tie, spread).
+
+    An id that takes several shares is cut by its ties, a tie that takes several by spread, so
+    neither rows without an id nor rows alike meet in one share.
+    """
+    ids = Counter(rows.agg(F.percentile_approx("order", _even(n), 10_000)).first()[0] or []) if n > 1 else Counter()
+    ties: dict[int, Counter] = {}
+    if max(ids.values(), default=0) > 1:
+        most = max(ids.values())
+        hot = rows.where(F.col("order").isin([i for i, m in ids.items() if m > 1]))
+        found = hot.groupBy("order").agg(F.percentile_approx("tie", _even(most), 10_000).alias("ties")).collect()
+        ties = {r.order: Counter(r.ties[round(j * most / ids[r.order]) - 1] for j in range(1, ids[r.order])) for r in found}
+    cuts = {(i, _LOWEST, _LOWEST) for i in ids}
+    for i, shares in ties.items():
+        for tie, m in shares.items():
+            cuts |= {(i, tie, _LOWEST + (j << 64) // m) for j in range(m)}
+    return [dict(zip(_PLACED, c, strict=True)) for c in sorted(cuts)]
+
+
 def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows dealt by ranges of the id, sorted; each partition ends with copies of the row that follows its last one.
+    """The rows dealt by ranges of (id, text hash), sorted; each partition ends with a copy of the row that follows its last one.
 
-    Columns: id, text, copy, order, tie.  Texts are shuffled once.
+    Columns: id, text, copy, order, tie.  Texts are shuffled once.  ``docs`` is read more than
+    once, so it should be stored.
     """
     n = partitions(docs.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    rows = rows.withColumn("order", F.coalesce("id", F.lit(np.iinfo(np.int64).min)))
-    share = [i / n for i in range(1, n)]
-    cuts = rows.agg(F.percentile_approx("order", share, 10_000)).first()[0] if n > 1 else []
-    rows = rows.withColumn("part", place(F.col("order"), sorted(set(cuts or [])), "long"))
-    # The first id of each partition, as many as there are partitions.
-    first = {r.part: r.first for r in rows.groupBy("part").agg(F.min("order").alias("first")).collect()}
+    # Different for all rows, and in no order.
+    spread = F.xxhash64(F.monotonically_increasing_id())
+    rows = rows.withColumns({"order": F.coalesce("id", F.lit(_LOWEST)), "tie": F.xxhash64("text"), "spread": spread})
+    # A cut beside a common id leaves up to two shares together, so the shares are finer than the partitions.
+    share = place(F.struct(*_PLACED), _cuts(rows, FINER * n), "struct<" + ",".join(f"{c}:bigint" for c in _PLACED) + ">")
+    rows = rows.withColumn("part", F.floor(share / FINER).cast("int"))
+    # The first row of each partition, as many as there are partitions.
+    first = {r.part: r.first for r in rows.groupBy("part").agg(F.min(F.struct("order", "tie")).alias("first")).collect()}
     used = sorted(first)
-    follows = [(first[b], a) for a, b in zip(used, used[1:] + used[:1], strict=True)]
-    ahead = docs.sparkSession.createDataFrame(follows, "order long, ahead int")
-    rows = rows.join(F.broadcast(ahead), "order", "left")
-    copies = F.array_compact(F.array(F.struct(F.col("part"), F.lit(False).alias("copy")), F.when(F.col("ahead").isNotNull(), F.struct(F.col("ahead").alias("part"), F.lit(True).alias("copy")))))
-    rows = rows.select("id", "text", "order", F.xxhash64("text").alias("tie"), F.explode(copies).alias("to"))
-    rows = rows.select("id", "text", "to.copy", "order", "tie", "to.part")
+    follows = [(*first[b], a) for a, b in zip(used, used[1:] + used[:1], strict=True)]
+    ahead = docs.sparkSession.createDataFrame(follows, "order long, tie long, ahead int")
+    # Rows alike in both have the same text, and any of them will do.
+    copies = rows.join(F.broadcast(ahead), ["order", "tie"]).groupBy("ahead").agg(F.first(F.struct("id", "text", "order", "tie")).alias("row"))
+    copies = copies.select("row.*", F.lit(True).alias("copy"), F.col("ahead").alias("part"))
+    columns = ["id", "text", "copy", "order", "tie", "part"]
+    rows = rows.withColumn("copy", F.lit(False)).select(*columns).unionByName(copies.select(*columns))
     return rows.repartitionById(max(n, 1), "part").sortWithinPartitions("copy", "order", "tie").drop("part")
 
 
