@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trustline.llm import fingerprints, mixing, quality, tokens
-from trustline.llm.chat import format_chats
+from trustline.llm.chat import format_chats, prefix_hashes
 from trustline.llm.fingerprints import compare_edits, fingerprint, likeness, winnow
 from trustline.llm.html import Page, extract
 from trustline.llm.order import encoder, list_sequences, permute, read_sequences, write_sequences
@@ -136,6 +136,26 @@ def test_edits_match_brute_force(spark):
     assert row.hashes == winnow(texts[12])[0].tolist() and row.positions == winnow(texts[12])[1].tolist()
 
 
+def test_rows_without_id_are_spread_and_followed_rightly(spark, tmp_path):
+    """A third of the rows have no id, half of those are alike; a tenth share another id."""
+    text = "concat('text ', if(id % 6 = 0, 0, id), repeat('y', int(id % 5)))"
+    ids = "if(id % 3 = 0, null, if(id % 10 = 1, 5000, id))"
+    spark.range(6000).selectExpr(f"{ids} doc_id", f"if(id % 6 = 0, 'alike', {text}) text").write.parquet(str(tmp_path / "docs"))
+    table = spark.read.parquet(str(tmp_path / "docs"))
+    n = fingerprints.partitions(spark)
+    placed = fingerprints.in_order(table, "doc_id", "text").withColumn("part", F.spark_partition_id())
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.count_if("copy").alias("copies")).collect()
+    assert len(sizes) == n and max(r.n for r in sizes) < 2 * 6000 / n and all(r.copies == 1 for r in sizes)
+    low = -(1 << 63)
+    rows = table.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect()
+    rows = sorted((low if r.doc_id is None else r.doc_id, r.tie, r.text) for r in rows)
+    want = []
+    for (_, _, t), (_, _, following) in zip(rows, rows[1:] + rows[:1], strict=True):
+        cut = len(t) // 4
+        want.append(hashlib.sha256((t[: len(t) - cut] + following[:cut]).encode()).hexdigest())
+    assert sorted(r.edited_sha256 for r in compare_edits(table).select("edited_sha256").collect()) == sorted(want)
+
+
 # -- mixing -----------------------------------------------------------------------------------
 
 
@@ -230,9 +250,21 @@ def test_snapshots_collapse(spark, chunk):
     assert format_chats(table.limit(0)).collect() == []
 
 
-def test_chats_run_without_python(spark):
-    table = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
-    plan = format_chats(table)._jdf.queryExecution().toString()
+def test_turns_without_conversation_are_spread(spark):
+    """A third of the turns have no conversation, and turn numbers that repeat."""
+    table = spark.range(3000).selectExpr("if(id % 3 = 0, null, int(id / 9)) conv_id", "id % 4 turn", "if(id % 5 = 0, null, 'user') role", "concat('t', id % 700) text")
+    want = prefix_hashes(table, chunk=64)
+    got = prefix_hashes(table, chunk=64, hot_rows=100)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    chats = format_chats(table, chunk=64, hot_rows=100).where("conv_id is null").select("part", "n_turns", F.regexp_count("text", F.lit("<.im_start")).alias("n")).collect()
+    assert sorted((r.part, r.n) for r in chats) == [(i, min(64, 1000 - 64 * i)) for i in range(16)]
+    assert {r.n_turns for r in chats} == {1000}
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1000])
+def test_chats_run_without_python(spark, hot_rows):
+    table = spark.createDataFrame([(1, i, "user", "x") for i in range(9)], "conv_id long, turn long, role string, text string")
+    plan = format_chats(table, hot_rows=hot_rows)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 

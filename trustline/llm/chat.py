@@ -6,9 +6,10 @@ turns' hashes with their positions in them (128 bits).  A conversation whose who
 longer one's prefix hash is a snapshot; an anti-join leaves those that nothing continues, one
 of each set of equals, and these are rendered.
 
-DataFrame functions only.  Positions and hashes run over chunks of CHUNK turn numbers and are
-carried from chunk to chunk as sums, so a conversation with a third of all rows is spread
-over many tasks; it is rendered in parts of CHUNK turns.
+DataFrame functions only.  A conversation with very many turns (a third of all, or all those
+without an id) is numbered by ranges of the whole order.  Hashes run over chunks of CHUNK
+places and are carried from chunk to chunk as sums, so it is spread over many tasks; it is
+rendered in parts of CHUNK turns.
 
 Defined cases: turns come by number, NULL last, those with equal numbers by role and hash, and
 repeated rows stay separate turns.  NULL roles and texts are rendered as empty, but differ from
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trustline.llm.shared import stored
+from trustline.operators.duplicates import HOT_ROWS, Ordering, hot_buckets
+from trustline.operators.ranking import row_number_within
 
 CHUNK = 1024
 BEGIN, END = "<|im_start|>", "<|im_end|>"
@@ -37,30 +40,25 @@ def _content_hash(seed: str) -> Column:
     return F.xxhash64(*parts)
 
 
-def prefix_hashes(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def prefix_hashes(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", chunk: int = CHUNK, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per turn: no_id, conv, position (from 1), role, text, and the hash x, y of the conversation up to it."""
-    conv = F.col(f"`{conv_col}`").cast("long")
     rows = turns.select(
-        conv.isNull().alias("no_id"),
-        F.coalesce(conv, F.lit(0).cast("long")).alias("conv"),
+        F.col(f"`{conv_col}`").cast("long").alias("conv"),
         F.coalesce(F.col(f"`{turn_col}`").cast("long"), F.lit(_NO_TURN)).alias("turn"),
         F.col(f"`{role_col}`").alias("role"),
         F.col(f"`{text_col}`").alias("text"),
     )
-    rows = rows.withColumns({"chunk": F.floor(F.col("turn") / chunk), "a": _content_hash("a"), "b": _content_hash("b")})
+    rows = rows.withColumns({"has_role": F.col("role").isNotNull(), "a": _content_hash("a"), "b": _content_hash("b")})
+    # Places in the whole order, so that chunks are even whatever the turn numbers are.
+    placed = row_number_within(rows, "conv", Ordering(("turn", "has_role", "role", "a", "b")), "position", hot_buckets(rows, "conv", hot_rows))
+    no_id, conv = F.col("conv").isNull().alias("no_id"), F.coalesce("conv", F.lit(0).cast("long")).alias("conv")
+    hashes = [F.xxhash64("position", "a", "b").alias("x"), F.xxhash64("b", "position", "a").alias("y")]
+    placed = stored(placed.select(no_id, conv, "position", F.floor((F.col("position") - 1) / chunk).alias("chunk"), "role", "text", *hashes), "turns")
     key = ["no_id", "conv"]
-    within = Window.partitionBy(*key, "chunk").orderBy("turn", "role", "a", "b")
-    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = Window.partitionBy(*key, "chunk").orderBy("position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
 
-    # Positions: within a chunk, after all turns of the chunks before it.
-    chunks = rows.groupBy(*key, "chunk").agg(F.count("*").alias("n"))
-    chunks = chunks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    placed = rows.withColumn("nth", F.row_number().over(within)).join(chunks, [*key, "chunk"])
-    placed = placed.withColumn("position", F.col("before") + F.col("nth")).drop("before", "nth")
-    placed = stored(placed.withColumns({"x": F.xxhash64("position", "a", "b"), "y": F.xxhash64("b", "position", "a")}), "turns")
-
-    # Hashes likewise.
+    # Hashes within a chunk, after those of the chunks before it.
     sums = placed.groupBy(*key, "chunk").agg(F.bit_xor("x").alias("cx"), F.bit_xor("y").alias("cy"))
     none = F.lit(0).cast("long")
     sums = sums.select(*key, "chunk", F.coalesce(F.bit_xor("cx").over(earlier), none).alias("px"), F.coalesce(F.bit_xor("cy").over(earlier), none).alias("py"))
