@@ -68,12 +68,15 @@ _EVENT_ORDERS = """
     FROM events"""
 
 
+def _line() -> Column:
+    return F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_ORDERS.names])
+
+
 def _landed_broken(t: Tables, root: str) -> str:
     """The events as landing files in which each tenth line has two fields only."""
     landing = f"{root}/landing"
-    values = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_ORDERS.names])
     broken = F.col("order_id").cast("bigint") % BROKEN_EVERY == 0
-    line = F.when(broken, F.concat_ws(",", "order_id", "customer_id")).otherwise(values)
+    line = F.when(broken, F.concat_ws(",", "order_id", "customer_id")).otherwise(_line())
     lines = t.events.select(line.alias(",".join(RAW_ORDERS.names)), "batch_date")
     write_daily(lines, f"{landing}/orders", "csv", cluster=True, header="true", sep="\u0001")
     return landing
@@ -493,3 +496,18 @@ def _landing_log(t: Tables) -> DataFrame:
         pl.ingest(t.spark, config, t.events, td.EVENTS_AS_OF)
     pl.ingest(t.spark, config, t.events, td.EVENTS_AS_OF)  # has nothing to do
     return marks.steps(t.spark, config.warehouse).select("state", "end", "rows", "outside", "undated")
+
+
+@query("quarantine_replay", _EVENT_ORDERS)
+def _replay(t: Tables) -> DataFrame:
+    """Broken lines are quarantined, corrected and replayed twice, and their days then rebuilt from the landing files."""
+    root = scratch_folder(t.spark, "replay")
+    landing, house = _landed_broken(t, root), ld.Warehouse(f"{root}/warehouse")
+    ld.run_load(t.spark, landing, house)
+    whole = t.events.select(F.col("order_id").alias("id"), _line().alias("corrected"))
+    bad = ld.quarantined_lines(t.spark, house).withColumn("id", F.substring_index(lz.MALFORMED, ",", 1))
+    fixes = materialise(bad.join(whole, "id").select("source_file", lz.MALFORMED, "corrected"), f"{root}/fixes")
+    for _ in range(2):
+        days = ld.replay(t.spark, landing, house, fixes)
+    ld.rebuild_days(t.spark, landing, house, days)
+    return _loaded(t, house)

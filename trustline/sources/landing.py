@@ -75,11 +75,16 @@ def _single_lines(spark: SparkSession, path: str, entity: str, quote: str) -> Da
     return files.csv(path).select(*names, malformed.alias(MALFORMED), F.col("_metadata.file_path").alias("source_file"))
 
 
+def _parsed(text: Column, entity: str, quote: str) -> Column:
+    """The fields of a whole record, and the record itself as malformed if it doesn't parse."""
+    schema = _schema_of(entity).simpleString()[len("struct<") : -1].replace(":", " ")
+    return F.from_csv(text, schema, {**_options(quote), "multiLine": "true"})
+
+
 def _assembled(lines: DataFrame, entity: str, quote: str) -> DataFrame:
     names = RAW[entity].names
     found = records.assemble(lines, quote).where((F.col("record") > 1) & (F.trim("value") != ""))
-    fields = F.from_csv("value", _schema_of(entity).simpleString()[len("struct<") : -1].replace(":", " "), {**_options(quote), "multiLine": "true"})
-    read = found.withColumn("fields", F.when(~F.col("unclosed"), fields))
+    read = found.withColumn("fields", F.when(~F.col("unclosed"), _parsed(F.col("value"), entity, quote)))
     bad = F.when(F.col("unclosed"), F.col("value")).otherwise(F.col(f"fields.{MALFORMED}"))
     return read.select(*[F.col(f"fields.{c}").alias(c) for c in names], bad.alias(MALFORMED), F.col("file").alias("source_file"))
 
@@ -95,6 +100,26 @@ def malformed_rows(scanned: DataFrame) -> DataFrame:
     return scanned.where(F.col(MALFORMED).isNotNull()).select(*kept)
 
 
+def apply_corrections(scanned: DataFrame, corrections: DataFrame, entity: str, quote: str = '"') -> DataFrame:
+    """``scanned`` with malformed records replaced by what ``corrections`` has for their file and text.
+
+    A correction that doesn't parse, leaves a quote open or is NULL changes nothing.  Equal
+    records of a file share a correction.  Only the malformed rows are joined.
+    """
+    names = RAW[entity].names
+    fixes = corrections.select(F.col("source_file").alias("_file"), F.col(MALFORMED).alias("_line"), F.col("corrected").alias("_text"))
+    bad = scanned.where(F.col(MALFORMED).isNotNull())
+    known = bad.join(fixes, (F.col("source_file") == F.col("_file")) & (F.col(MALFORMED) == F.col("_line")), "left")
+    known = known.withColumn("_fields", _parsed(F.col("_text"), entity, quote))
+    closed = ~records.opens(F.col("_text"), quote) if quote else F.lit(True)
+    parses = (F.trim("_text") != "") & closed & F.col(f"_fields.{MALFORMED}").isNull()
+    known = known.withColumn("_parses", F.coalesce(parses, F.lit(False)))
+    values = {c: F.when(F.col("_parses"), F.col(f"_fields.{c}")) for c in names}
+    values[MALFORMED] = F.when(~F.col("_parses"), F.col(MALFORMED))
+    fixed = normalise_null_markers(known.withColumns(values), names).select(*scanned.columns)
+    return scanned.where(F.col(MALFORMED).isNull()).unionByName(fixed)
+
+
 def scan_batches(spark: SparkSession, landing: str, days: list[dt.date] | None = None) -> DataFrame:
     """Order files with their ``batch_date``, of ``days`` only when given.
 

@@ -60,7 +60,9 @@ _RAW_BATCHES = T.StructType(
         T.StructField("batch_date", T.DateType()),
     ]
 )
-
+_CORRECTIONS = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("source_file", lz.MALFORMED, "corrected", "entity", "replay_id")]
+)
 
 DIMENSIONS = ("customers", "products")
 # Age against the newest file; older ones are left to the join with the ledger.
@@ -99,6 +101,11 @@ class Warehouse:
     def dimension(self, entity: str) -> str:
         return f"{self.root}/raw_{entity}"
 
+    @property
+    def corrections(self) -> str:
+        """Corrected lines, by entity and replay; a full load keeps them."""
+        return f"{self.root}/corrections"
+
     @property
     def mart(self) -> str:
         """The versions of the mart and of what is stored with it."""
@@ -127,15 +134,53 @@ def landed_dimensions(spark: SparkSession, landing: str) -> list[str]:
     return [e for e in DIMENSIONS if exists(spark, f"{landing}/{e}")]
 
 
+def corrections(spark: SparkSession, warehouse: Warehouse, entity: str) -> DataFrame:
+    """(source_file, malformed_record, corrected): the last correction of each line of an entity."""
+    notes = read_table(spark, warehouse.corrections, _CORRECTIONS).where(F.col("entity") == entity)
+    return notes.groupBy("source_file", lz.MALFORMED).agg(F.max_by("corrected", F.struct("replay_id", "corrected")).alias("corrected"))
+
+
+def _corrected(spark: SparkSession, warehouse: Warehouse, entity: str, scanned: DataFrame, days: list[dt.date] | None = None) -> DataFrame:
+    if not exists(spark, f"{warehouse.corrections}/entity={entity}"):
+        return scanned
+    known = corrections(spark, warehouse, entity)
+    if days is not None:
+        known = known.where(lz.batch_date(F.col("source_file")).isin(days))
+    return scanned if known.isEmpty() else lz.apply_corrections(scanned, known, entity)
+
+
+def replay(spark: SparkSession, landing: str, warehouse: Warehouse, fixes: DataFrame, entity: str = "orders") -> list[dt.date]:
+    """Take quarantined lines in again as ``corrected``; returns the days that were rebuilt.
+
+    ``fixes`` has source_file, malformed_record and corrected, as ``quarantined_lines`` gives
+    the first two.  Corrections are noted before anything is rebuilt, and every later rebuild
+    applies them, so a replay that is repeated, or that dies half way, ends the same.  The last
+    correction of a line counts; NULL takes it back.  Lines that no file has are noted only.
+    """
+    noted = fixes.select("source_file", lz.MALFORMED, "corrected", F.lit(entity).alias("entity"), F.lit(f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}").alias("replay_id"))
+    # Stored first: the lines may come from the table that is rebuilt.
+    noted.write.mode("append").partitionBy("entity", "replay_id").parquet(warehouse.corrections)
+    if entity != "orders":
+        load_dimensions(spark, landing, warehouse)
+        return []
+    files = corrections(spark, warehouse, entity).select(lz.batch_date(F.col("source_file")).alias("batch_date"))
+    days = sorted(r.batch_date for r in files.where("batch_date is not null").distinct().collect())
+    if days:
+        rebuild_days(spark, landing, warehouse, days)
+    return days
+
+
 def load_dimensions(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
     """Replace the dimension tables from their landing files; one that is not landed stays."""
     for entity in landed_dimensions(spark, landing):
-        write_dimension(lz.scan_landing(spark, landing, entity), warehouse.dimension(entity))
+        scanned = lz.scan_landing(spark, landing, entity)
+        write_dimension(_corrected(spark, warehouse, entity, scanned), warehouse.dimension(entity))
 
 
 def rebuild_days(spark: SparkSession, landing: str, warehouse: Warehouse, days: list[dt.date]) -> None:
     """Rewrite the raw partitions of ``days`` from their landing files, good and bad rows alike."""
-    write_daily(lz.scan_batches(spark, landing, days), warehouse.orders)
+    scanned = lz.scan_batches(spark, landing, days)
+    write_daily(_corrected(spark, warehouse, "orders", scanned, days), warehouse.orders)
 
 
 def _days(files: DataFrame) -> list[dt.date]:
