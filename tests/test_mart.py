@@ -269,3 +269,20 @@ def test_ranges_of_a_hot_key_are_bounded_and_in_order(spark):
 def test_row_numbers_of_an_empty_table(spark):
     empty = spark.range(0).selectExpr("id k", "id v")
     assert row_number_within(empty, "k", dup.Ordering(("v",)), "n").collect() == []
+
+
+def test_an_order_with_several_dimension_rows_has_one_first_row(spark, customers, products):
+    """Repeated keys, rows alike among them, fan orders out; neither hashes nor attributes pass the window for it."""
+    df = skewed(spark)
+    name = customers.withColumn("name", F.concat(F.lit("other "), "name"))
+    several = customers.unionByName(customers).unionByName(name)
+    hot = dup.hot_buckets(df, "order_id", min_rows=20)
+    for h in (hot, hot.limit(0)):
+        built = mart.fct_orders(df, several, products, AS_OF, h)
+        firsts = built.where("not is_duplicate").groupBy("order_id").count()
+        assert firsts.where("count != 1").isEmpty()
+        assert firsts.count() == df.select("order_id").distinct().count()
+    assert "_customer#" in built._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = mart.flagged_orders(df, several, products, AS_OF, hot.limit(0)).select("order_id", "is_duplicate")
+    kinds = {f.name: f.dataType.simpleString() for f in mart._ranked(several, "customer_id", "_customer", "name").schema}
+    assert kinds["_customer"] == "boolean" and shuffled.count() == built.count()

@@ -164,3 +164,21 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
     assert len(list((tmp_path / "d" / "batch_date=2024-01-01").glob("*.parquet"))) > 2
     assert len(list((tmp_path / "d" / "batch_date=2024-01-02").glob("*.parquet"))) == 1
     assert spark.read.parquet(str(tmp_path / "d")).count() == 20000
+
+
+def test_without_hot_keys_the_lines_are_read_once(spark, sf):
+    """No second pass for hot ids, and one exchange by product for the price and the attributes."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(Tables(spark, sf).fct)
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", text)) == 1
+    assert "_bucket" not in text and "row_id" not in re.search(r"Exchange hashpartitioning\(_key.*", text).group()
+    assert len(re.findall(r"Exchange hashpartitioning\(.*(?:l_partkey|[^_]product_id)", text)) == 1
+
+
+def test_hot_ids_are_filtered_before_the_joins(spark, sf):
+    t = Tables(spark, sf)
+    hot = dup.hot_buckets(t.order_ids, "order_id", min_rows=3)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(mart.fct_orders(t.stg_orders, t.stg_customers, t.stg_products, td.AS_OF, hot))
+    filters = [line for line in text.splitlines() if "Filter" in line and "65536" in line and "IN" in line]
+    assert filters and all("l_linenumber" in line for line in filters)
