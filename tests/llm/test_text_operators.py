@@ -136,3 +136,25 @@ def test_low_bits_estimate_similarity():
         bits = packed_bits(minima(found, row, 2))
         truth = shared / (4000 - shared)
         assert abs(estimate(agreement(bits[0], bits[1:]))[0] - truth) < 0.15
+
+
+def test_quality_holds_the_features_of_few_texts_at_once(monkeypatch):
+    """A batch of long texts is scored piece by piece, and the same as text by text."""
+    import numpy as np
+    import pyarrow as pa
+
+    from trustline.llm import quality
+
+    texts = [f"Word{i} and others, again again. " * 3000 for i in range(12)]
+    held, own = [], quality.features
+    monkeypatch.setattr(quality, "features", lambda part: held.append(len(part.raw)) or own(part))
+    model = quality.Model(np.arange(1 << 20), np.linspace(-1, 1, 1 << 20).astype(np.float32), np.array([0.0, 1.0]))
+
+    def scores(*batches):
+        run = quality._score(model, 1, ["id", "expected", "clean", "good"])
+        rows = [pa.RecordBatch.from_arrays([pa.array(range(len(b))), pa.array(b)], ["id", "text"]) for b in batches]
+        return [x for out in run(iter(rows)) for x in out.column(1).to_pylist()]
+
+    together = scores(texts)
+    assert max(held) <= 1 << 18
+    assert together == scores(*[[t] for t in texts])

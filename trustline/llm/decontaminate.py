@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trustline.llm.shared import lean
 from trustline.llm.words import ALPHANUMERIC_FOLDED, slices
 
 WINDOW = 13
@@ -187,7 +188,7 @@ def find_benchmark(
     for ids, texts in _blocks(benchmark, item_id_col, item_text_col, block):
         tests = Suffixes(ids, texts, window)
         names = pa.schema([(name, pa.null()) for name in schema.names])
-        out = out.mapInArrow(_pass(tests, n, n + 1, names), schema)
+        out = out.mapInArrow(lean(_pass(tests, n, n + 1, names)), schema)
     return out.drop("text")
 
 

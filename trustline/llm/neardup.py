@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustline.llm.passages import pack_text, unpack_text
-from trustline.llm.shared import partitions, stored, tidy
+from trustline.llm.shared import lean, partitions, stored, tidy
 from trustline.llm.words import SPACED_FOLDED, mix, raw_texts, rolling, scan, slices, whole
 
 SHINGLE = 5
@@ -363,7 +363,7 @@ def _grouped(
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     ident = F.col(f"`{id_col}`").cast("long")
     source = docs.select(ident.alias("id"), F.coalesce(ident, F.xxhash64(text)).alias("key"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    described = stored(source.mapInArrow(_describe(shingle), "id long, key long, text_hash long, node long, n_shingles long, bits binary, bands array<long>"), "signatures")
+    described = stored(source.mapInArrow(lean(_describe(shingle)), "id long, key long, text_hash long, node long, n_shingles long, bits binary, bands array<long>"), "signatures")
     base = described.select("id", "key", "text_hash", "node", "n_shingles")
 
     full = described.where("n_shingles > 0")
@@ -382,16 +382,16 @@ def _grouped(
     )
     tidy(spark)
     wanted = member.select("node").distinct().join(first, "node").select("node", "key")
-    texts = stored(source.mapInArrow(_texts, "key long, node long, packed binary").join(wanted, ["key", "node"]).select("node", "packed").dropDuplicates(["node"]), "texts")
+    texts = stored(source.mapInArrow(lean(_texts), "key long, node long, packed binary").join(wanted, ["key", "node"]).select("node", "packed").dropDuplicates(["node"]), "texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("two")), "b")
         both = with_b.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("one")), "a")
-        return both.select("a", "b", "one", "two").mapInArrow(_confirm(shingle, threshold), "a long, b long")
+        return both.select("a", "b", "one", "two").mapInArrow(lean(_confirm(shingle, threshold)), "a long, b long")
 
     stars = member.select("band", "block", "node", "bits").repartition(n, "band", "block").sortWithinPartitions("band", "block")
-    links = stored(confirmed(stars.mapInArrow(_stars(floor), "a long, b long")), "links")
+    links = stored(confirmed(stars.mapInArrow(lean(_stars(floor)), "a long, b long")), "links")
     tidy(spark)
     label = components(links)
 
@@ -402,7 +402,7 @@ def _grouped(
     pair = [F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
     spread = spread.select("band", *pair, "nth", "block", "node", "component", "bits", F.col("bands"), "packed")
     spread = spread.repartition(n, "band", "low", "high").sortWithinPartitions("band", "low", "high")
-    rest = stored(spread.mapInArrow(_crossing(shingle, floor, threshold), "a long, b long"), "links")
+    rest = stored(spread.mapInArrow(lean(_crossing(shingle, floor, threshold)), "a long, b long"), "links")
     tidy(spark)
     if not rest.isEmpty():
         label = components(links.unionByName(rest))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustline.llm.shared import tidy
+from trustline.llm.shared import lean, tidy
 from trustline.llm.words import ALPHANUMERIC_FOLDED, Slice, alphabet, mix, scan, slices
 
 SAMPLE = 8_000
@@ -37,6 +37,7 @@ RATE = 0.05
 SPARSITY = 0.3
 GRADES = 3
 TAIL = 0.5
+SCANNED = 1 << 18  # bytes of text whose features are held at once
 
 _CODE = np.arange(256)
 _PUNCTUATION = alphabet((_CODE > 0x20) & (_CODE < 0x7F) & ~ALPHANUMERIC_FOLDED.member, fold_case=False)
@@ -133,7 +134,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarra
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns in: id, grade, text. Out: the features of each row."""
     for batch in batches:
-        for part in slices(batch.column(2), ALPHANUMERIC_FOLDED):
+        for part in slices(batch.column(2), ALPHANUMERIC_FOLDED, SCANNED):
             row, bucket, value = features(part)
             order = np.argsort(row, kind="stable")
             at = pa.array(np.searchsorted(row[order], np.arange(part.count + 1)), pa.int32())
@@ -155,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     # At most ``sample`` ids of 16 bytes.
     texts = source.join(F.broadcast(rated), "id").select("id", "grade", "text")
-    table = texts.mapInArrow(_listed, "id long, grade int, buckets array<int>, values array<float>").dropDuplicates(["id"]).toArrow().sort_by("id")
+    table = texts.mapInArrow(lean(_listed), "id long, grade int, buckets array<int>, values array<float>").dropDuplicates(["id"]).toArrow().sort_by("id")
     grade = table["grade"].to_numpy()
     if len(np.unique(grade)) < 2:
         return None
@@ -184,7 +185,7 @@ def _score(model: Model | None, text_at: int, names: list[str]):
             _WEIGHTS[mark] = model.dense()
         for batch in batches:
             scores = [np.empty(0)]
-            for part in slices(batch.column(text_at), ALPHANUMERIC_FOLDED):
+            for part in slices(batch.column(text_at), ALPHANUMERIC_FOLDED, SCANNED):
                 row, bucket, value = features(part) if model else (np.empty(0, int),) * 3
                 weight = _WEIGHTS[mark][bucket] if model else np.empty(0)
                 scores.append(np.bincount(row, weights=weight * value, minlength=part.count))
@@ -202,7 +203,7 @@ def grade(docs: DataFrame, model: Model | None, keep: list[str] | None = None, t
     keep = docs.columns if keep is None else keep
     source = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("text"))
     out = source.drop("text").schema.add("expected_grade", "double").add("p_clean", "double").add("p_good", "double")
-    return source.mapInArrow(_score(model, len(keep), out.names), out)
+    return source.mapInArrow(lean(_score(model, len(keep), out.names)), out)
 
 
 def select_good(docs: DataFrame, model: Model | None, text_col: str = "text", tail: float = TAIL) -> DataFrame:
