@@ -105,3 +105,17 @@ def test_no_single_task_sees_a_whole_file(spark, tmp_path, blocks_of):
     windows = [w for w in plan.splitlines() if "Window" in w]
     assert windows and all("block" in w or "record" in w for w in windows)  # never by file alone over lines
     assert records.assemble(lines, '"').count() == 401
+
+
+def test_what_a_task_holds_does_not_grow_with_a_block(spark, tmp_path, monkeypatch):
+    """One large block is cut into chunks, lines are dealt by size, and the records are the same."""
+    rows = [(f"p{i}", "x", "1", "1", "a\nb\n\nc" if i % 3 == 0 else "d") for i in range(300)]
+    text = HEADER + "".join(",".join(f'"{v}"' if "\n" in v else v for v in r) + "\n" for r in rows)
+    put(tmp_path / "products" / "p.csv", text + 'q,x,1,1,"open\n')
+    monkeypatch.setattr(records, "CHUNK", 7)
+    monkeypatch.setattr(records, "TASK_BYTES", 500)
+    good, bad = scanned(spark, tmp_path)
+    assert good == sorted(rows) and bad == ['q,x,1,1,"open']
+    plan = records.assemble(records.read_lines(spark, str(tmp_path / "products")), '"', tasks=9)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [w for w in plan.splitlines() if "Window" in w and "nth" in w]
+    assert windows and all("chunk" in w for w in windows)
