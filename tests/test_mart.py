@@ -286,3 +286,14 @@ def test_an_order_with_several_dimension_rows_has_one_first_row(spark, customers
     shuffled = mart.flagged_orders(df, several, products, AS_OF, hot.limit(0)).select("order_id", "is_duplicate")
     kinds = {f.name: f.dataType.simpleString() for f in mart._ranked(several, "customer_id", "_customer", "name").schema}
     assert kinds["_customer"] == "boolean" and shuffled.count() == built.count()
+
+
+def test_products_before_or_after_the_window_make_the_same_mart(spark, customers, products):
+    df = skewed(spark).withColumns({"customer_id": F.lit("c1"), "product_id": F.lit("p1")})
+    several = customers.unionByName(customers.withColumn("name", F.lit("other")))
+    twice = products.unionByName(products).unionByName(products.withColumn("price", F.lit(2.0)))
+    hot = dup.hot_buckets(df, "order_id", min_rows=20)
+    for h in (hot, hot.limit(0)):
+        first, after = [mart.flagged_orders(df, several, twice, AS_OF, h, ("quantity", "row_id"), products_first=p) for p in (True, False)]
+        assert first.count() == 6 * df.count() and first.exceptAll(after).isEmpty() and after.exceptAll(first).isEmpty()
+        assert first.where("not is_duplicate").count() == df.select("order_id").distinct().count()
