@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trustline.operators import quality
 from trustline.operators.defects import DETECTED_BY
+from trustline.plans import mart_table
 from trustline.plans import pipeline as pl
 from trustline.plans.feed import live_feed, load_feed
 from trustline.operators.rollup import daily_status_rollup
@@ -226,6 +227,21 @@ def test_rows_without_an_order_id_and_days_without_rows(spark, customers, produc
     assert read_mart(spark, cfg.warehouse).where(F.col("batch_date") == day(2)).count() == 0
 
 
+def test_where_all_days_changed_no_rows_are_looked_up(spark, customers, products, source, tmp_path, monkeypatch):
+    cfg = config(tmp_path, None)
+    few = source.where(F.col("batch_date") <= day(2))
+    pl.run_backfill(spark, cfg, few, customers, products, day(2))
+    lz.land_batches(few.withColumn("status", F.lit("SHIPPED")), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+
+    def refuse(*_):
+        raise AssertionError("looked for rows that are all rebuilt anyway")
+
+    monkeypatch.setattr(mart_table, "_with_keys", refuse)
+    assert rebuilt(spark, cfg, day(2)) == {day(0), day(1), day(2)}
+    assert read_mart(spark, cfg.warehouse).where("status = 'SHIPPED'").count() == 180
+
+
 class Died(Exception):
     pass
 
