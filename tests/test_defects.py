@@ -3,10 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trustline.operators import defects
 from trustline.operators import duplicates as dup
+from trustline.operators.ranking import row_number_within
 from trustline.plans.catalog import Tables
 from trustline.sources import testdata as td
 
@@ -66,6 +68,28 @@ def test_exact_counts_per_batch(batches, min_rows):
     assert all(0 <= n <= most for n, most in zip([hit[k] for k in sorted(hit)], (50, 15, 2)))
 
 
+@pytest.mark.parametrize("min_rows", [10**6, 20])
+def test_exact_draws_are_those_of_the_plain_window(batches, min_rows, monkeypatch):
+    """Also of a NULL batch, and of rows alike in all; only the slices in which draws end are ranked."""
+    bare = batches.withColumn("batch_date", F.when(F.col("batch_date") > "2024-01-01", F.col("batch_date")))
+    alike = batches.withColumns({"order_id": F.lit("o"), "row_id": F.lit(1).cast("bigint")})
+    ranked = []
+    monkeypatch.setattr(defects, "row_number_within", lambda df, *a: ranked.append(df.count()) or row_number_within(df, *a))
+    for rows, keys in ((bare, ["order_id"]), (alike, ["order_id"])):
+        hot = dup.hot_buckets(rows, "batch_date", min_rows=min_rows)
+        picked = defects.pick_exact(rows, "neg", keys, "batch_date", 0.5, [], hot)
+        assert picked.columns == [*rows.columns, "_hit"] and picked.drop("_hit").exceptAll(rows).isEmpty() and picked.count() == 135
+        hit = {r.batch_date: r.n for r in picked.groupBy("batch_date").agg(F.count_if("_hit").alias("n")).collect()}
+        assert hit == draws(rows, 0.5)
+        if rows is bare:
+            number = F.row_number().over(Window.partitionBy("batch_date").orderBy(defects.tagged_hash("neg", keys)))
+            drawn = defects.batch_draws(rows, "neg", "batch_date", 0.5)
+            plain = rows.withColumn("_n", number).join(drawn, F.col("batch_date").eqNullSafe(F.col("_batch"))).where("_n <= _draw")
+            assert {r.order_id for r in plain.collect()} == {r.order_id for r in picked.where("_hit").collect()}
+            assert not ranked or ranked[0] < 27
+    assert bool(ranked) == (min_rows == 20)
+
+
 def test_copies_are_full_rows_and_at_most_five(batches):
     copies = defects.copies_to_add(batches, ["order_id"], "batch_date")
     assert copies.columns == batches.columns
