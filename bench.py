@@ -110,7 +110,7 @@ def main() -> None:
 
     def fresh() -> Tables:
         t = Tables(spark, sf_dir)
-        for name in ("raw_orders", "base_orders", "raw_customers", "raw_products", "order_ids"):
+        for name in ("raw_orders", "dealt_orders", "base_orders", "raw_customers", "raw_products", "order_ids"):
             setattr(t, name, getattr(stored, name))
         return t
 

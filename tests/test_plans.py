@@ -56,6 +56,20 @@ def test_mart_shuffles_rows_once(stored):
     assert "SortMergeJoin" not in text and text.count("Window [row_number()") == 1
 
 
+@pytest.mark.parametrize("name", ["fct_orders"])
+def test_rows_are_dealt_by_product_once(spark, sf, name):
+    """Parts that could be broadcast for their price, but products that can't: one exchange of order rows serves both."""
+    parts = td.table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    products = Tables(spark, sf).stg_products.select("product_id", "product_name", "category", "price")
+    part, product = (int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in (parts, products))
+    assert part < product
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=str((part + product) // 2), spark__sql__adaptive__autoBroadcastJoinThreshold="1"):
+        text = plan(queries()[name](spark, sf))
+    assert "SortMergeJoin [product_id" in text
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?)#", text)
+    assert "cast(l_partkey" in dealt and dealt.count("product_id") == 1  # the products themselves
+
+
 def test_hot_keys_reuse_the_partitioning_of_the_window(spark, stored):
     hot = dup.hot_buckets(stored.order_ids, "order_id", min_rows=1)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
