@@ -56,7 +56,7 @@ def test_mart_shuffles_rows_once(stored):
     assert "SortMergeJoin" not in text and text.count("Window [row_number()") == 1
 
 
-@pytest.mark.parametrize("name", ["fct_orders"])
+@pytest.mark.parametrize("name", ["fct_orders", "hot_fct_orders"])
 def test_rows_are_dealt_by_product_once(spark, sf, name):
     """Parts that could be broadcast for their price, but products that can't: one exchange of order rows serves both."""
     parts = td.table(spark, sf, "part").select("p_partkey", "p_retailprice")
