@@ -209,6 +209,24 @@ def test_only_touched_days_of_the_mart_are_rebuilt(spark, customers, products, s
     assert read_mart(spark, cfg.warehouse).where("is_orphan_order").count() == 0
 
 
+def test_keys_of_changed_days_are_not_looked_up(spark, customers, products, source, tmp_path, monkeypatch):
+    cfg = config(tmp_path, None)
+    pl.run_backfill(spark, cfg, source, customers, products, day(5))
+    copy = source.where("order_id = 'o130'").withColumn("batch_date", F.lit(day(6)))
+    lz.land_batches(source.where(F.col("batch_date") == day(6)).unionByName(copy), cfg.landing)
+    run_load(spark, cfg.landing, cfg.warehouse)
+    looked_up, with_keys = [], mart_table._with_keys
+
+    def recorded(orders, keys, key):
+        looked_up.append((key, {r.batch_date for r in orders.select("batch_date").distinct().collect()}))
+        return with_keys(orders, keys, key)
+
+    monkeypatch.setattr(mart_table, "_with_keys", recorded)
+    assert rebuilt(spark, cfg, day(6), compare=False) == {day(2), day(6)}
+    old = {day(n) for n in range(6)}
+    assert looked_up[:3] == [("order_id", old), ("customer_id", old), ("product_id", old)]
+
+
 def test_rows_without_an_order_id_and_days_without_rows(spark, customers, products, source, tmp_path):
     cfg = config(tmp_path, None)
     bare = F.when(F.col("order_id").isin("o10", "o70"), F.lit(None)).otherwise(F.col("order_id"))
