@@ -153,6 +153,36 @@ def test_relanded_day_replaces_its_rows(spark, landing, house, tmp_path):
     assert ids(ld.raw_orders(spark, house)) == ["b", "z"]
 
 
+@pytest.fixture
+def rebuilds(monkeypatch):
+    """The days of each rebuild, in order."""
+    calls, rebuild = [], ld.rebuild_days
+    monkeypatch.setattr(ld, "rebuild_days", lambda spark, landing, house, days: (calls.append(sorted(days)), rebuild(spark, landing, house, days)))
+    return calls
+
+
+def test_relanded_day_is_rebuilt_once(spark, landing, house, rebuilds):
+    ld.run_load(spark, landing, house)
+    os.remove(os.path.join(landing, "orders/orders_2024-01-01.csv"))
+    put(landing, "orders/again/orders_2024-01-01.csv", order_lines("2024-01-01", "a2"))
+    rebuilds.clear()
+    for _ in range(2):
+        ld.run_load(spark, landing, house)
+        assert rebuilds == [[dt.date(2024, 1, 1)]]
+        assert ids(ld.raw_orders(spark, house)) == ["a2", "c"]
+
+
+def test_file_that_goes_while_its_day_is_rebuilt_is_found(spark, landing, house, monkeypatch):
+    late = put(landing, "orders/late/orders_2024-01-01.csv", order_lines("2024-01-01", "x"))
+    ld.run_load(spark, landing, house)
+    os.remove(os.path.join(landing, "orders/orders_2024-01-01.csv"))
+    put(landing, "orders/again/orders_2024-01-01.csv", order_lines("2024-01-01", "a2"))
+    load = ld.load_new_orders
+    monkeypatch.setattr(ld, "load_new_orders", lambda *args: (load(*args), os.remove(late))[0])
+    ld.run_load(spark, landing, house)
+    assert ids(ld.raw_orders(spark, house)) == ["a2", "c"]
+
+
 def test_replayed_micro_batch_changes_nothing(spark, landing, house):
     ld.run_load(spark, landing, house)
     commits = os.path.join(house.checkpoint, "commits")
@@ -301,6 +331,14 @@ def test_daily_write_replaces_only_its_days(spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 3]
 
 
+def test_stored_rows_are_zstd_and_dimensions_are_not(spark, landing, house, tmp_path):
+    ld.run_load(spark, landing, house)
+    stored = tables.materialise(ld.raw_orders(spark, house), str(tmp_path / "stored"))
+    for rows in (ld.raw_order_batches(spark, house), stored):
+        assert all(f.endswith(".zstd.parquet") for f in rows.inputFiles())
+    assert not any(".zstd." in f for f in ld.raw_dimension(spark, house, "customers").inputFiles())
+
+
 def test_materialise_as_path_and_table(spark, tmp_path):
     assert tables.materialise(spark.range(3), str(tmp_path / "m")).count() == 3
     for n in (2, 4):

@@ -11,6 +11,7 @@ from trustline.operators import duplicates as dup
 from trustline.operators import mart, rollup
 from trustline.plans.catalog import QUERIES as CORE
 from trustline.plans.catalog import Tables
+from trustline.sources import landing as lz
 from trustline.sources import schemas
 from trustline.sources import testdata as td
 from trustline.sources.tables import export_snapshot, row_identity, write_daily
@@ -21,6 +22,14 @@ def stored(spark, sf, tmp_path_factory):
     return Tables(spark, sf).stored(str(tmp_path_factory.mktemp("stored")), 4)
 
 
+@pytest.mark.parametrize("name", ["pipeline_gate", "pinned_mart"])
+def test_rows_that_are_landed_twice_are_made_once(spark, sf, monkeypatch, name):
+    read, land = [], lz.land_batches
+    monkeypatch.setattr(lz, "land_batches", lambda orders, landing: (read.extend(orders.inputFiles()), land(orders, landing)))
+    queries()[name](spark, sf)
+    assert read and not any("lineitem" in f for f in read)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
