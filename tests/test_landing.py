@@ -1,7 +1,9 @@
 """Landing files: CSV edge cases, quarantine, loads and the snapshot."""
 
 import datetime as dt
+import itertools
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +103,22 @@ def test_batch_date_patterns(spark):
     assert [r.d for r in df.collect()] == [dt.date(2024, 1, 31), dt.date(2024, 2, 1), None, None]
 
 
+def test_batch_date_is_the_first_that_the_path_names(spark):
+    names = ["batch_date=2024-02-01", "batch_date=2024-02-0x", "batch_date=2024-13-01", "orders_2024-01-31", "orders_x", "orders_batch_date=2024-03-05", "batch_date=", "x"]
+    paths = ["/".join(p) for p in itertools.product(names, names, ["p.csv", "orders_2024-04-01.csv"])]
+    day = lz.batch_date(F.col("p"))
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select("p", day.alias("d"))
+
+    def expected(path):
+        found = re.search(r"(?:orders_|batch_date=)(\d{4}-\d{2}-\d{2})", path)
+        return dt.date.fromisoformat(found[1]) if found and "-13-" not in found[1] else None
+
+    assert {r.p: r.d for r in df.collect()} == {p: expected(p) for p in paths}
+    # Scans ask for it in every row: one pattern each time, and for folders one that begins with a text.
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"regexp_extract\(p#\d+, batch_date=", plan)) == 1 and plan.count("regexp_extract") == 2
+
+
 def test_only_files_of_the_days_are_opened(spark, landing):
     scan = lz.scan_batches(spark, landing, [dt.date(2024, 1, 2)])
     assert ids(scan) == ["c"]

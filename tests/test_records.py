@@ -3,6 +3,7 @@
 import csv
 import io
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,20 @@ def test_files_of_single_lines_are_not_shuffled(spark, tmp_path):
     assert len(scanned(spark, tmp_path)[0]) == 6
 
 
+def test_lines_without_a_quote_are_passed_over_in_compiled_code(spark, tmp_path):
+    """The first pass reads every line of a load; what looks into quotes is not compiled, and would take the filter along."""
+    put(tmp_path / "products" / "p.csv", HEADER + 'p1,a,1,2,b\np2,"a",1,2,b\n' * 5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        files = records.files_with_open_lines(records.read_lines(spark, str(tmp_path / "products"), None, '"'), '"')
+        plan = files._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    filters = [line for line in plan.splitlines() if "Filter (" in line and "Contains(value" in line and "FileScan" not in line]
+    assert filters and all(re.search(r"\*\(\d+\) Filter", line) for line in filters)
+    assert files.isEmpty()
+
+
 def test_no_single_task_sees_a_whole_file(spark, tmp_path, blocks_of):
     put(tmp_path / "products" / "p.csv", HEADER + 'p1,"a\nb",1,2,x\n' * 400)
     blocks_of(500)
