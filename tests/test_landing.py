@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -357,6 +358,30 @@ def test_stored_rows_are_zstd_and_dimensions_are_not(spark, landing, house, tmp_
     assert not any(".zstd." in f for f in ld.raw_dimension(spark, house, "customers").inputFiles())
 
 
+def test_writes_leave_no_dealt_rows_on_the_disks(spark, landing, tmp_path):
+    """The files of shuffles go when a write ends, not when the driver collects its garbage."""
+
+    def dealt():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().endswith(".data")}
+
+    rows = lz.scan_batches(spark, str(landing)).select(*schemas.RAW_ORDERS.names, "batch_date")
+    for write in (
+        lambda: lz.land_batches(rows, str(tmp_path / "landed")),
+        lambda: tables.materialise(rows.distinct(), str(tmp_path / "table")),
+        lambda: tables.export_snapshot(rows.groupBy("status").count(), str(tmp_path / "snapshot")),
+    ):
+        before = dealt()
+        write()
+        for _ in range(50):
+            left = dealt() - before
+            if not left:
+                break
+            time.sleep(0.1)
+        assert not left
+    assert spark.conf.get(tables.FREE) == "false"
+
+
 def test_materialise_as_path_and_table(spark, tmp_path):
     assert tables.materialise(spark.range(3), str(tmp_path / "m")).count() == 3
     for n in (2, 4):

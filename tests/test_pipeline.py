@@ -299,6 +299,29 @@ def test_a_build_that_dies_changes_nothing(spark, customers, products, source, t
     assert read_mart(spark, cfg.warehouse).count() == 241 and read_mart(spark, cfg.warehouse).where("is_duplicate").count() == 1
 
 
+def test_rows_are_stored_before_they_are_dealt_by_day(spark, customers, products, source, tmp_path, monkeypatch):
+    """Else what they were dealt for by id, customer and product lies on the disks beside it."""
+    cfg = config(tmp_path, None)
+    plans, write = {}, Versions.write
+
+    def noted(self, rows, table, *rest):
+        plans[table] = rows._jdf.queryExecution().optimizedPlan().toString()
+        if fails and table == "rows":
+            raise Died(table)
+        return write(self, rows, table, *rest)
+
+    monkeypatch.setattr(Versions, "write", noted)
+    for fails in (True, False):
+        if fails:
+            with pytest.raises(Died):
+                pl.run_backfill(spark, cfg, source, customers, products, day(2))
+        else:
+            pl.run_backfill(spark, cfg, source, customers, products, day(2))
+        assert "Window" not in plans["rows"] and "Join" not in plans["rows"]
+        assert not list(tmp_path.glob("house/fct_orders/flagged/*"))
+    assert read_mart(spark, cfg.warehouse).count() == 180
+
+
 def test_a_reader_keeps_its_version_while_builds_go_on(spark, customers, products, source, tmp_path):
     cfg = config(tmp_path, None)
     pl.run_backfill(spark, cfg, source, customers, products, day(2))
